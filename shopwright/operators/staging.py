@@ -145,3 +145,69 @@ def stg_deals(raw: DataFrame, sellers: DataFrame) -> DataFrame:
                     .alias("declared_product_catalog_size"),
                     money("declared_monthly_revenue", 14).alias("declared_monthly_revenue"),
                     F.coalesce(F.col("_hit"), F.lit(False)).alias("ecommerce_seller_match")))
+
+
+# --------------------------------------------------------------------------- enterprise staging (G-12..G-20)
+
+def _dec(c: str, p: int, s: int):
+    return F.round(F.col(c).cast("decimal(20,6)"), s).cast(f"decimal({p},{s})").alias(c)
+
+
+def stg_stores(raw: DataFrame) -> DataFrame:
+    """G-12."""
+    return raw.select("store_id", "store_name", F.lower(blank_to_null("city")).alias("city"),
+                      F.upper(blank_to_null("state")).alias("state"), F.col("latitude").cast("double").alias("latitude"),
+                      F.col("longitude").cast("double").alias("longitude"), "store_format",
+                      F.col("opening_date").cast("date").alias("opening_date"),
+                      F.col("floor_area_sqm").cast("int").alias("floor_area_sqm"))
+
+
+def stg_assignment(raw: DataFrame) -> DataFrame:
+    """G-13."""
+    return raw.select("order_id", "store_id", "assignment_method")
+
+
+def stg_suppliers(raw: DataFrame) -> DataFrame:
+    """G-14: rating numeric(4,2), fill rate numeric(5,2)."""
+    return raw.select("supplier_id", "supplier_name", F.upper(blank_to_null("supplier_state")).alias("supplier_state"),
+                      _dec("supplier_rating", 4, 2), F.col("standard_lead_time_days").cast("int")
+                      .alias("standard_lead_time_days"), _dec("contractual_fill_rate_pct", 5, 2))
+
+
+def stg_product_supplier(raw: DataFrame) -> DataFrame:
+    """G-15."""
+    return raw.select("product_id", "supplier_id")
+
+
+def stg_product_cost(raw: DataFrame) -> DataFrame:
+    """G-16: cost numeric(14,2), ratio numeric(8,4)."""
+    return raw.select("product_id", _dec("estimated_unit_cost", 14, 2), _dec("cost_ratio", 8, 4))
+
+
+INVENTORY_QTY = ["opening_stock_qty", "received_qty", "sold_qty", "closing_stock_qty", "reorder_point",
+                 "stockout_days"]
+
+
+def stg_inventory(raw: DataFrame) -> DataFrame:
+    """G-17."""
+    return raw.select(F.col("snapshot_month").cast("date").alias("snapshot_month"), "store_id", "product_id",
+                      *[F.col(c).cast("int").alias(c) for c in INVENTORY_QTY])
+
+
+def stg_budget(raw: DataFrame) -> DataFrame:
+    """G-18."""
+    return raw.select(F.col("budget_month").cast("date").alias("budget_month"), "store_id",
+                      _dec("sales_budget", 14, 2), _dec("freight_budget", 14, 2), _dec("operating_cost_budget", 14, 2))
+
+
+def stg_targets(raw: DataFrame) -> DataFrame:
+    """G-19."""
+    return raw.select(F.col("target_month").cast("date").alias("target_month"), "store_id",
+                      _dec("sales_target", 14, 2), F.col("order_target").cast("int").alias("order_target"),
+                      _dec("margin_target_pct", 6, 2))
+
+
+def stg_marketing(raw: DataFrame) -> DataFrame:
+    """G-20: lower-case channel."""
+    return raw.select(F.col("month").cast("date").alias("month"), "store_id",
+                      F.lower(blank_to_null("channel")).alias("channel"), _dec("spend", 14, 2))

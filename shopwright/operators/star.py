@@ -307,3 +307,92 @@ def add_store_key(fact: DataFrame, assignment: DataFrame, stores: DataFrame) ->
     st = F.broadcast(stores.select("store_id", "store_key"))
     a = assignment.select("order_id", "store_id").join(st, "store_id", "inner").select("order_id", "store_key")
     return fact.join(a, "order_id", "left").select(*fact.columns, "store_key")
+
+
+# --------------------------------------------------------------------------- D-08, D-16..D-19
+
+def dim_store(stores: DataFrame) -> DataFrame:
+    """D-08: the store list (bounded by the chosen store count)."""
+    s = stores.withColumn("is_synthetic", F.lit(True))
+    return _key_first(with_small_key(s, ["store_id"], "store_key"), "store_key")
+
+
+def dim_supplier(suppliers: DataFrame) -> DataFrame:
+    """D-08."""
+    s = suppliers.withColumn("is_synthetic", F.lit(True))
+    return _key_first(with_dense_key(s, ["supplier_id"], "supplier_key"), "supplier_key")
+
+
+def dim_marketing_channel(spend: DataFrame) -> DataFrame:
+    """D-08: distinct channels (a closed list)."""
+    s = spend.select("channel").filter(F.col("channel").isNotNull()).distinct()
+    return _key_first(with_small_key(s, ["channel"], "marketing_channel_key"), "marketing_channel_key")
+
+
+def product_supply(products: DataFrame, mapping: DataFrame, suppliers: DataFrame, cost: DataFrame) -> DataFrame:
+    """product_key -> (supplier_key, unit cost): one row per product."""
+    return (products.select("product_key", "product_id").join(mapping, "product_id")
+            .join(suppliers.select("supplier_id", "supplier_key"), "supplier_id")
+            .join(cost.select("product_id", "estimated_unit_cost"), "product_id")
+            .select("product_key", "product_id", "supplier_key", "estimated_unit_cost"))
+
+
+def add_profitability(foi: DataFrame, supply: DataFrame) -> DataFrame:
+    """D-16: supplier key, unit cost, COGS (one row = one item), margin, margin %."""
+    s = supply.select("product_key", "supplier_key", "estimated_unit_cost")
+    price, cost = F.col("price"), F.col("estimated_unit_cost")
+    return foi.join(s, "product_key", "inner").select(
+        *foi.columns, "supplier_key", "estimated_unit_cost", F.col("estimated_unit_cost").alias("estimated_cogs"),
+        F.round(price - cost, 2).cast("decimal(14,2)").alias("estimated_gross_margin"),
+        F.round((F.lit(100) * (price - cost)).cast("decimal(20,6)") / F.nullif(price, F.lit(0)), 2)
+        .cast("decimal(8,2)").alias("estimated_gross_margin_pct"))
+
+
+def fact_inventory_monthly(inv: DataFrame, dates: DataFrame, stores: DataFrame, products: DataFrame,
+                           supply: DataFrame) -> DataFrame:
+    """D-17: monthly inventory with average stock, COGS sold, values and flags."""
+    o, c = F.col("opening_stock_qty"), F.col("closing_stock_qty")
+    cost = F.col("estimated_unit_cost")
+    avg = ((o + c).cast("decimal(20,6)") / 2)
+    base = (inv.join(F.broadcast(dates.select(F.col("full_date").alias("snapshot_month"),
+                                              F.col("date_key").alias("snapshot_date_key"))), "snapshot_month")
+            .join(F.broadcast(stores.select("store_id", "store_key")), "store_id")
+            .join(supply.select("product_id", "product_key", "supplier_key", "estimated_unit_cost"), "product_id")
+            .select("snapshot_month", "store_id", "product_id", "snapshot_date_key", "store_key", "product_key",
+                    "supplier_key", *[F.col(q) for q in ("opening_stock_qty", "received_qty", "sold_qty",
+                                                         "closing_stock_qty", "reorder_point", "stockout_days")],
+                    F.round(avg, 2).cast("decimal(14,2)").alias("average_stock_qty"), "estimated_unit_cost",
+                    F.round(F.col("sold_qty") * cost, 2).cast("decimal(14,2)").alias("estimated_cogs_sold"),
+                    F.round(c * cost, 2).cast("decimal(14,2)").alias("estimated_closing_inventory_value"),
+                    F.round(avg * cost, 2).cast("decimal(14,2)").alias("estimated_average_inventory_value"),
+                    (c < F.col("reorder_point")).alias("is_below_reorder_point"),
+                    (F.col("stockout_days") > 0).alias("had_stockout")))
+    keyed = with_dense_key(base, ["snapshot_month", "store_id", "product_id"], "inventory_key")
+    return _key_first(keyed, "inventory_key")
+
+
+def fact_store_plan(budget: DataFrame, targets: DataFrame, dates: DataFrame, stores: DataFrame) -> DataFrame:
+    """D-18: budget x target at (month, store) grain, target uplift %."""
+    t = targets.withColumnRenamed("target_month", "budget_month")
+    sb, st = F.col("sales_budget"), F.col("sales_target")
+    base = (budget.join(t, ["budget_month", "store_id"])
+            .join(F.broadcast(dates.select(F.col("full_date").alias("budget_month"),
+                                           F.col("date_key").alias("plan_date_key"))), "budget_month")
+            .join(F.broadcast(stores.select("store_id", "store_key")), "store_id")
+            .select("budget_month", "store_id", "plan_date_key", "store_key", "sales_budget", "freight_budget",
+                    "operating_cost_budget", "sales_target", "order_target", "margin_target_pct",
+                    F.round((F.lit(100) * (st - sb)).cast("decimal(24,6)") / F.nullif(sb, F.lit(0)), 2)
+                    .cast("decimal(8,2)").alias("target_uplift_vs_budget_pct")))
+    keyed = with_dense_key(base, ["budget_month", "store_id"], "store_plan_key")
+    return _key_first(keyed, "store_plan_key").drop("budget_month", "store_id")
+
+
+def fact_marketing_spend(spend: DataFrame, dates: DataFrame, stores: DataFrame, channels: DataFrame) -> DataFrame:
+    """D-19."""
+    base = (spend.join(F.broadcast(dates.select(F.col("full_date").alias("month"),
+                                                F.col("date_key").alias("spend_date_key"))), "month")
+            .join(F.broadcast(stores.select("store_id", "store_key")), "store_id")
+            .join(F.broadcast(channels), "channel")
+            .select("month", "store_id", "channel", "spend_date_key", "store_key", "marketing_channel_key", "spend"))
+    keyed = with_dense_key(base, ["month", "store_id", "channel"], "marketing_spend_key")
+    return _key_first(keyed, "marketing_spend_key").drop("month", "store_id", "channel")

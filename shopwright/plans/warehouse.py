@@ -11,10 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import enterprise as M
 from ..operators import staging as G
 from ..operators import star as D
 from ..sources import bindings as B
+from ..session import checkpoint_dir
 from ..sources.tables import ParquetTables
 
 RAW = {
@@ -26,21 +29,39 @@ RAW = {
 }
 
 
+# Tables written once (reliable checkpoint into the cluster's checkpoint
+# folder) like the source's CREATE TABLE AS: later layers read the written
+# table, so plans stay small, nothing is recomputed per consumer, and a lost
+# executor only costs the tasks of the table being built.
+MATERIALIZED = frozenset({
+    "stg_geolocation", "fact_orders", "fact_order_items", "fact_payments", "fact_reviews",
+    "gen_stores", "gen_assignment", "gen_product_supplier", "gen_product_cost", "gen_monthly_actuals",
+    "gen_skeleton", "gen_budget", "gen_targets", "gen_marketing", "gen_eligible_products",
+    "gen_monthly_units", "gen_inventory", "fact_order_items_ent", "fact_orders_ent",
+    "fact_payments_ent", "fact_reviews_ent", "orders_geo", "items_status", "delivered_store_orders",
+})
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.src = ParquetTables(spark, sf_dir)
+        self.materialize = materialize
         self._memo: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._memo:
             builder = RAW.get(name)
             if builder is not None:
-                self._memo[name] = builder(self.src)
+                df = builder(self.src)
             else:
                 fn: Callable[[], DataFrame] = getattr(self, f"_build_{name}")
-                self._memo[name] = fn()
+                df = fn()
+            if self.materialize and name in MATERIALIZED:
+                checkpoint_dir(self.spark)
+                df = df.checkpoint(eager=True)
+            self._memo[name] = df
         return self._memo[name]
 
     # staging -----------------------------------------------------------------
@@ -93,3 +114,87 @@ class Warehouse:
     def _build_fact_order_items(self): return self._with_status("fact_order_items")
     def _build_fact_payments(self): return self._with_status("fact_payments")
     def _build_fact_reviews(self): return self._with_status("fact_reviews")
+
+    # enterprise model (M) ----------------------------------------------------
+    factors = M.DEFAULT
+
+    def _build_orders_geo(self):
+        return M.delivered_geo_orders(self["fact_orders"], self["dim_customer"], self["dim_order_status"])
+
+    def _build_items_status(self):
+        st = F.broadcast(self["dim_order_status"].select("order_status_key", "order_status"))
+        return self["fact_order_items"].select("order_id", "product_key", "price", "order_status_key").join(
+            st, "order_status_key").join(self["dim_product"].select("product_key", "product_id",
+                                                                     "product_category_name"), "product_key")
+
+    def _build_gen_stores(self): return M.select_stores(self["orders_geo"], self.factors)
+    def _build_gen_assignment(self): return M.assign_stores(self["orders_geo"], self["gen_stores"])
+    def _build_gen_suppliers(self): return M.suppliers_from_source(self.src["supplier"], self.src["nation"])
+    def _build_gen_product_supplier(self):
+        return M.map_suppliers(self["dim_product"], self["gen_suppliers"], self.factors)
+    def _build_gen_product_cost(self):
+        return M.product_cost(self["dim_product"], self["items_status"], self.factors)
+    def _build_delivered_store_orders(self):
+        return M.delivered_store_orders(self["orders_geo"], self["gen_assignment"])
+    def _build_gen_monthly_actuals(self): return M.monthly_actuals(self["delivered_store_orders"])
+    def _build_gen_skeleton(self):
+        return M.store_month_skeleton(self["delivered_store_orders"], self["gen_stores"], self["gen_monthly_actuals"])
+    def _build_gen_budget(self): return self._plans()[0]
+    def _build_gen_targets(self): return self._plans()[1]
+    def _plans(self):
+        if "_plans" not in self._memo:
+            self._memo["_plans"] = M.plan_store_months(
+                self["gen_skeleton"], M.store_aov(self["delivered_store_orders"]), self.factors)
+        return self._memo["_plans"]
+    def _build_gen_marketing(self): return M.allocate_marketing(self["gen_skeleton"], self.factors)
+    def _build_delivered_items(self):
+        return M.delivered_items(self["items_status"], self["gen_assignment"], self["stg_orders"])
+    def _build_gen_eligible_products(self): return M.eligible_products(self["delivered_items"], self.factors)
+    def _build_gen_monthly_units(self):
+        return M.monthly_units(self["delivered_items"], self["gen_eligible_products"])
+    def _build_gen_inventory(self): return M.roll_inventory(self["gen_monthly_units"], self.factors)
+
+    # enterprise staging and star -----------------------------------------------
+    def _build_stg_stores(self): return G.stg_stores(self["gen_stores"])
+    def _build_stg_assignment(self): return G.stg_assignment(self["gen_assignment"])
+    def _build_stg_suppliers(self): return G.stg_suppliers(self["gen_suppliers"])
+    def _build_stg_product_supplier(self): return G.stg_product_supplier(self["gen_product_supplier"])
+    def _build_stg_product_cost(self): return G.stg_product_cost(self["gen_product_cost"])
+    def _build_stg_inventory(self): return G.stg_inventory(self["gen_inventory"])
+    def _build_stg_budget(self): return G.stg_budget(self["gen_budget"])
+    def _build_stg_targets(self): return G.stg_targets(self["gen_targets"])
+    def _build_stg_marketing(self): return G.stg_marketing(self["gen_marketing"])
+
+    def _build_dim_store(self): return D.dim_store(self["stg_stores"])
+    def _build_dim_supplier(self): return D.dim_supplier(self["stg_suppliers"])
+    def _build_dim_marketing_channel(self): return D.dim_marketing_channel(self["stg_marketing"])
+    def _build_enterprise_dates(self):
+        parts = [self["stg_inventory"].select(F.col("snapshot_month").alias("d")),
+                 self["stg_budget"].select(F.col("budget_month").alias("d")),
+                 self["stg_targets"].select(F.col("target_month").alias("d")),
+                 self["stg_marketing"].select(F.col("month").alias("d"))]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.union(p)
+        return out.distinct()
+    def _build_dim_date_full(self): return D.extend_dim_date(self["dim_date"], self["enterprise_dates"])
+    def _build_product_supply(self):
+        return D.product_supply(self["dim_product"], self["stg_product_supplier"], self["dim_supplier"],
+                                self["stg_product_cost"])
+
+    def _with_store(self, fact: DataFrame) -> DataFrame:
+        return D.add_store_key(fact, self["stg_assignment"], self["dim_store"])
+
+    def _build_fact_orders_ent(self): return self._with_store(self["fact_orders"])
+    def _build_fact_order_items_ent(self):
+        return D.add_profitability(self._with_store(self["fact_order_items"]), self["product_supply"])
+    def _build_fact_payments_ent(self): return self._with_store(self["fact_payments"])
+    def _build_fact_reviews_ent(self): return self._with_store(self["fact_reviews"])
+    def _build_fact_inventory_monthly(self):
+        return D.fact_inventory_monthly(self["stg_inventory"], self["dim_date_full"], self["dim_store"],
+                                        self["dim_product"], self["product_supply"])
+    def _build_fact_store_plan(self):
+        return D.fact_store_plan(self["stg_budget"], self["stg_targets"], self["dim_date_full"], self["dim_store"])
+    def _build_fact_marketing_spend(self):
+        return D.fact_marketing_spend(self["stg_marketing"], self["dim_date_full"], self["dim_store"],
+                                      self["dim_marketing_channel"])
