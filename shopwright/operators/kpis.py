@@ -245,3 +245,144 @@ def active_repeat(fo: DataFrame, customers: DataFrame) -> DataFrame:
     return per.agg(F.count(F.lit(1)).alias("active_customers"),
                    count_if(F.col("n") >= 2).alias("repeat_customers"),
                    pct(F.count_if(F.col("n") >= 2), F.count(F.lit(1))).alias("repeat_customer_rate_pct"))
+
+
+# ----------------------------------------------------------------- enterprise KPIs K-08..K-14
+
+def delivered_profitability(foi: DataFrame, status: DataFrame) -> DataFrame:
+    """K-08: ratio of sums, never a mean of ratios."""
+    d = delivered(foi, status)
+    return d.agg(F.countDistinct("order_id").alias("delivered_orders"),
+                 money_sum("price").alias("merchandise_value"), money_sum("estimated_cogs").alias("estimated_cogs"),
+                 money_sum("estimated_gross_margin").alias("estimated_gross_margin"),
+                 pct(F.sum("estimated_gross_margin"), F.sum("price")).alias("estimated_gross_margin_pct"))
+
+
+def _store_orders(fo: DataFrame, status: DataFrame) -> DataFrame:
+    return delivered(fo, status).groupBy("store_key").agg(
+        F.count(F.lit(1)).alias("delivered_orders"), F.sum("gross_order_value").alias("_gross"))
+
+
+def _store_margins(foi: DataFrame, status: DataFrame) -> DataFrame:
+    return delivered(foi, status).groupBy("store_key").agg(
+        F.sum("price").alias("_merch"), F.sum("estimated_cogs").alias("_cogs"),
+        F.sum("estimated_gross_margin").alias("_margin"))
+
+
+def store_performance(fo: DataFrame, foi: DataFrame, stores: DataFrame, status: DataFrame) -> DataFrame:
+    """K-09: two facts aggregated separately per store, joined after."""
+    j = (F.broadcast(stores.select("store_key", "store_id", "store_name", "state", "store_format"))
+         .join(_store_orders(fo, status), "store_key").join(_store_margins(foi, status), "store_key"))
+    return (j.select("store_id", "store_name", "state", "store_format", "delivered_orders",
+                     F.round("_gross", 2).cast("double").alias("gross_order_value"),
+                     F.round("_merch", 2).cast("double").alias("merchandise_value"),
+                     F.round("_margin", 2).cast("double").alias("estimated_gross_margin"),
+                     pct("_margin", "_merch").alias("estimated_margin_pct"))
+            .orderBy(F.desc("gross_order_value"), "store_id"))
+
+
+def monthly_store_actuals(fo: DataFrame, status: DataFrame) -> DataFrame:
+    """Delivered orders and sales per (month, store): shared by K-10, K-14, K-16..K-18, K-35."""
+    return (delivered(fo, status).groupBy(F.trunc("order_purchase_timestamp", "MM").alias("month"), "store_key")
+            .agg(F.count(F.lit(1)).alias("actual_orders"), F.sum("gross_order_value").alias("actual_sales")))
+
+
+def plan_comparison(fo: DataFrame, plan: DataFrame, dates: DataFrame, status: DataFrame) -> DataFrame:
+    """Plan rows with the month's actuals (left join, zero filled)."""
+    d = F.broadcast(dates.select(F.col("date_key").alias("plan_date_key"), F.col("full_date").alias("month")))
+    a = monthly_store_actuals(fo, status)
+    return (plan.join(d, "plan_date_key", "left").join(a, ["month", "store_key"], "left")
+            .select("month", "plan_date_key", "store_key",
+                    F.coalesce(F.col("actual_sales"), F.lit(0).cast("decimal(24,2)")).alias("actual_sales"),
+                    F.coalesce("actual_orders", F.lit(0)).alias("actual_orders"),
+                    "sales_budget", "sales_target", "order_target"))
+
+
+def plan_attainment(fo: DataFrame, plan: DataFrame, dates: DataFrame, status: DataFrame) -> DataFrame:
+    """K-10: actual vs budget and target over all planned store-months."""
+    c = plan_comparison(fo, plan, dates, status)
+    a, b, t = F.col("actual_sales"), F.col("sales_budget"), F.col("sales_target")
+    return c.agg(F.round(F.sum(a), 2).cast("double").alias("actual_sales"),
+                 F.round(F.sum(b), 2).cast("double").alias("sales_budget"),
+                 F.round(F.sum(t), 2).cast("double").alias("sales_target"),
+                 pct(F.sum(a), F.sum(b)).alias("budget_attainment_pct"),
+                 pct(F.sum(a), F.sum(t)).alias("target_attainment_pct"),
+                 count_if(a >= b).alias("store_months_at_or_above_budget"),
+                 count_if(a >= t).alias("store_months_at_or_above_target"),
+                 F.count(F.lit(1)).alias("planned_store_months"))
+
+
+def inventory_kpis(fim: DataFrame, dates: DataFrame) -> DataFrame:
+    """K-11: period metrics x latest snapshot (semi-additive: balances are
+    summed over stores and products on the latest date only)."""
+    period = fim.agg(
+        F.count(F.lit(1)).alias("inventory_snapshot_rows"), F.countDistinct("product_key").alias("inventory_products"),
+        F.countDistinct("store_key").alias("inventory_stores"), F.sum("sold_qty").alias("units_sold"),
+        F.sum("received_qty").alias("units_received"), F.sum("stockout_days").alias("total_stockout_days"),
+        count_if(F.col("had_stockout")).alias("stockout_rows"),
+        pct(F.count_if(F.col("had_stockout")), F.count(F.lit(1))).alias("stockout_row_rate_pct"),
+        count_if(F.col("is_below_reorder_point")).alias("below_reorder_rows"),
+        pct(F.count_if(F.col("is_below_reorder_point")), F.count(F.lit(1))).alias("below_reorder_rate_pct"))
+    cur = current_inventory(fim).join(
+        F.broadcast(dates.select(F.col("date_key").alias("snapshot_date_key"),
+                                 F.col("full_date").alias("current_inventory_date"))), "snapshot_date_key")
+    current = cur.groupBy("current_inventory_date").agg(
+        F.count(F.lit(1)).alias("current_store_product_rows"), F.sum("closing_stock_qty").alias("current_units_on_hand"),
+        money_sum("estimated_closing_inventory_value").alias("current_inventory_value"),
+        count_if(F.col("is_below_reorder_point")).alias("current_below_reorder_rows"),
+        pct(F.count_if(F.col("is_below_reorder_point")), F.count(F.lit(1))).alias("current_below_reorder_rate_pct"))
+    return period.crossJoin(current)  # one row x one row
+
+
+def current_inventory(fim: DataFrame) -> DataFrame:
+    """Rows of the latest snapshot: a one-row max, broadcast into a semi join."""
+    latest = fim.agg(F.max("snapshot_date_key").alias("snapshot_date_key"))
+    return fim.join(F.broadcast(latest), "snapshot_date_key", "left_semi")
+
+
+def supplier_performance(foi: DataFrame, suppliers: DataFrame, status: DataFrame, n: int = 15) -> DataFrame:
+    """K-12: top suppliers by delivered merchandise value."""
+    attrs = ["supplier_id", "supplier_name", "supplier_state", "supplier_rating", "standard_lead_time_days",
+             "contractual_fill_rate_pct"]
+    g = (delivered(foi, status).join(suppliers.select("supplier_key", *attrs), "supplier_key").groupBy(*attrs)
+         .agg(F.count(F.lit(1)).alias("delivered_item_rows"), F.countDistinct("order_id").alias("delivered_orders"),
+              money_sum("price").alias("merchandise_value"), money_sum("estimated_cogs").alias("estimated_cogs"),
+              money_sum("estimated_gross_margin").alias("estimated_gross_margin"),
+              pct(F.sum("estimated_gross_margin"), F.sum("price")).alias("estimated_margin_pct")))
+    return g.orderBy(F.desc("merchandise_value"), "supplier_id").limit(n)
+
+
+def marketing_by_channel(fms: DataFrame, channels: DataFrame) -> DataFrame:
+    """K-13: spend by channel with share."""
+    g = (fms.join(F.broadcast(channels), "marketing_channel_key").groupBy("channel")
+         .agg(F.sum("spend").alias("_s")))
+    return (with_share(g, "_s", "marketing_spend_share_pct")
+            .select("channel", F.round("_s", 2).cast("double").alias("marketing_spend"), "marketing_spend_share_pct")
+            .orderBy(F.desc("marketing_spend"), "channel"))
+
+
+def sales_marketing_coverage(fo: DataFrame, fms: DataFrame, dates: DataFrame, status: DataFrame) -> DataFrame:
+    """(month, store) with delivered sales and marketing spend: a full outer
+    join of two pre-aggregates with coalesced keys (R-05)."""
+    s = monthly_store_actuals(fo, status).select("month", "store_key", F.col("actual_sales").alias("_sales"))
+    d = F.broadcast(dates.select(F.col("date_key").alias("spend_date_key"), F.col("full_date").alias("month")))
+    m = fms.join(d, "spend_date_key").groupBy("month", "store_key").agg(F.sum("spend").alias("_spend"))
+    return (s.join(m, ["month", "store_key"], "full")
+            .select("month", "store_key", F.coalesce("_sales", F.lit(0).cast("decimal(24,2)")).alias("delivered_sales"),
+                    F.coalesce("_spend", F.lit(0).cast("decimal(24,2)")).alias("marketing_spend")))
+
+
+def marketing_vs_sales(fo: DataFrame, fms: DataFrame, dates: DataFrame, status: DataFrame) -> DataFrame:
+    """K-14: marketing against delivered sales incl. zero-sales months."""
+    c = sales_marketing_coverage(fo, fms, dates, status)
+    s, m = F.col("delivered_sales"), F.col("marketing_spend")
+    active = F.when(s > 0, m).otherwise(F.lit(0))
+    return c.agg(F.round(F.sum(s), 2).cast("double").alias("total_delivered_sales"),
+                 F.round(F.sum(m), 2).cast("double").alias("total_marketing_spend"),
+                 F.round(F.sum(active), 2).cast("double").alias("marketing_spend_active_sales_months"),
+                 F.round(F.sum(F.when(s == 0, m).otherwise(F.lit(0))), 2).cast("double")
+                 .alias("marketing_spend_zero_sales_months"),
+                 count_if(s > 0).alias("active_sales_store_months"),
+                 count_if((s == 0) & (m > 0)).alias("marketing_store_months_without_sales"),
+                 pct(F.sum(m), F.sum(s)).alias("total_marketing_spend_pct_sales"),
+                 pct(F.sum(active), F.sum(s)).alias("active_month_marketing_spend_pct_sales"))
