@@ -386,3 +386,103 @@ def marketing_vs_sales(fo: DataFrame, fms: DataFrame, dates: DataFrame, status:
                  count_if((s == 0) & (m > 0)).alias("marketing_store_months_without_sales"),
                  pct(F.sum(m), F.sum(s)).alias("total_marketing_spend_pct_sales"),
                  pct(F.sum(active), F.sum(s)).alias("active_month_marketing_spend_pct_sales"))
+
+
+# ----------------------------------------------------------------- store profitability K-15..K-20
+
+def _store_combined(fo: DataFrame, foi: DataFrame, stores: DataFrame, status: DataFrame) -> DataFrame:
+    o = delivered(fo, status).groupBy("store_key").agg(
+        F.count(F.lit(1)).alias("delivered_orders"), F.sum("gross_order_value").alias("_gross"),
+        F.count("gross_order_value").alias("_gross_n"))
+    return (F.broadcast(stores.select("store_key", "store_id", "store_name", "state", "store_format"))
+            .join(o, "store_key").join(_store_margins(foi, status), "store_key"))
+
+
+def store_commercial(fo: DataFrame, foi: DataFrame, stores: DataFrame, status: DataFrame) -> DataFrame:
+    """K-15: per store sales, AOV, margin, and shares of the all-store totals
+    (totals from a one-row aggregate of the per-store rows, broadcast)."""
+    c = _store_combined(fo, foi, stores, status)
+    tot = c.agg(F.sum("_gross").alias("_tg"), F.sum("_margin").alias("_tm"))
+    return (c.crossJoin(F.broadcast(tot))
+            .select("store_id", "store_name", "state", "store_format", "delivered_orders",
+                    F.round("_gross", 2).cast("double").alias("gross_order_value"),
+                    ratio("_gross", "_gross_n").alias("average_order_value"),
+                    F.round("_merch", 2).cast("double").alias("merchandise_value"),
+                    F.round("_cogs", 2).cast("double").alias("estimated_cogs"),
+                    F.round("_margin", 2).cast("double").alias("estimated_gross_margin"),
+                    pct("_margin", "_merch").alias("estimated_margin_pct"),
+                    pct("_gross", "_tg").alias("sales_share_pct"), pct("_margin", "_tm").alias("margin_share_pct"))
+            .orderBy(F.desc("gross_order_value"), "store_id"))
+
+
+def store_plan(fo: DataFrame, plan: DataFrame, dates: DataFrame, stores: DataFrame, status: DataFrame) -> DataFrame:
+    """K-16: per store actual vs budget/target, variance, attainment, months at or above."""
+    c = plan_comparison(fo, plan, dates, status).filter(F.col("month").isNotNull())
+    a, b, t = F.col("actual_sales"), F.col("sales_budget"), F.col("sales_target")
+    g = (c.join(F.broadcast(stores.select("store_key", "store_id", "store_name", "store_format")), "store_key")
+         .groupBy("store_id", "store_name", "store_format")
+         .agg(F.count(F.lit(1)).alias("planned_months"), F.sum(a).alias("_a"), F.sum(b).alias("_b"),
+              F.sum(t).alias("_t"), count_if(a >= b).alias("months_at_or_above_budget"),
+              count_if(a >= t).alias("months_at_or_above_target")))
+    return (g.select("store_id", "store_name", "store_format", "planned_months",
+                     *[F.round(x, 2).cast("double").alias(n) for x, n in
+                       [("_a", "actual_sales"), ("_b", "sales_budget"), ("_t", "sales_target")]],
+                     F.round(F.col("_a") - F.col("_b"), 2).cast("double").alias("budget_variance"),
+                     F.round(F.col("_a") - F.col("_t"), 2).cast("double").alias("target_variance"),
+                     pct("_a", "_b").alias("budget_attainment_pct"), pct("_a", "_t").alias("target_attainment_pct"),
+                     "months_at_or_above_budget", "months_at_or_above_target")
+            .orderBy("budget_variance", "store_id"))
+
+
+def _store_months(fo, plan, dates, stores, status, how: str) -> DataFrame:
+    d = F.broadcast(dates.select(F.col("date_key").alias("plan_date_key"), F.col("full_date").alias("month")))
+    a = monthly_store_actuals(fo, status)
+    j = (plan.join(d, "plan_date_key").join(F.broadcast(stores.select("store_key", "store_id", "store_name",
+                                                                      "store_format")), "store_key")
+         .join(a, ["month", "store_key"], how))
+    act = F.coalesce(F.col("actual_sales"), F.lit(0).cast("decimal(24,2)"))
+    return j.select("month", "store_id", "store_name", "store_format",
+                    F.coalesce("actual_orders", F.lit(0)).alias("actual_orders"),
+                    F.round(act, 2).cast("double").alias("actual_sales"),
+                    F.col("sales_budget").cast("double").alias("sales_budget"),
+                    F.round(act - F.col("sales_budget"), 2).cast("double").alias("budget_variance"),
+                    pct(act, "sales_budget").alias("budget_attainment_pct"),
+                    F.col("sales_target").cast("double").alias("sales_target"),
+                    F.round(act - F.col("sales_target"), 2).cast("double").alias("target_variance"))
+
+
+def store_month_shortfalls(fo, plan, dates, stores, status, n: int = 20) -> DataFrame:
+    """K-17: largest shortfalls against budget (months without sales count as zero)."""
+    return _store_months(fo, plan, dates, stores, status, "left").orderBy(
+        "budget_variance", "month", "store_id").limit(n)
+
+
+def store_month_outperformance(fo, plan, dates, stores, status, n: int = 20) -> DataFrame:
+    """K-18: strongest outperformance (months with sales only)."""
+    return _store_months(fo, plan, dates, stores, status, "inner").orderBy(
+        F.desc("budget_variance"), "month", "store_id").limit(n)
+
+
+def format_performance(fo: DataFrame, foi: DataFrame, stores: DataFrame, status: DataFrame) -> DataFrame:
+    """K-19: store formats compared (aggregate of per-store aggregates)."""
+    c = _store_combined(fo, foi, stores, status)
+    return (c.groupBy("store_format")
+            .agg(F.count(F.lit(1)).alias("stores"), F.sum("delivered_orders").alias("delivered_orders"),
+                 F.round(F.sum("_gross"), 2).cast("double").alias("gross_order_value"),
+                 ratio(F.sum("_gross"), F.count(F.lit(1))).alias("average_sales_per_store"),
+                 F.round(F.sum("_margin"), 2).cast("double").alias("estimated_gross_margin"),
+                 pct(F.sum("_margin"), F.sum("_merch")).alias("estimated_margin_pct"))
+            .orderBy(F.desc("gross_order_value"), "store_format"))
+
+
+def store_concentration(fo: DataFrame, foi: DataFrame, status: DataFrame) -> DataFrame:
+    """K-20: top-3 / top-5 store shares of sales and margin (ranked by sales).
+    The ranking window runs over one row per store (a bounded list)."""
+    s = delivered(fo, status).groupBy("store_key").agg(F.sum("gross_order_value").alias("g"))
+    m = delivered(foi, status).groupBy("store_key").agg(F.sum("estimated_gross_margin").alias("m"))
+    r = s.join(m, "store_key").withColumn("rk", F.row_number().over(Window.orderBy(F.desc("g"), "store_key")))
+    top = lambda k, c: F.sum(F.when(F.col("rk") <= k, F.col(c)).otherwise(F.lit(0)))
+    return r.agg(pct(top(3, "g"), F.sum("g")).alias("top_3_store_sales_share_pct"),
+                 pct(top(5, "g"), F.sum("g")).alias("top_5_store_sales_share_pct"),
+                 pct(top(3, "m"), F.sum("m")).alias("top_3_store_margin_share_pct"),
+                 pct(top(5, "m"), F.sum("m")).alias("top_5_store_margin_share_pct"))
