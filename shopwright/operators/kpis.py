@@ -486,3 +486,147 @@ def store_concentration(fo: DataFrame, foi: DataFrame, status: DataFrame) -> Dat
                  pct(top(5, "g"), F.sum("g")).alias("top_5_store_sales_share_pct"),
                  pct(top(3, "m"), F.sum("m")).alias("top_3_store_margin_share_pct"),
                  pct(top(5, "m"), F.sum("m")).alias("top_5_store_margin_share_pct"))
+
+
+# ----------------------------------------------------------------- inventory and supplier K-21..K-28, K-40
+
+def _cur_with(fim: DataFrame) -> DataFrame:
+    return current_inventory(fim)
+
+
+def inventory_by_store(fim: DataFrame, stores: DataFrame) -> DataFrame:
+    """K-21: latest snapshot by store with value share."""
+    b = F.col("is_below_reorder_point")
+    g = (_cur_with(fim).join(F.broadcast(stores.select("store_key", "store_id", "store_name", "store_format")),
+                             "store_key")
+         .groupBy("store_id", "store_name", "store_format")
+         .agg(F.count(F.lit(1)).alias("product_rows"), F.sum("closing_stock_qty").alias("units_on_hand"),
+              F.sum("estimated_closing_inventory_value").alias("_v"), count_if(b).alias("below_reorder_rows"),
+              pct(F.count_if(b), F.count(F.lit(1))).alias("below_reorder_rate_pct")))
+    return (with_share(g, "_v", "inventory_value_share_pct")
+            .withColumn("current_inventory_value", F.round("_v", 2).cast("double")).drop("_v")
+            .orderBy(F.desc("current_inventory_value"), "store_id"))
+
+
+def stockout_by_store(fim: DataFrame, stores: DataFrame) -> DataFrame:
+    """K-22."""
+    s, b = F.col("had_stockout"), F.col("is_below_reorder_point")
+    return (fim.join(F.broadcast(stores.select("store_key", "store_id", "store_name", "store_format")), "store_key")
+            .groupBy("store_id", "store_name", "store_format")
+            .agg(F.count(F.lit(1)).alias("inventory_snapshot_rows"), F.sum("stockout_days").alias("stockout_days"),
+                 count_if(s).alias("stockout_rows"), pct(F.count_if(s), F.count(F.lit(1))).alias("stockout_row_rate_pct"),
+                 count_if(b).alias("below_reorder_rows"),
+                 pct(F.count_if(b), F.count(F.lit(1))).alias("below_reorder_rate_pct"))
+            .orderBy(F.desc("stockout_row_rate_pct"), F.desc("stockout_days"), "store_id"))
+
+
+def high_value_products(fim: DataFrame, products: DataFrame, n: int = 20) -> DataFrame:
+    """K-23: most valuable products on hand at the latest snapshot."""
+    g = (_cur_with(fim).join(products.select("product_key", "product_id", "product_category_name"), "product_key")
+         .groupBy("product_id", "product_category_name")
+         .agg(F.sum("closing_stock_qty").alias("units_on_hand"),
+              money_sum("estimated_closing_inventory_value").alias("inventory_value"),
+              F.countDistinct("store_key").alias("stores_holding_product"),
+              count_if(F.col("is_below_reorder_point")).alias("stores_below_reorder")))
+    return g.orderBy(F.desc("inventory_value"), "product_id").limit(n)
+
+
+def stockout_products(fim: DataFrame, products: DataFrame, n: int = 20) -> DataFrame:
+    """K-24: products with stockouts, most stockout days first."""
+    s = F.col("had_stockout")
+    g = (fim.join(products.select("product_key", "product_id", "product_category_name"), "product_key")
+         .groupBy("product_id", "product_category_name")
+         .agg(F.count(F.lit(1)).alias("snapshot_rows"), count_if(s).alias("stockout_rows"),
+              F.sum("stockout_days").alias("stockout_days"),
+              pct(F.count_if(s), F.count(F.lit(1))).alias("stockout_row_rate_pct"), F.sum("sold_qty").alias("units_sold")))
+    return (g.filter(F.col("stockout_rows") > 0)
+            .orderBy(F.desc("stockout_days"), F.desc("stockout_row_rate_pct"), "product_id").limit(n))
+
+
+def slow_movers(fim: DataFrame, dates: DataFrame, stores: DataFrame, products: DataFrame,
+                months: int = 3, n: int = 30) -> DataFrame:
+    """K-25: stock on hand with no sales in the last ``months`` months."""
+    d = F.broadcast(dates.select(F.col("date_key").alias("snapshot_date_key"), "full_date"))
+    f = fim.join(d, "snapshot_date_key")
+    latest = f.agg(F.max("full_date").alias("_latest"))
+    f = f.crossJoin(F.broadcast(latest))  # one-row relation
+    recent = (f.filter(F.col("full_date") >= F.add_months("_latest", -(months - 1)))
+              .groupBy("store_key", "product_key").agg(F.sum("sold_qty").alias("_recent")))
+    cur = f.filter(F.col("full_date") == F.col("_latest")).select(
+        "store_key", "product_key", "closing_stock_qty", "estimated_closing_inventory_value")
+    out = (cur.join(recent, ["store_key", "product_key"], "left")
+           .withColumn(f"last_{months}_month_units_sold", F.coalesce("_recent", F.lit(0)).cast("long"))
+           .filter((F.col("closing_stock_qty") > 0) & (F.col(f"last_{months}_month_units_sold") == 0))
+           .join(F.broadcast(stores.select("store_key", "store_id", "store_name")), "store_key")
+           .join(products.select("product_key", "product_id", "product_category_name"), "product_key"))
+    return (out.select("store_id", "store_name", "product_id", "product_category_name", "closing_stock_qty",
+                       F.round("estimated_closing_inventory_value", 2).cast("double").alias("current_inventory_value"),
+                       f"last_{months}_month_units_sold")
+            .orderBy(F.desc("current_inventory_value"), "store_id", "product_id").limit(n))
+
+
+SUPPLIER_ATTRS = ["supplier_id", "supplier_name", "supplier_state", "supplier_rating", "standard_lead_time_days",
+                  "contractual_fill_rate_pct"]
+
+
+def supplier_exposure(foi: DataFrame, fim: DataFrame, suppliers: DataFrame, status: DataFrame,
+                      n: int = 20) -> DataFrame:
+    """K-26: supplier commercial and inventory exposure; the share is taken
+    over all suppliers before the limit."""
+    com = delivered(foi, status).groupBy("supplier_key").agg(
+        F.countDistinct("order_id").alias("delivered_orders"), F.sum("price").alias("_merch"),
+        F.sum("estimated_gross_margin").alias("_margin"))
+    inv = _cur_with(fim).groupBy("supplier_key").agg(
+        F.sum("closing_stock_qty").alias("current_units_on_hand"),
+        F.sum("estimated_closing_inventory_value").alias("_inv"),
+        count_if(F.col("is_below_reorder_point")).alias("below_reorder_rows"))
+    j = com.join(suppliers.select("supplier_key", *SUPPLIER_ATTRS), "supplier_key").join(inv, "supplier_key", "left")
+    j = with_share(j, "_merch", "merchandise_share_pct")
+    return (j.select(*SUPPLIER_ATTRS, "delivered_orders", F.round("_merch", 2).cast("double").alias("merchandise_value"),
+                     F.round("_margin", 2).cast("double").alias("estimated_gross_margin"),
+                     pct("_margin", "_merch").alias("estimated_margin_pct"), "current_units_on_hand",
+                     F.round("_inv", 2).cast("double").alias("current_inventory_value"), "below_reorder_rows",
+                     "merchandise_share_pct")
+            .orderBy(F.desc("merchandise_value"), "supplier_id").limit(n))
+
+
+def supplier_concentration(foi: DataFrame, status: DataFrame, tops: tuple[int, ...] = (5, 10, 20)) -> DataFrame:
+    """K-27: top-5/10/20 supplier shares of delivered merchandise.  Only the
+    top max(tops) suppliers are ranked (distributed top-k), the total comes
+    from a one-row aggregate: no window over all suppliers."""
+    s = delivered(foi, status).groupBy("supplier_key").agg(F.sum("price").alias("v"))
+    top = s.orderBy(F.desc("v"), "supplier_key").limit(max(tops))
+    ranked = top.withColumn("rk", F.row_number().over(Window.orderBy(F.desc("v"), "supplier_key")))
+    parts = ranked.agg(*[F.sum(F.when(F.col("rk") <= k, F.col("v")).otherwise(F.lit(0))).alias(f"_t{k}")
+                         for k in tops])
+    total = s.agg(F.sum("v").alias("_all"))
+    return parts.crossJoin(total).select(*[pct(f"_t{k}", "_all").alias(f"top_{k}_supplier_sales_share_pct")
+                                           for k in tops])
+
+
+def supplier_stockouts(fim: DataFrame, suppliers: DataFrame, n: int = 20) -> DataFrame:
+    """K-28."""
+    attrs = ["supplier_id", "supplier_name", "supplier_rating", "standard_lead_time_days", "contractual_fill_rate_pct"]
+    s = F.col("had_stockout")
+    g = (fim.join(suppliers.select("supplier_key", *attrs), "supplier_key").groupBy(*attrs)
+         .agg(F.count(F.lit(1)).alias("inventory_snapshot_rows"), count_if(s).alias("stockout_rows"),
+              F.sum("stockout_days").alias("stockout_days"),
+              pct(F.count_if(s), F.count(F.lit(1))).alias("stockout_row_rate_pct")))
+    return (g.filter(F.col("stockout_rows") > 0)
+            .orderBy(F.desc("stockout_days"), F.desc("stockout_row_rate_pct"), "supplier_id").limit(n))
+
+
+def inventory_turnover(fim: DataFrame) -> DataFrame:
+    """K-40 (our definition; the source names the KPI without a formula):
+    turnover = COGS sold / mean average-inventory value over the period;
+    days of supply = units on hand at the latest snapshot / mean daily units
+    sold over the period (30-day months)."""
+    period = fim.agg(F.sum("estimated_cogs_sold").alias("_cogs"), F.sum("estimated_average_inventory_value").alias("_avgv"),
+                     F.count(F.lit(1)).alias("_n"), F.sum("sold_qty").alias("_sold"),
+                     F.countDistinct("snapshot_date_key").alias("_months"))
+    cur = _cur_with(fim).agg(F.sum("closing_stock_qty").alias("_onhand"))
+    return period.crossJoin(cur).select(
+        F.round("_cogs", 2).cast("double").alias("cogs_sold"),
+        ratio(F.col("_cogs"), F.col("_avgv") / F.col("_n")).alias("inventory_turnover"),
+        F.col("_onhand").cast("long").alias("units_on_hand"),
+        ratio(F.col("_onhand"), F.col("_sold") / (F.col("_months") * 30)).alias("days_of_supply"))

@@ -368,7 +368,7 @@ def fact_inventory_monthly(inv: DataFrame, dates: DataFrame, stores: DataFrame,
                     (c < F.col("reorder_point")).alias("is_below_reorder_point"),
                     (F.col("stockout_days") > 0).alias("had_stockout")))
     keyed = with_dense_key(base, ["snapshot_month", "store_id", "product_id"], "inventory_key")
-    return _key_first(keyed, "inventory_key")
+    return _key_first(keyed, "inventory_key").drop("snapshot_month", "store_id", "product_id")
 
 
 def fact_store_plan(budget: DataFrame, targets: DataFrame, dates: DataFrame, stores: DataFrame) -> DataFrame:
