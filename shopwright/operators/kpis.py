@@ -630,3 +630,19 @@ def inventory_turnover(fim: DataFrame) -> DataFrame:
         ratio(F.col("_cogs"), F.col("_avgv") / F.col("_n")).alias("inventory_turnover"),
         F.col("_onhand").cast("long").alias("units_on_hand"),
         ratio(F.col("_onhand"), F.col("_sold") / (F.col("_months") * 30)).alias("days_of_supply"))
+
+
+def marketing_by_store(fo: DataFrame, fms: DataFrame, dates: DataFrame, stores: DataFrame,
+                       status: DataFrame) -> DataFrame:
+    """K-35: marketing against delivered sales per store (full outer coverage)."""
+    c = sales_marketing_coverage(fo, fms, dates, status)
+    s, m = F.col("delivered_sales"), F.col("marketing_spend")
+    return (c.join(F.broadcast(stores.select("store_key", "store_id", "store_name", "store_format")), "store_key")
+            .groupBy("store_id", "store_name", "store_format")
+            .agg(F.round(F.sum(s), 2).cast("double").alias("delivered_sales"),
+                 F.round(F.sum(m), 2).cast("double").alias("total_marketing_spend"),
+                 F.round(F.sum(F.when(s > 0, m).otherwise(F.lit(0))), 2).cast("double")
+                 .alias("active_month_marketing_spend"),
+                 count_if((s == 0) & (m > 0)).alias("marketing_months_without_sales"),
+                 pct(F.sum(m), F.sum(s)).alias("marketing_spend_pct_sales"))
+            .orderBy(F.desc_nulls_first("marketing_spend_pct_sales"), "store_id"))
