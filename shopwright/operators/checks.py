@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import pct, ratio, round_half_up
+from ..functions.columns import pct, ratio, round_half_up  # noqa: F401
 
 SEVERITY_RANK = {"ERROR": 1, "WARNING": 2, "INFO": 3}  # fixed values
 
@@ -291,3 +291,98 @@ def geo_coverage(entities: DataFrame, zip_col: str, geo: DataFrame, label: str)
 
 
 __all__ = ["CORE_CHECKS", "EXTENDED_CHECKS", "Check", "run_checks", "round_half_up"]
+
+
+# ------------------------------------------------------------------ model checks Q-36..Q-46
+
+def row_counts(tables: dict[str, DataFrame], label: str = "table_name") -> DataFrame:
+    """Q-36 / Q-42: row count per table."""
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias(label), "row_count")
+             for n, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts).orderBy(label)
+
+
+def duplicate_groups(specs: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
+    """Q-37: business-key groups with more than one row, per fact."""
+    parts = [df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+             .agg(F.count(F.lit(1)).alias("duplicate_groups")).select(F.lit(n).alias("check_name"), "duplicate_groups")
+             for n, df, cols in specs]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def missing_keys(specs: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """Q-38: NULL dimension keys; one aggregate per table for all its keys."""
+    by_df: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
+    for name, df, col in specs:
+        by_df.setdefault(id(df), (df, []))[1].append((name, col))
+    parts = []
+    for df, cols in by_df.values():
+        row = df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(f"_m{i}") for i, (_, c) in enumerate(cols)])
+        items = [F.struct(F.lit(n).alias("check_name"), F.col(f"_m{i}").alias("issue_count"))
+                 for i, (n, _) in enumerate(cols)]
+        parts.append(row.select(F.explode(F.array(*items)).alias("x")).select("x.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def order_quality_flags(fo: DataFrame) -> DataFrame:
+    """Q-39: the eight flag counts of fact_orders, one row."""
+    c = F.col
+    return fo.agg(F.count(F.lit(1)).alias("orders"),
+                  F.count_if(~c("has_items")).cast("long").alias("orders_without_items"),
+                  F.count_if(~c("has_payment")).cast("long").alias("orders_without_payment"),
+                  F.count_if(c("has_payment_reconciliation_issue")).cast("long").alias("payment_reconciliation_issues"),
+                  F.count_if(c("has_carrier_before_purchase_anomaly")).cast("long").alias("carrier_before_purchase"),
+                  F.count_if(c("has_delivery_before_carrier_anomaly")).cast("long").alias("delivery_before_carrier"),
+                  F.count_if(c("has_missing_delivery_timestamp")).cast("long").alias("delivered_missing_timestamp"),
+                  F.count_if(c("is_late_delivery")).cast("long").alias("late_deliveries"))
+
+
+def compare_totals(pairs: list[tuple[str, DataFrame, str]], money: bool = True) -> DataFrame:
+    """Q-40 / Q-44: named totals from several tables side by side, one row
+    (one-row aggregates cross joined: each side is a single scan)."""
+    out = None
+    for name, df, col in pairs:
+        s = F.sum(col)
+        one = df.agg((F.round(s, 2).cast("double") if money else s.cast("long")).alias(name))
+        out = one if out is None else out.crossJoin(one)
+    return out
+
+
+def population_decomposition(fo: DataFrame) -> DataFrame:
+    """Q-41: items x payment presence, and paid value without items."""
+    i, p = F.col("has_items"), F.col("has_payment")
+    return fo.agg(F.count_if(i & p).cast("long").alias("orders_with_items_and_payment"),
+                  F.count_if(~i & p).cast("long").alias("paid_orders_without_items"),
+                  F.count_if(i & ~p).cast("long").alias("item_orders_without_payment"),
+                  F.count_if(~i & ~p).cast("long").alias("orders_without_items_or_payment"),
+                  F.round(F.sum(F.when(~i & p, F.col("payment_value"))), 2).cast("double")
+                  .alias("payment_value_without_items"))
+
+
+def inventory_accounting(fim: DataFrame) -> DataFrame:
+    """Q-43: balance errors, negative closing stock, stockout rows and rate."""
+    c = F.col
+    bal = c("opening_stock_qty") + c("received_qty") - c("sold_qty") != c("closing_stock_qty")
+    return fim.agg(F.count(F.lit(1)).alias("inventory_rows"), F.count_if(bal).cast("long").alias("balance_errors"),
+                   F.count_if(c("closing_stock_qty") < 0).cast("long").alias("negative_closing_stock"),
+                   F.count_if(c("had_stockout")).cast("long").alias("stockout_rows"),
+                   pct(F.count_if(c("had_stockout")), F.count(F.lit(1))).alias("stockout_row_rate_pct"))
+
+
+def profitability_coverage(foi: DataFrame) -> DataFrame:
+    """Q-45: missing cost, COGS, margin, margin %, and totals."""
+    c = F.col
+    return foi.agg(F.count(F.lit(1)).alias("item_rows"),
+                   *[F.count_if(c(x).isNull()).cast("long").alias(n) for x, n in
+                     [("estimated_unit_cost", "missing_cost"), ("estimated_cogs", "missing_cogs"),
+                      ("estimated_gross_margin", "missing_margin"), ("estimated_gross_margin_pct", "missing_margin_pct")]],
+                   F.round(F.sum("estimated_cogs"), 2).cast("double").alias("estimated_cogs"),
+                   F.round(F.sum("estimated_gross_margin"), 2).cast("double").alias("estimated_gross_margin"))
+
+
+def calendar_continuity(dim_date: DataFrame) -> DataFrame:
+    """Q-46: first and last day, rows, and days missing in between."""
+    return dim_date.agg(F.min("full_date").alias("min_date"), F.max("full_date").alias("max_date"),
+                        F.count(F.lit(1)).alias("calendar_rows"),
+                        (F.datediff(F.max("full_date"), F.min("full_date")) + 1
+                         - F.countDistinct("full_date")).cast("long").alias("missing_days"))
