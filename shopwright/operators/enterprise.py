@@ -367,3 +367,208 @@ def roll_inventory(units: DataFrame, f: Factors = DEFAULT) -> DataFrame:
                     *[F.col(c).cast("int").alias(c) for c in ("opening_stock_qty", "received_qty", "sold_qty",
                                                               "closing_stock_qty")],
                     reorder.cast("int").alias("reorder_point"), days.cast("int").alias("stockout_days"))
+
+
+# ----------------------------------------------------------------- M-13..M-22 validation
+
+def describe(df: DataFrame, col: str, percentiles: tuple[float, ...], metric: str | None = None,
+             scale: int = 2) -> DataFrame:
+    """pandas-style describe of one column as one row: count, mean, sample
+    std, min, exact percentiles, max (rounded half-up)."""
+    x = F.col(col).cast("double")
+    pcts = F.percentile(x, F.array(*[F.lit(p) for p in percentiles]))
+    row = df.agg(F.count(x).alias("count"), (F.sum(F.col(col)).cast("double") / F.count(x)).alias("_mean"),
+                 F.stddev_samp(x).alias("_std"), F.min(x).alias("_min"), pcts.alias("_p"), F.max(x).alias("_max"))
+    return row.select(F.lit(metric or col).alias("metric"), "count",
+                      round_half_up("_mean", scale).alias("mean"), round_half_up("_std", scale).alias("std"),
+                      round_half_up("_min", scale).alias("min"),
+                      *[round_half_up(F.col("_p")[i], scale).alias(f"p{int(round(p * 100)):02d}")
+                        for i, p in enumerate(percentiles)],
+                      round_half_up("_max", scale).alias("max"))
+
+
+def _flags(row: DataFrame, names: list[str]) -> DataFrame:
+    return row.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("passed"))
+                                         for n in names])).alias("x")).select("x.*")
+
+
+def validate_enterprise(orders: DataFrame, products: DataFrame, stores: DataFrame, assignment: DataFrame,
+                        suppliers: DataFrame, mapping: DataFrame, cost: DataFrame, inventory: DataFrame,
+                        budgets: DataFrame, targets: DataFrame, marketing: DataFrame) -> DataFrame:
+    """M-13: structural checks of the generated tables -> (check_name, passed)."""
+    n = lambda df, a: df.agg(F.count(F.lit(1)).alias(a))
+    nd = lambda df, c, a: df.agg(F.countDistinct(c).alias(a))
+    anti = lambda df, c, ref, rc, a: (df.select(F.col(c).alias("_k")).filter(F.col("_k").isNotNull())
+                                      .join(ref.select(F.col(rc).alias("_k")), "_k", "left_anti")
+                                      .agg(F.count(F.lit(1)).alias(a)))
+    parts = [n(stores, "stores"), nd(stores, "store_id", "stores_d"), n(orders, "orders"), n(assignment, "asg"),
+             nd(assignment, "order_id", "asg_d"),
+             assignment.agg(F.count_if(F.col("store_id").isNull()).alias("asg_null")),
+             anti(assignment, "store_id", stores, "store_id", "asg_orphan"),
+             n(suppliers, "sup"), nd(suppliers, "supplier_id", "sup_d"), n(products, "products"),
+             n(mapping, "map"), nd(mapping, "product_id", "map_d"),
+             anti(mapping, "supplier_id", suppliers, "supplier_id", "map_orphan"),
+             n(cost, "cost"), nd(cost, "product_id", "cost_d"),
+             cost.agg(F.count_if(F.col("estimated_unit_cost") < 0).alias("cost_neg"),
+                      F.count_if(~F.col("cost_ratio").between(0, 1)).alias("ratio_bad")),
+             inventory.agg(F.count_if(F.col("closing_stock_qty") < 0).alias("inv_neg"),
+                           F.count_if(F.col("opening_stock_qty") + F.col("received_qty") - F.col("sold_qty")
+                                      != F.col("closing_stock_qty")).alias("inv_bal")),
+             n(budgets, "bud"), n(targets, "tgt"), n(marketing, "mkt")]
+    row = parts[0]
+    for p in parts[1:]:
+        row = row.crossJoin(p)  # one-row aggregates
+    c = F.col
+    checks = {
+        "stores_unique": c("stores") == c("stores_d"),
+        "all_orders_assigned": c("asg") == c("orders"),
+        "assignment_order_unique": c("asg") == c("asg_d"),
+        "assignment_store_not_null": c("asg_null") == 0,
+        "assignment_store_in_stores": c("asg_orphan") == 0,
+        "suppliers_unique": c("sup") == c("sup_d"),
+        "mapping_covers_products": c("map") == c("products"),
+        "mapping_product_unique": c("map") == c("map_d"),
+        "mapping_supplier_in_suppliers": c("map_orphan") == 0,
+        "cost_covers_products": c("cost") == c("products"),
+        "cost_product_unique": c("cost") == c("cost_d"),
+        "cost_nonnegative": c("cost_neg") == 0,
+        "cost_ratio_between_0_and_1": c("ratio_bad") == 0,
+        "inventory_closing_nonnegative": c("inv_neg") == 0,
+        "inventory_balances": c("inv_bal") == 0,
+        "budget_target_rows_equal": c("bud") == c("tgt"),
+        "marketing_rows_five_per_plan_row": c("mkt") == c("bud") * len(CHANNELS),
+    }
+    return _flags(row.select(*[v.alias(k) for k, v in checks.items()]), list(checks))
+
+
+def assignment_mix(assignment: DataFrame) -> DataFrame:
+    """M-15: orders per assignment method with share."""
+    g = assignment.groupBy("assignment_method").agg(F.count(F.lit(1)).alias("orders"))
+    tot = g.agg(F.sum("orders").alias("_t"))
+    from ..functions.columns import pct
+    return g.crossJoin(F.broadcast(tot)).select("assignment_method", "orders", pct("orders", "_t").alias("pct"))
+
+
+def store_distribution(delivered: DataFrame, stores: DataFrame) -> DataFrame:
+    """M-16: delivered orders and sales per store with share."""
+    from ..functions.columns import pct
+    g = delivered.groupBy("store_id").agg(F.countDistinct("order_id").alias("delivered_orders"),
+                                          F.sum("gross_order_value").alias("_g"))
+    tot = g.agg(F.sum("_g").alias("_t"))
+    return (g.join(F.broadcast(stores.select("store_id", "state", "store_format")), "store_id", "left")
+            .crossJoin(F.broadcast(tot))
+            .select("store_id", "state", "store_format", "delivered_orders",
+                    F.round("_g", 2).cast("double").alias("gross_order_value"), pct("_g", "_t").alias("sales_share_pct")))
+
+
+def supplier_distribution(suppliers: DataFrame, mapping: DataFrame) -> DataFrame:
+    """M-17: describe of supplier attributes and of products per supplier."""
+    q = (0.25, 0.5, 0.75)
+    per = mapping.groupBy("supplier_id").agg(F.count(F.lit(1)).alias("products_per_supplier"))
+    parts = [describe(suppliers, c, q) for c in ("supplier_rating", "standard_lead_time_days",
+                                                 "contractual_fill_rate_pct")] + [describe(per, "products_per_supplier", q)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def margin_distribution(cost: DataFrame, d_items: DataFrame) -> DataFrame:
+    """M-18: cost-ratio summary and estimated product margin % distribution."""
+    per = d_items.groupBy("product_id").agg((F.sum("price") / F.count("price")).cast("double").alias("_avg"))
+    m = (per.join(cost, "product_id", "left")
+         .select((F.lit(100.0) * (F.col("_avg") - F.col("estimated_unit_cost").cast("double")) / F.col("_avg"))
+                 .alias("estimated_margin_pct")))
+    q = (0.05, 0.25, 0.5, 0.75, 0.95)
+    return describe(cost, "cost_ratio", q, scale=4).unionByName(describe(m, "estimated_margin_pct", q))
+
+
+def inventory_plausibility(inventory: DataFrame) -> DataFrame:
+    """M-19: balance, negatives, stockout rate, and combinations reaching the last month."""
+    from ..functions.columns import pct
+    last = inventory.agg(F.max("snapshot_month").alias("_last"))
+    combos = (inventory.groupBy("store_id", "product_id").agg(F.max("snapshot_month").alias("_m"))
+              .crossJoin(F.broadcast(last))
+              .agg(F.count(F.lit(1)).alias("store_product_combinations"),
+                   F.count_if(F.col("_m") == F.col("_last")).cast("long").alias("combinations_at_final_month")))
+    c = F.col
+    base = inventory.agg(
+        F.count(F.lit(1)).alias("inventory_rows"), F.countDistinct("product_id").alias("distinct_products"),
+        F.countDistinct("store_id").alias("distinct_stores"),
+        F.count_if(c("opening_stock_qty") + c("received_qty") - c("sold_qty") != c("closing_stock_qty"))
+        .cast("long").alias("balance_errors"),
+        F.count_if(c("closing_stock_qty") < 0).cast("long").alias("negative_closing_rows"),
+        F.count_if(c("stockout_days") > 0).cast("long").alias("stockout_rows"),
+        pct(F.count_if(c("stockout_days") > 0), F.count(F.lit(1))).alias("stockout_row_rate_pct"),
+        F.max("snapshot_month").alias("latest_inventory_month"))
+    return base.crossJoin(combos)
+
+
+def stockout_days_distribution(inventory: DataFrame) -> DataFrame:
+    """M-19 (second part)."""
+    return describe(inventory, "stockout_days", (0.5, 0.75, 0.9, 0.95, 0.99))
+
+
+def plan_attainment_distribution(budgets: DataFrame, targets: DataFrame, delivered: DataFrame) -> DataFrame:
+    """M-20: actual as % of budget and of target over store-months with sales."""
+    a = delivered.groupBy("month", "store_id").agg(F.sum("gross_order_value").alias("_a"))
+    p = (budgets.join(targets, (budgets.budget_month == targets.target_month) & (budgets.store_id == targets.store_id))
+         .select(budgets.budget_month.alias("month"), budgets.store_id, "sales_budget", "sales_target")
+         .join(a, ["month", "store_id"], "left").filter(F.col("_a") > 0))
+    x = p.select((F.lit(100.0) * F.col("_a").cast("double") / F.col("sales_budget").cast("double")).alias("actual_pct_budget"),
+                 (F.lit(100.0) * F.col("_a").cast("double") / F.col("sales_target").cast("double")).alias("actual_pct_target"))
+    q = (0.05, 0.25, 0.5, 0.75, 0.95)
+    return describe(x, "actual_pct_budget", q).unionByName(describe(x, "actual_pct_target", q))
+
+
+def marketing_plausibility(marketing: DataFrame, delivered: DataFrame) -> DataFrame:
+    """M-21: marketing spend as % of sales over store-months with sales."""
+    a = delivered.groupBy("month", "store_id").agg(F.sum("gross_order_value").alias("_a"))
+    m = marketing.groupBy("month", "store_id").agg(F.sum("spend").alias("_m"))
+    x = a.join(m, ["month", "store_id"], "left").select(
+        (F.lit(100.0) * F.col("_m").cast("double") / F.col("_a").cast("double")).alias("marketing_pct_sales"))
+    return describe(x, "marketing_pct_sales", (0.05, 0.25, 0.5, 0.75, 0.95))
+
+
+def run_assertions(stores: DataFrame, orders: DataFrame, assignment: DataFrame, products: DataFrame,
+                   mapping: DataFrame, cost: DataFrame, inventory: DataFrame, budgets: DataFrame, targets: DataFrame,
+                   marketing: DataFrame, f: Factors = DEFAULT) -> DataFrame:
+    """M-22: the named pass/fail assertions -> (assertion, status)."""
+    plaus = inventory_plausibility(inventory)
+    c = F.col
+    row = (stores.agg(F.count(F.lit(1)).alias("ns"))
+           .crossJoin(orders.agg(F.count(F.lit(1)).alias("no")))
+           .crossJoin(assignment.agg(F.count(F.lit(1)).alias("na"), F.count_if(c("store_id").isNull()).alias("na_null")))
+           .crossJoin(products.agg(F.count(F.lit(1)).alias("np")))
+           .crossJoin(mapping.agg(F.countDistinct("product_id").alias("nm")))
+           .crossJoin(cost.agg(F.countDistinct("product_id").alias("nc"),
+                               F.count_if(~c("cost_ratio").between(0, 1)).alias("bad_ratio")))
+           .crossJoin(plaus)
+           .crossJoin(budgets.agg(F.count(F.lit(1)).alias("nb")))
+           .crossJoin(targets.agg(F.count(F.lit(1)).alias("nt")))
+           .crossJoin(marketing.agg(F.count(F.lit(1)).alias("nmk"))))
+    rate = c("stockout_rows") / c("inventory_rows")
+    checks = {  # fixed names
+        f"{f.n_stores} stores": c("ns") == f.n_stores,
+        "all orders assigned": (c("na") == c("no")) & (c("na_null") == 0),
+        "all products mapped to supplier": c("nm") == c("np"),
+        "all products have cost": c("nc") == c("np"),
+        "cost ratios between 0 and 1": c("bad_ratio") == 0,
+        "inventory balances": c("balance_errors") == 0,
+        "no negative closing inventory": c("negative_closing_rows") == 0,
+        "inventory contains meaningful stockouts": (rate >= 0.01) & (rate <= 0.20),
+        "inventory combinations persist to final month":
+            c("combinations_at_final_month") == c("store_product_combinations"),
+        "budget and target grains align": c("nb") == c("nt"),
+        "five marketing channels per plan row": c("nmk") == c("nb") * len(CHANNELS),
+    }
+    flags = row.select(*[F.when(v, "PASS").otherwise("FAIL").alias(k) for k, v in checks.items()])
+    return flags.select(F.explode(F.array(*[F.struct(F.lit(k).alias("assertion"), F.col(f"`{k}`").alias("status"))
+                                            for k in checks])).alias("x")).select("x.*")
+
+
+def raise_if_failed(result: DataFrame, status_col: str = "status", name_col: str = "assertion") -> None:
+    """Driver-side verdict over a small result (one row per assertion)."""
+    failed = [r[name_col] for r in result.filter(F.col(status_col) != "PASS").collect()]
+    if failed:
+        raise RuntimeError("Validation failed: " + ", ".join(failed))
