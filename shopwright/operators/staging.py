@@ -95,7 +95,7 @@ def stg_order_reviews(raw: DataFrame) -> DataFrame:
         to_ts("review_answer_timestamp", _t(raw, "review_answer_timestamp")).alias("review_answer_timestamp"))
 
 
-def stg_geolocation(raw: DataFrame, dedupe: bool = False) -> DataFrame:
+def stg_geolocation(raw: DataFrame, dedupe: bool = False, exact: bool = True) -> DataFrame:
     """G-09: one representative row per ZIP.
 
     Median latitude/longitude (continuous percentile), modal city and state
@@ -105,11 +105,12 @@ def stg_geolocation(raw: DataFrame, dedupe: bool = False) -> DataFrame:
     task except for the percentile buffers, which hold the values of a ZIP.
     """
     src = raw.dropDuplicates() if dedupe else raw
+    med = ((lambda c: F.percentile(F.col(c).cast("double"), F.lit(0.5))) if exact
+           else (lambda c: F.percentile_approx(F.col(c).cast("double"), 0.5, 10000)))
     city = blank_to_null("geolocation_city")
     state = F.upper(blank_to_null("geolocation_state"))
     return (src.groupBy(zip5("geolocation_zip_code_prefix").alias("zip_code_prefix"))
-            .agg(F.percentile(F.col("geolocation_lat").cast("double"), F.lit(0.5)).alias("latitude"),
-                 F.percentile(F.col("geolocation_lng").cast("double"), F.lit(0.5)).alias("longitude"),
+            .agg(med("geolocation_lat").alias("latitude"), med("geolocation_lng").alias("longitude"),
                  F.mode(city, deterministic=True).alias("city"),
                  F.mode(state, deterministic=True).alias("state"),
                  F.count(F.lit(1)).cast("int").alias("source_row_count"),
