@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import with_group_sequence
+from ..functions.keys import with_dense_key, with_group_sequence
 from .tables import ParquetTables
 
 ZZ_NATION = 23
@@ -185,27 +185,33 @@ def raw_leads(t: ParquetTables) -> DataFrame:
 def raw_deals(t: ParquetTables) -> DataFrame:
     """Each signup's first purchase by the same user strictly after it.
 
-    Signups and purchases are put in one stream per user ordered by time
-    (descending) and a running minimum carries the next purchase back to
-    the signup: one sort, no pairs.
+    Skew-safe without a per-user window: ``g`` is the dense index of every
+    event in (user, ts, purchase-before-signup, id) order and ``k`` the
+    dense index in (kind, user, ts, id) order, which ranks purchases 1..P
+    and signups P+1..P+S.  The purchases ordered before a signup number
+    ``g - (k - P)``, so its next purchase is the one with rank
+    ``g - (k - P) + 1``: an equi-join on a unique rank, kept when the user
+    matches.  Range partitioning spreads a hot user over many tasks.
     """
-    e = t["events"].filter(F.col("event_type").isin("signup", "purchase"))
-    is_p = (F.col("event_type") == "purchase")
-    purchase = F.when(is_p, F.struct(F.col("ts").alias("ts"), F.col("event_id").alias("pid"),
-                                     F.col("value").alias("pval")))
-    w = (Window.partitionBy("user_id")
-         .orderBy(F.col("ts").desc(), is_p.cast("int").asc(), F.col("event_id").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nxt = (e.withColumn("_p", purchase)
-           .withColumn("_next", F.min("_p").over(w))
-           .filter(~is_p & F.col("_next").isNotNull()))
-    pid, pval = F.col("_next.pid"), F.col("_next.pval")
+    e = (t["events"].filter(F.col("event_type").isin("signup", "purchase"))
+         .select("event_id", "user_id", "ts", "value",
+                 F.when(F.col("event_type") == "purchase", 0).otherwise(1).alias("_kind")))
+    g = with_dense_key(e, ["user_id", "ts", "_kind", "event_id"], "_g")
+    k = with_dense_key(g, ["_kind", "user_id", "ts", "event_id"], "_k")
+    n_p = e.filter(F.col("_kind") == 0).agg(F.count(F.lit(1)).alias("_np"))
+    signups = (k.filter(F.col("_kind") == 1).crossJoin(F.broadcast(n_p))  # one-row relation
+               .select("event_id", "user_id", (F.col("_g") - (F.col("_k") - F.col("_np")) + 1).alias("_want")))
+    purchases = k.filter(F.col("_kind") == 0).select(
+        F.col("_k").alias("_want"), F.col("user_id").alias("_pu"), F.col("ts").alias("_pts"),
+        F.col("event_id").alias("_pid"), F.col("value").alias("_pval"))
+    nxt = signups.join(purchases, "_want").filter(F.col("_pu") == F.col("user_id"))
+    pid, pval = F.col("_pid"), F.col("_pval")
     return nxt.select(
         F.col("event_id").alias("mql_id"),
         F.col("user_id").alias("seller_id"),
         F.concat(F.lit("sdr_"), (F.col("user_id") % 5).cast("string")).alias("sdr_id"),
         F.concat(F.lit("sr_"), (F.col("user_id") % 3).cast("string")).alias("sr_id"),
-        F.col("_next.ts").alias("won_date"),
+        F.col("_pts").alias("won_date"),
         _pick(SEGMENTS, pid).alias("business_segment"),
         _pick(LEAD_TYPES, pid).alias("lead_type"),
         _pick(PROFILES, F.col("event_id")).alias("lead_behaviour_profile"),

@@ -175,3 +175,26 @@ def test_no_single_partition_exchange_in_fact_builders(spark):
             if "Exchange SinglePartition" in line:
                 # only the per-partition row counts of the dense key (one row per partition)
                 assert "_dk_pid" in lines[i + 1], (name, line)
+
+
+def test_deals_next_purchase_with_hot_user_matches_brute_force(spark):
+    import random
+    from shopwright.sources.bindings import raw_deals
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(600):
+        user = 0 if i < 400 else rnd.randrange(1, 30)          # user 0 holds two thirds of the events
+        kind = rnd.choice(["signup", "purchase", "view"])
+        rows.append((i, base + dt.timedelta(minutes=rnd.randrange(0, 300)), user, kind, float(i % 37), "{}"))
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                                     "value double, props string")
+    got = {r.mql_id: (r.won_date, r.seller_id) for r in raw_deals({"events": ev}).collect()}
+    want = {}
+    for e_id, ts_, u, k, _, _ in rows:
+        if k != "signup":
+            continue
+        later = sorted((t2, i2) for i2, t2, u2, k2, _, _ in rows if k2 == "purchase" and u2 == u and t2 > ts_)
+        if later:
+            want[e_id] = (later[0][0], u)
+    assert got == want
