@@ -35,7 +35,8 @@ RAW = {
 # executor only costs the tasks of the table being built.
 MATERIALIZED = frozenset({
     "stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews", "stg_deals",
-    "dim_date", "dim_date_full", "stg_geolocation", "fact_orders", "fact_order_items", "fact_payments", "fact_reviews",
+    "dim_date", "dim_date_full", "stg_geolocation", "dim_order_status", "dim_customer", "dim_product",
+    "dim_seller", "dim_store", "dim_supplier", "dim_marketing_channel", "stg_stores", "stg_suppliers", "fact_orders", "fact_order_items", "fact_payments", "fact_reviews",
     "gen_stores", "gen_assignment", "gen_product_supplier", "gen_product_cost", "gen_monthly_actuals",
     "gen_skeleton", "gen_budget", "gen_targets", "gen_marketing", "gen_eligible_products",
     "gen_monthly_units", "gen_inventory", "fact_order_items_ent", "fact_orders_ent",
