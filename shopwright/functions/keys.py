@@ -39,8 +39,9 @@ def with_dense_key(df: DataFrame, order_cols: list[str | Column], key: str,
     ordered = ordered.checkpoint(eager=True)
     counts = ordered.groupBy("_dk_pid").agg(F.count(F.lit(1)).alias("_dk_n"))
     before = Window.orderBy("_dk_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition; written once so consumers never rescan the data
     offsets = counts.select(
-        "_dk_pid", F.coalesce(F.sum("_dk_n").over(before), F.lit(0)).alias("_dk_off"))
+        "_dk_pid", F.coalesce(F.sum("_dk_n").over(before), F.lit(0)).alias("_dk_off")).checkpoint(eager=True)
     return (ordered.join(F.broadcast(offsets), "_dk_pid")
             .withColumn(key, (F.col("_dk_off") + F.col("_dk_pos") + 1).cast("long"))
             .drop("_dk_pid", "_dk_pos", "_dk_off"))

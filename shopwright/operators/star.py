@@ -174,8 +174,16 @@ def valid_timeline(purchase: Column, carrier: Column, delivered: Column) -> Colu
             & (carrier.isNull() | ((carrier >= purchase) & (delivered >= carrier))))
 
 
+def _with_status_key(df: DataFrame, status: DataFrame | None) -> DataFrame:
+    """D-14 before keying: the status dimension is a closed domain of a few
+    rows, so the join is a broadcast hash join."""
+    if status is None:
+        return df
+    return df.join(F.broadcast(status.select("order_status", "order_status_key")), "order_status", "left")
+
+
 def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
-                customers: DataFrame) -> DataFrame:
+                customers: DataFrame, status: DataFrame | None = None) -> DataFrame:
     """D-10: orders x (item aggregate, payment aggregate) with keys,
     reconciliation, durations and timeline flags."""
     o = orders.alias("o")
@@ -226,19 +234,27 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
                 (dlv.isNotNull() & car.isNotNull() & (dlv < car)).alias("has_delivery_before_carrier_anomaly"),
                 ((F.col("o.order_status") == "delivered") & dlv.isNull())
                 .alias("has_missing_delivery_timestamp")))
+    cols = base.columns + (["order_status_key"] if status is not None else [])
+    base = _with_status_key(base, status).select(*cols)
     return _key_first(with_dense_key(base, ["order_id"], "order_key"), "order_key")
 
 
 # --------------------------------------------------------------------------- D-11..D-13
 
 def _order_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """order_id -> (customer_key, purchase timestamp); one row per order."""
+    """order_id -> (customer_key, purchase timestamp, status); one row per order."""
     return (orders.join(customers.select("customer_id", "customer_key"), "customer_id", "inner")
-            .select("order_id", "customer_key", "order_purchase_timestamp"))
+            .select("order_id", "customer_key", "order_purchase_timestamp", "order_status"))
+
+
+def _finish(base: DataFrame, status: DataFrame | None, order: list[str], key: str) -> DataFrame:
+    cols = [c for c in base.columns if c != "order_status"] + (["order_status_key"] if status is not None else [])
+    keyed = with_dense_key(_with_status_key(base, status).select(*cols), order, key)
+    return _key_first(keyed, key)
 
 
 def fact_order_items(items: DataFrame, orders: DataFrame, customers: DataFrame,
-                     products: DataFrame, sellers: DataFrame) -> DataFrame:
+                     products: DataFrame, sellers: DataFrame, status: DataFrame | None = None) -> DataFrame:
     """D-11: items with customer, product, seller keys; gross item value."""
     oc = _order_customer(orders, customers)
     base = (items.join(oc, "order_id", "inner")
@@ -249,24 +265,24 @@ def fact_order_items(items: DataFrame, orders: DataFrame, customers: DataFrame,
                     date_key("shipping_limit_date").alias("shipping_limit_date_key"),
                     "shipping_limit_date", "price", "freight_value",
                     (F.col("price") + F.col("freight_value")).cast("decimal(14,2)").alias("gross_item_value"),
-                    "product_id", "seller_id"))
-    return _key_first(with_dense_key(base, ["order_id", "order_item_id"], "order_item_key"),
-                      "order_item_key")
+                    "product_id", "seller_id", "order_status"))
+    return _finish(base, status, ["order_id", "order_item_id"], "order_item_key")
 
 
-def fact_payments(payments: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
+def fact_payments(payments: DataFrame, orders: DataFrame, customers: DataFrame,
+                  status: DataFrame | None = None) -> DataFrame:
     """D-12: payments with customer key and the invalid-instalment flag."""
     oc = _order_customer(orders, customers)
     base = (payments.join(oc, "order_id", "inner")
             .select("order_id", "payment_sequential", "customer_key",
                     date_key("order_purchase_timestamp").alias("purchase_date_key"),
                     "payment_type", "payment_installments", "payment_value",
-                    (F.col("payment_installments") <= 0).alias("has_invalid_installment_count")))
-    return _key_first(with_dense_key(base, ["order_id", "payment_sequential"], "payment_key"),
-                      "payment_key")
+                    (F.col("payment_installments") <= 0).alias("has_invalid_installment_count"), "order_status"))
+    return _finish(base, status, ["order_id", "payment_sequential"], "payment_key")
 
 
-def fact_reviews(reviews: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
+def fact_reviews(reviews: DataFrame, orders: DataFrame, customers: DataFrame,
+                 status: DataFrame | None = None) -> DataFrame:
     """D-13: reviews with comment flags and response hours (NULL when the
     answer precedes the creation)."""
     oc = _order_customer(orders, customers)
@@ -281,26 +297,12 @@ def fact_reviews(reviews: DataFrame, orders: DataFrame, customers: DataFrame) ->
                     "review_comment_title", "review_comment_message", cre, ans,
                     F.when(ans.isNotNull() & cre.isNotNull() & (ans >= cre),
                            F.round((seconds_between(cre, ans) / 3600.0).cast("decimal(20,8)"), 2))
-                    .cast("decimal(12,2)").alias("review_response_hours")))
-    return _key_first(with_dense_key(base, ["review_id", "order_id"], "review_key"), "review_key")
+                    .cast("decimal(12,2)").alias("review_response_hours"), "order_status"))
+    return _finish(base, status, ["review_id", "order_id"], "review_key")
 
 
 # --------------------------------------------------------------------------- D-14 / D-15
 
-def add_status_key(fact: DataFrame, orders: DataFrame, status: DataFrame) -> DataFrame:
-    """D-14: the order's status key on any fact keyed by order_id (the
-    UPDATE ... FROM of the source becomes a left join).  The status
-    dimension is a closed domain of a few rows, so it is broadcast."""
-    if "order_status" in fact.columns:
-        keyed = fact
-    else:
-        keyed = fact.join(orders.select("order_id", "order_status"), "order_id", "left")
-    st = F.broadcast(status.select("order_status", "order_status_key"))
-    out = keyed.join(st, "order_status", "left")
-    cols = [c for c in fact.columns] + ["order_status_key"]
-    return out.select(*cols)
-
-
 def add_store_key(fact: DataFrame, assignment: DataFrame, stores: DataFrame) -> DataFrame:
     """D-15: the order's store key (assignment left join, stores broadcast:
     the store list is a fixed, small set)."""

@@ -35,8 +35,9 @@ RAW = {
 # executor only costs the tasks of the table being built.
 MATERIALIZED = frozenset({
     "stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews", "stg_deals",
-    "dim_date", "dim_date_full", "stg_geolocation", "dim_order_status", "dim_customer", "dim_product",
-    "dim_seller", "dim_store", "dim_supplier", "dim_marketing_channel", "stg_stores", "stg_suppliers", "fact_orders", "fact_order_items", "fact_payments", "fact_reviews",
+    # keyed dimensions and facts are already written by their dense-key checkpoint
+    "dim_date", "dim_date_full", "stg_geolocation", "dim_order_status", "dim_store", "dim_marketing_channel",
+    "stg_stores", "stg_suppliers",
     "gen_stores", "gen_assignment", "gen_product_supplier", "gen_product_cost", "gen_monthly_actuals",
     "gen_skeleton", "gen_budget", "gen_targets", "gen_marketing", "gen_eligible_products",
     "gen_monthly_units", "gen_inventory", "fact_order_items_ent", "fact_orders_ent",
@@ -95,27 +96,21 @@ class Warehouse:
         return D.dim_product(self["stg_products"], self["stg_category_translation"])
     def _build_dim_order_status(self): return D.dim_order_status(self["stg_orders"])
 
-    def _build_fact_orders_base(self):
+    def _build_fact_orders(self):
         return D.fact_orders(self["stg_orders"], self["stg_order_items"], self["stg_order_payments"],
-                             self["dim_customer"])
+                             self["dim_customer"], self["dim_order_status"])
 
-    def _build_fact_order_items_base(self):
+    def _build_fact_order_items(self):
         return D.fact_order_items(self["stg_order_items"], self["stg_orders"], self["dim_customer"],
-                                  self["dim_product"], self["dim_seller"])
+                                  self["dim_product"], self["dim_seller"], self["dim_order_status"])
 
-    def _build_fact_payments_base(self):
-        return D.fact_payments(self["stg_order_payments"], self["stg_orders"], self["dim_customer"])
+    def _build_fact_payments(self):
+        return D.fact_payments(self["stg_order_payments"], self["stg_orders"], self["dim_customer"],
+                               self["dim_order_status"])
 
-    def _build_fact_reviews_base(self):
-        return D.fact_reviews(self["stg_order_reviews"], self["stg_orders"], self["dim_customer"])
-
-    def _with_status(self, name: str) -> DataFrame:
-        return D.add_status_key(self[f"{name}_base"], self["stg_orders"], self["dim_order_status"])
-
-    def _build_fact_orders(self): return self._with_status("fact_orders")
-    def _build_fact_order_items(self): return self._with_status("fact_order_items")
-    def _build_fact_payments(self): return self._with_status("fact_payments")
-    def _build_fact_reviews(self): return self._with_status("fact_reviews")
+    def _build_fact_reviews(self):
+        return D.fact_reviews(self["stg_order_reviews"], self["stg_orders"], self["dim_customer"],
+                              self["dim_order_status"])
 
     # enterprise model (M) ----------------------------------------------------
     factors = M.DEFAULT

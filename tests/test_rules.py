@@ -169,7 +169,7 @@ def test_empty_input_gives_zero_pct(spark):
 def test_no_single_partition_exchange_in_fact_builders(spark):
     from shopwright.plans.warehouse import Warehouse
     w = Warehouse(spark, "/root/testdata/sf0.001", materialize=False)
-    for name in ("fact_orders_base", "fact_order_items_base"):
+    for name in ("fact_orders", "fact_order_items"):
         lines = w[name]._jdf.queryExecution().executedPlan().toString().splitlines()
         for i, line in enumerate(lines):
             if "Exchange SinglePartition" in line:
