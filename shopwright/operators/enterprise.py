@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import haversine_km, round_half_up, uniform
 from ..functions.keys import with_dense_key
+from ..functions.quantiles import exact_medians, exact_percentiles
 
 # Store formats by rank, channels and their weights, assignment labels.
 STORE_FORMATS = [(4, "Fulfilment Hub"), (8, "Urban Store"), (12, "Regional Store")]
@@ -86,12 +87,10 @@ def select_stores(orders_geo: DataFrame, f: Factors = DEFAULT) -> DataFrame:
     d = orders_geo.filter((F.col("order_status") == "delivered") & F.col("latitude").isNotNull()
                           & F.col("longitude").isNotNull() & F.col("customer_state").isNotNull()
                           & F.col("customer_city").isNotNull())
-    city = (d.groupBy(F.col("customer_state").alias("state"), F.col("customer_city").alias("city"))
-            .agg(F.count(F.lit(1)).alias("source_order_count"),
-                 F.percentile("latitude", F.lit(0.5)).alias("latitude"),
-                 F.percentile("longitude", F.lit(0.5)).alias("longitude")))
+    d = d.withColumnRenamed("customer_state", "state").withColumnRenamed("customer_city", "city")
+    city = d.groupBy("state", "city").agg(F.count(F.lit(1)).alias("source_order_count"))
     # Windows below run over one row per state / city: bounded by geography.
-    states = (d.groupBy(F.col("customer_state").alias("state")).agg(F.count(F.lit(1)).alias("n"))
+    states = (d.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
               .orderBy(F.desc("n"), "state").limit(f.n_states).select("state"))
     in_state = Window.partitionBy("state").orderBy(F.desc("source_order_count"), "city")
     best = (city.join(F.broadcast(states), "state", "left_semi")
@@ -103,6 +102,13 @@ def select_stores(orders_geo: DataFrame, f: Factors = DEFAULT) -> DataFrame:
             .filter(F.col("_r") <= F.lit(f.n_stores) - F.col("_nb")).drop("_r", "_nb"))
     chosen = best.unionByName(rest)
     ranked = chosen.withColumn("store_rank", F.row_number().over(overall))
+    # Exact medians only for the chosen cities (at most n_stores rows, so the
+    # semi join broadcasts them), by a global sort: a busy city is split
+    # over many tasks instead of buffered in one.
+    at_store = d.join(F.broadcast(ranked.select("state", "city")), ["state", "city"], "left_semi")
+    med = exact_medians(at_store, ["state", "city"], {"latitude": "latitude", "longitude": "longitude"},
+                        bounded_groups=True)
+    ranked = ranked.join(med, ["state", "city"], "left")
     fmt = F.lit(STORE_FORMATS[-1][1])
     for upto, name in reversed(STORE_FORMATS[:-1]):
         fmt = F.when(F.col("store_rank") <= upto, F.lit(name)).otherwise(fmt)
@@ -192,9 +198,10 @@ def product_cost(products: DataFrame, items_status: DataFrame, f: Factors = DEFA
         (F.sum(dprice).cast("double") / F.count(dprice)).alias("delivered_avg"))
     base = (products.select("product_id", "product_category_name").join(per, "product_id", "left")
             .withColumn("_ref", F.coalesce("delivered_avg", "all_avg")))
-    cat_med = base.groupBy(F.col("product_category_name").alias("_cat")).agg(
-        F.percentile("_ref", F.lit(0.5)).alias("_cat_med"))
-    glob = base.agg(F.percentile("_ref", F.lit(0.5)).alias("_glob_med"))
+    # exact medians by a global sort: no category's prices are buffered in one task
+    cat_med = exact_medians(base.withColumnRenamed("product_category_name", "_cat"), ["_cat"],
+                            {"_cat_med": "_ref"})
+    glob = exact_medians(base, [], {"_glob_med": "_ref"}, bounded_groups=True)
     cat = F.coalesce(F.col("product_category_name"), F.lit("Unknown"))
     ratio = F.least(F.greatest(factor(f.base_ratio, f.seed, "base_ratio", cat)
                                + factor(f.ratio_noise, f.seed, "ratio_noise", F.col("product_id")),
@@ -375,14 +382,33 @@ def describe(df: DataFrame, col: str, percentiles: tuple[float, ...], metric: st
              scale: int = 2) -> DataFrame:
     """pandas-style describe of one column as one row: count, mean, sample
     std, min, exact percentiles, max (rounded half-up)."""
-    x = F.col(col).cast("double")
-    pcts = F.percentile(x, F.array(*[F.lit(p) for p in percentiles]))
-    row = df.agg(F.count(x).alias("count"), (F.sum(F.col(col)).cast("double") / F.count(x)).alias("_mean"),
-                 F.stddev_samp(x).alias("_std"), F.min(x).alias("_min"), pcts.alias("_p"), F.max(x).alias("_max"))
-    return row.select(F.lit(metric or col).alias("metric"), "count",
+    return describe_many(df, {metric or col: col}, percentiles, scale)
+
+
+def describe_many(df: DataFrame, columns: dict[str, str], percentiles: tuple[float, ...],
+                  scale: int = 2) -> DataFrame:
+    """:func:`describe` of several columns of one frame, one row per column
+    (``metric`` = the key).  The moments are one partial aggregate; the exact
+    percentiles of all columns come from one global sort (no single-task
+    value buffer), looked up with a broadcast of one row per percentile."""
+    names = list(columns)
+    aggs = []
+    for i, n in enumerate(names):
+        x = F.col(columns[n]).cast("double")
+        aggs += [F.count(x).alias(f"c{i}"), (F.sum(F.col(columns[n])).cast("double") / F.count(x)).alias(f"a{i}"),
+                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}")]
+    moments = df.agg(*aggs).select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(f"c{i}").alias("count"), F.col(f"a{i}").alias("_mean"),
+                 F.col(f"s{i}").alias("_std"), F.col(f"l{i}").alias("_min"), F.col(f"h{i}").alias("_max"))
+        for i, n in enumerate(names)])).alias("_m")).select("_m.*")
+    q = exact_percentiles(df, [], {n: F.col(c).cast("double") for n, c in columns.items()}, percentiles,
+                          bounded_groups=True)
+    # one row per column on both sides; a column without values keeps NULL percentiles
+    row = moments.join(F.broadcast(q), "metric", "left")
+    return row.select("metric", "count",
                       round_half_up("_mean", scale).alias("mean"), round_half_up("_std", scale).alias("std"),
                       round_half_up("_min", scale).alias("min"),
-                      *[round_half_up(F.col("_p")[i], scale).alias(f"p{int(round(p * 100)):02d}")
+                      *[round_half_up(F.col(f"q{i}"), scale).alias(f"p{int(round(p * 100)):02d}")
                         for i, p in enumerate(percentiles)],
                       round_half_up("_max", scale).alias("max"))
 
@@ -465,12 +491,9 @@ def supplier_distribution(suppliers: DataFrame, mapping: DataFrame) -> DataFrame
     """M-17: describe of supplier attributes and of products per supplier."""
     q = (0.25, 0.5, 0.75)
     per = mapping.groupBy("supplier_id").agg(F.count(F.lit(1)).alias("products_per_supplier"))
-    parts = [describe(suppliers, c, q) for c in ("supplier_rating", "standard_lead_time_days",
-                                                 "contractual_fill_rate_pct")] + [describe(per, "products_per_supplier", q)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    attrs = describe_many(suppliers, {c: c for c in ("supplier_rating", "standard_lead_time_days",
+                                                    "contractual_fill_rate_pct")}, q)
+    return attrs.unionByName(describe(per, "products_per_supplier", q))
 
 
 def margin_distribution(cost: DataFrame, d_items: DataFrame) -> DataFrame:
@@ -518,7 +541,7 @@ def plan_attainment_distribution(budgets: DataFrame, targets: DataFrame, deliver
     x = p.select((F.lit(100.0) * F.col("_a").cast("double") / F.col("sales_budget").cast("double")).alias("actual_pct_budget"),
                  (F.lit(100.0) * F.col("_a").cast("double") / F.col("sales_target").cast("double")).alias("actual_pct_target"))
     q = (0.05, 0.25, 0.5, 0.75, 0.95)
-    return describe(x, "actual_pct_budget", q).unionByName(describe(x, "actual_pct_target", q))
+    return describe_many(x, {"actual_pct_budget": "actual_pct_budget", "actual_pct_target": "actual_pct_target"}, q)
 
 
 def marketing_plausibility(marketing: DataFrame, delivered: DataFrame) -> DataFrame:

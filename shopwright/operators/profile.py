@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import pct, ratio, round_half_up
+from ..functions.quantiles import cell_percentiles
 
 DATE_KEYWORDS = ("date", "timestamp", "time")  # fixed values
 ID_PATTERN = r"(_id|key)$"
@@ -110,8 +111,15 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
 
 
 def numeric_profile(datasets: dict[str, DataFrame], exact_median: bool = True) -> DataFrame:
-    """P-08: count, min, max, mean, median, sample std, zeros, negatives."""
-    parts = []
+    """P-08: count, min, max, mean, median, sample std, zeros, negatives.
+
+    The other statistics are one partial aggregate per table.  Exact
+    medians: every table's numeric cells are stacked into one long
+    (dataset, column, value) frame and served by a single global sort
+    (:mod:`quantiles`), so no column's values are buffered in one task.
+    ``exact_median=False`` uses a bounded sketch per column instead.
+    """
+    parts, cells = [], []
     for name, df in datasets.items():
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
         if not cols:
@@ -119,7 +127,7 @@ def numeric_profile(datasets: dict[str, DataFrame], exact_median: bool = True) -
         aggs = []
         for i, c in enumerate(cols):
             x = F.col(f"`{c}`").cast("double")
-            med = F.percentile(x, F.lit(0.5)) if exact_median else F.percentile_approx(x, 0.5, 10000)
+            med = F.lit(None).cast("double") if exact_median else F.percentile_approx(x, 0.5, 10000)
             aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"),
                      ratio(F.sum(x), F.count(x), 6).alias(f"mean{i}"), round_half_up(med, 6).alias(f"med{i}"),
                      round_half_up(F.stddev_samp(x), 6).alias(f"sd{i}"),
@@ -132,7 +140,18 @@ def numeric_profile(datasets: dict[str, DataFrame], exact_median: bool = True) -
                  for i, c in enumerate(cols)]
         parts.append(row.select(F.lit(name).alias("dataset"), F.explode(F.array(*items)).alias("x"))
                      .select("dataset", "x.*"))
-    return _union(parts)
+        cells.append(df.select(F.lit(name).alias("dataset"), F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("_v")) for c in cols]))
+            .alias("_c")).select("dataset", "_c.column", "_c._v"))
+    stats = _union(parts)
+    if not exact_median or not cells:
+        return stats
+    # one row per (dataset, column): a fixed domain, so the rank lookups broadcast
+    med = cell_percentiles(_union(cells), ["dataset", "column"], (0.5,), bounded_groups=True)
+    return (stats.drop("median")
+            .join(F.broadcast(med.select("dataset", "column", round_half_up("q0", 6).alias("median"))),
+                  ["dataset", "column"], "left")
+            .select(*stats.columns))
 
 
 def is_date_like(name: str) -> bool:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import blank_to_null, money, to_date, to_int, to_ts, zip5
+from ..functions.quantiles import exact_medians, join_on_groups
 
 
 def _t(df: DataFrame, name: str):
@@ -101,21 +102,31 @@ def stg_geolocation(raw: DataFrame, dedupe: bool = False, exact: bool = True) ->
     Median latitude/longitude (continuous percentile), modal city and state
     (lowest value on ties), row count and distinct label counts.  Exact
     duplicate rows are kept by default, so they weigh in, as in the source
-    model.  Partial aggregation keeps the shuffle at one row per ZIP and map
-    task except for the percentile buffers, which hold the values of a ZIP.
+    model.  The label aggregates are partial aggregations (one row per ZIP
+    and map task, label maps bounded by the few names of a ZIP); the exact
+    medians come from the global sort of :mod:`quantiles`, so a hot ZIP is
+    split over many tasks.  ``exact=False`` uses a bounded sketch instead.
     """
     src = raw.dropDuplicates() if dedupe else raw
-    med = ((lambda c: F.percentile(F.col(c).cast("double"), F.lit(0.5))) if exact
-           else (lambda c: F.percentile_approx(F.col(c).cast("double"), 0.5, 10000)))
     city = blank_to_null("geolocation_city")
     state = F.upper(blank_to_null("geolocation_state"))
-    return (src.groupBy(zip5("geolocation_zip_code_prefix").alias("zip_code_prefix"))
-            .agg(med("geolocation_lat").alias("latitude"), med("geolocation_lng").alias("longitude"),
-                 F.mode(city, deterministic=True).alias("city"),
-                 F.mode(state, deterministic=True).alias("state"),
-                 F.count(F.lit(1)).cast("int").alias("source_row_count"),
-                 F.countDistinct(city).cast("int").alias("distinct_city_count"),
-                 F.countDistinct(state).cast("int").alias("distinct_state_count")))
+    keyed = src.select(zip5("geolocation_zip_code_prefix").alias("zip_code_prefix"),
+                       F.col("geolocation_lat").cast("double").alias("lat"),
+                       F.col("geolocation_lng").cast("double").alias("lng"),
+                       city.alias("city"), state.alias("state"))
+    labels = [F.mode("city", deterministic=True).alias("city"),
+              F.mode("state", deterministic=True).alias("state"),
+              F.count(F.lit(1)).cast("int").alias("source_row_count"),
+              F.countDistinct("city").cast("int").alias("distinct_city_count"),
+              F.countDistinct("state").cast("int").alias("distinct_state_count")]
+    if not exact:
+        return keyed.groupBy("zip_code_prefix").agg(
+            F.percentile_approx("lat", 0.5, 10000).alias("latitude"),
+            F.percentile_approx("lng", 0.5, 10000).alias("longitude"), *labels)
+    med = exact_medians(keyed, ["zip_code_prefix"], {"latitude": "lat", "longitude": "lng"})
+    out = join_on_groups(keyed.groupBy("zip_code_prefix").agg(*labels), med, ["zip_code_prefix"])
+    return out.select("zip_code_prefix", "latitude", "longitude", "city", "state", "source_row_count",
+                      "distinct_city_count", "distinct_state_count")
 
 
 def stg_leads(raw: DataFrame) -> DataFrame:

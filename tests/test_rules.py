@@ -198,3 +198,28 @@ def test_deals_next_purchase_with_hot_user_matches_brute_force(spark):
         if later:
             want[e_id] = (later[0][0], u)
     assert got == want
+
+
+def test_exact_percentiles_with_hot_group_match_spark_percentile(spark):
+    import random
+    from shopwright.functions.quantiles import exact_medians, exact_percentiles
+    rnd = random.Random(3)
+    rows = []
+    for i in range(6000):
+        g = 0 if i < 2400 else rnd.randrange(1, 40)      # group 0 holds 40 % of the rows
+        a = None if rnd.random() < 0.05 else round(rnd.uniform(-100, 100), 3)
+        rows.append((g, a, float(rnd.randrange(0, 7))))
+    rows.append((99, None, None))                          # a group without values
+    df = spark.createDataFrame(rows, "g int, a double, b double")
+    probs = (0.0, 0.05, 0.5, 0.9, 1.0)
+    got = {(r.g, r.metric): tuple(r[f"q{i}"] for i in range(len(probs)))
+           for r in exact_percentiles(df, ["g"], {"a": "a", "b": "b"}, probs).collect()}
+    want = {}
+    for m in ("a", "b"):
+        for r in df.groupBy("g").agg(F.percentile(m, F.array(*[F.lit(p) for p in probs])).alias("q")).collect():
+            if r.q is not None:
+                want[(r.g, m)] = tuple(r.q)
+    assert got == want
+    glob = exact_medians(df, [], {"a": "a", "b": "b"}, bounded_groups=True).collect()[0]
+    ref = df.agg(F.percentile("a", F.lit(0.5)).alias("a"), F.percentile("b", F.lit(0.5)).alias("b")).collect()[0]
+    assert (glob.a, glob.b) == (ref.a, ref.b)
