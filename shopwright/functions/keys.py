@@ -17,10 +17,6 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def with_dense_key(df: DataFrame, order_cols: list[str | Column], key: str,
                    num_partitions: int | None = None) -> DataFrame:
     """Append ``key`` = 1..n following ``order_cols`` (the global row number).
@@ -29,9 +25,12 @@ def with_dense_key(df: DataFrame, order_cols: list[str | Column], key: str,
     columns are unique.
     """
     checkpoint_dir(df.sparkSession)
-    n = num_partitions or _partitions(df)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ordered = (df.repartitionByRange(n, *cols)
+    # Without an explicit count the range exchange follows the cluster's
+    # spark.sql.shuffle.partitions and AQE may merge adjacent small ranges;
+    # the numbering below uses the partition ids the data really lands in.
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    ordered = (ranged
                .sortWithinPartitions(*cols)
                .withColumn("_dk_pid", F.spark_partition_id())
                .withColumn("_dk_pos", F.monotonically_increasing_id()
