@@ -20,11 +20,16 @@ class ConstraintViolation(AssertionError):
 
 def foreign_key_check(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
                       relationship: str) -> DataFrame:
-    """A-01: non-null child values absent from the parent (anti join)."""
-    c = child.select(F.col(child_col).alias("_v")).filter(F.col("_v").isNotNull())
+    """A-01: non-null child values absent from the parent (anti join).
+
+    The child rows are first counted per value (a partial aggregate, so a
+    hot value collapses map-side); only distinct values meet the parent in
+    the anti join, and the orphan rows are the sum of their counts."""
+    c = (child.select(F.col(child_col).alias("_v")).filter(F.col("_v").isNotNull())
+         .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
     p = parent.select(F.col(parent_col).alias("_v"))
-    miss = c.join(p, "_v", "left_anti").agg(F.count(F.lit(1)).alias("unmatched_rows"))
-    tot = c.agg(F.count(F.lit(1)).alias("child_rows"))
+    miss = c.join(p, "_v", "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("unmatched_rows"))
+    tot = c.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("child_rows"))
     return (tot.crossJoin(miss)  # two one-row relations
             .select(F.lit(relationship).alias("relationship"), "child_rows", "unmatched_rows",
                     F.coalesce(pct("unmatched_rows", "child_rows", 4), F.lit(0.0)).alias("unmatched_pct")))
@@ -89,6 +94,18 @@ def fk_violations(child: DataFrame, cols: list[str], parent: DataFrame, pcols: l
     return c.join(p, [f"_k{i}" for i in range(len(cols))], "left_anti")
 
 
+def fk_violation_count(child: DataFrame, cols: list[str], parent: DataFrame, pcols: list[str]) -> DataFrame:
+    """One row ``violations``: the child rows of :func:`fk_violations`,
+    counted per key first so a hot key collapses map-side and the anti join
+    only sees distinct keys."""
+    c = child.select(*[F.col(a).alias(f"_k{i}") for i, a in enumerate(cols)])
+    c = c.filter(reduce(lambda a, b: a & b, [F.col(f"_k{i}").isNotNull() for i in range(len(cols))]))
+    per = c.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("_n"))
+    p = parent.select(*[F.col(a).alias(f"_k{i}") for i, a in enumerate(pcols)])
+    return (per.join(p, [f"_k{i}" for i in range(len(cols))], "left_anti")
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations")))
+
+
 def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """C-03 in one job for all columns: one row of NULL counts."""
     return df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(c) for c in cols])
@@ -118,11 +135,11 @@ def constraint_report(specs: list[tuple[str, str, DataFrame, list[str], DataFram
     parts = []
     for kind, table, df, cols, parent, pcols in specs:
         if kind == "pk":
-            v = unique_violations(df, cols)
+            v = unique_violations(df, cols).agg(F.count(F.lit(1)).alias("violations"))
         else:
-            v = fk_violations(df, cols, parent, pcols)
+            v = fk_violation_count(df, cols, parent, pcols)
         label = f"{kind}({', '.join(cols)})" + (f" -> ({', '.join(pcols)})" if kind == "fk" else "")
-        parts.append(v.agg(F.count(F.lit(1)).alias("violations"))
+        parts.append(v
                      .select(F.lit(table).alias("table_name"), F.lit(label).alias("constraint_name"), "violations"))
     return reduce(DataFrame.unionByName, parts)
 

@@ -57,8 +57,12 @@ def run_checks(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
 def _anti_count(left: str, right: str, lkey: str, rkey: str, where: Callable[[], Column] | None = None):
     def count(t: dict[str, DataFrame]) -> DataFrame:
         lhs = t[left] if where is None else t[left].filter(where())
+        # rows per key first (a hot key collapses map-side), then the anti
+        # join on distinct keys; a NULL key never matches, as in NOT EXISTS
+        per = lhs.groupBy(F.col(lkey).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
         rhs = t[right].select(F.col(rkey).alias("_k"))
-        return lhs.join(rhs, lhs[lkey] == rhs["_k"], "left_anti").agg(F.count(F.lit(1)).alias("issue_count"))
+        return (per.join(rhs, per["_l"] == rhs["_k"], "left_anti")
+                .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("issue_count")))
     return count
 
 
