@@ -102,29 +102,35 @@ def stg_geolocation(raw: DataFrame, dedupe: bool = False, exact: bool = True) ->
     Median latitude/longitude (continuous percentile), modal city and state
     (lowest value on ties), row count and distinct label counts.  Exact
     duplicate rows are kept by default, so they weigh in, as in the source
-    model.  The label aggregates are partial aggregations (one row per ZIP
-    and map task, label maps bounded by the few names of a ZIP); the exact
-    medians come from the global sort of :mod:`quantiles`, so a hot ZIP is
-    split over many tasks.  ``exact=False`` uses a bounded sketch instead.
+    model.  Labels are counted per (ZIP, label) first — a partial aggregate,
+    so a hot ZIP collapses map-side — and the mode is the ``min`` of
+    (-count, label) per ZIP, again combinable map-side: no per-ZIP label map.
+    The exact medians come from the global sort of :mod:`quantiles`, so a hot
+    ZIP is split over many tasks; ``exact=False`` uses a bounded sketch.
     """
     src = raw.dropDuplicates() if dedupe else raw
-    city = blank_to_null("geolocation_city")
-    state = F.upper(blank_to_null("geolocation_state"))
     keyed = src.select(zip5("geolocation_zip_code_prefix").alias("zip_code_prefix"),
                        F.col("geolocation_lat").cast("double").alias("lat"),
                        F.col("geolocation_lng").cast("double").alias("lng"),
-                       city.alias("city"), state.alias("state"))
-    labels = [F.mode("city", deterministic=True).alias("city"),
-              F.mode("state", deterministic=True).alias("state"),
-              F.count(F.lit(1)).cast("int").alias("source_row_count"),
-              F.countDistinct("city").cast("int").alias("distinct_city_count"),
-              F.countDistinct("state").cast("int").alias("distinct_state_count")]
-    if not exact:
-        return keyed.groupBy("zip_code_prefix").agg(
-            F.percentile_approx("lat", 0.5, 10000).alias("latitude"),
-            F.percentile_approx("lng", 0.5, 10000).alias("longitude"), *labels)
-    med = exact_medians(keyed, ["zip_code_prefix"], {"latitude": "lat", "longitude": "lng"})
-    out = join_on_groups(keyed.groupBy("zip_code_prefix").agg(*labels), med, ["zip_code_prefix"])
+                       blank_to_null("geolocation_city").alias("city"),
+                       F.upper(blank_to_null("geolocation_state")).alias("state"))
+    per_label = (keyed.select("zip_code_prefix", F.explode(F.array(
+                     F.struct(F.lit(0).alias("k"), F.col("city").alias("v")),
+                     F.struct(F.lit(1).alias("k"), F.col("state").alias("v")))).alias("_l"))
+                 .groupBy("zip_code_prefix", "_l.k", "_l.v").agg(F.count(F.lit(1)).alias("n")))
+    named = lambda k: (F.col("k") == k) & F.col("v").isNotNull()
+    modal = lambda k: F.min(F.when(named(k), F.struct((-F.col("n")).alias("m"), "v")))["v"]
+    labels = per_label.groupBy("zip_code_prefix").agg(
+        modal(0).alias("city"), modal(1).alias("state"),
+        F.sum(F.when(F.col("k") == 0, F.col("n"))).cast("int").alias("source_row_count"),
+        F.count_if(named(0)).cast("int").alias("distinct_city_count"),
+        F.count_if(named(1)).cast("int").alias("distinct_state_count"))
+    if exact:
+        med = exact_medians(keyed, ["zip_code_prefix"], {"latitude": "lat", "longitude": "lng"})
+    else:
+        med = keyed.groupBy("zip_code_prefix").agg(F.percentile_approx("lat", 0.5, 10000).alias("latitude"),
+                                                   F.percentile_approx("lng", 0.5, 10000).alias("longitude"))
+    out = join_on_groups(labels, med, ["zip_code_prefix"])
     return out.select("zip_code_prefix", "latitude", "longitude", "city", "state", "source_row_count",
                       "distinct_city_count", "distinct_state_count")
 
