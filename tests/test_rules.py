@@ -223,3 +223,15 @@ def test_exact_percentiles_with_hot_group_match_spark_percentile(spark):
     glob = exact_medians(df, [], {"a": "a", "b": "b"}, bounded_groups=True).collect()[0]
     ref = df.agg(F.percentile("a", F.lit(0.5)).alias("a"), F.percentile("b", F.lit(0.5)).alias("b")).collect()[0]
     assert (glob.a, glob.b) == (ref.a, ref.b)
+
+
+def test_foreign_key_counts_with_hot_orphan_key(spark):
+    child = spark.createDataFrame([(i, 7 if i < 500 else (i % 5 if i % 3 else None)) for i in range(800)],
+                                  "id int, fk int")
+    parent = spark.createDataFrame([(k,) for k in range(4)], "pk int")
+    rows = [(i, 7 if i < 500 else (i % 5 if i % 3 else None)) for i in range(800)]
+    orphans = sum(1 for _, fk in rows if fk is not None and fk not in range(4))
+    r = A.foreign_key_check(child, "fk", parent, "pk", "x").collect()[0]
+    assert (r.child_rows, r.unmatched_rows) == (sum(1 for _, fk in rows if fk is not None), orphans)
+    v = A.fk_violation_count(child, ["fk"], parent, ["pk"]).collect()[0].violations
+    assert v == A.fk_violations(child, ["fk"], parent, ["pk"]).count() == orphans
