@@ -12,6 +12,22 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.table(spark, sf_dir, "documents"), shingle=4, distance=4)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+    out = quality.classify(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "lang", "perplexity", "threshold", "keep")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import linededup
+    return linededup.clean(common.table(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_dropped")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontam
+    return decontam.flags(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import topk
     return topk.top_k(common.table(spark, sf_dir, "embeddings"))
@@ -24,9 +40,36 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op8_topk": op8_topk, "op10_packing": op10_packing}
+QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_line_dedup": op3_line_dedup,
+           "op7_decontamination": op7_decontamination, "op8_topk": op8_topk, "op10_packing": op10_packing}
+
+_TOKENS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": """
+WITH l AS (SELECT doc_id, source, text, generate_subscripts(string_split(text, chr(10)), 1) AS i,
+                  unnest(string_split(text, chr(10))) AS line FROM documents),
+p AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+b AS (SELECT l.source, trim(line) AS line FROM l JOIN p USING (source) WHERE trim(line) <> ''
+      GROUP BY l.source, trim(line), pages HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) > 0.1 * pages),
+k AS (SELECT l.*, b.line IS NULL AS keep FROM l LEFT JOIN b ON b.source = l.source AND b.line = trim(l.line))
+SELECT doc_id, source, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keep), '') AS text,
+       count(*) AS n_lines, count(*) FILTER (NOT keep) AS n_dropped
+FROM k GROUP BY doc_id, source""",
+    "op7_decontamination": f"""
+WITH d AS (SELECT doc_id, {_TOKENS} AS w FROM documents), b AS (SELECT item_id, {_TOKENS} AS w FROM benchmark),
+dp AS (SELECT doc_id, w[p:p + 12] AS w FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS p FROM d)),
+bp AS (SELECT item_id, p, w[p:p + 12] AS w FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - 7)) AS p FROM b)),
+h AS (SELECT doc_id, item_id, p, dp.w AS dw, bp.w AS bw FROM dp JOIN bp
+      ON dp.w[1] = bp.w[1] AND dp.w[2] = bp.w[2] AND dp.w[4] = bp.w[4] AND dp.w[6] = bp.w[6] AND dp.w[7] = bp.w[7]
+      UNION ALL SELECT doc_id, item_id, p, dp.w, bp.w FROM dp JOIN bp
+      ON dp.w[1] = bp.w[1] AND dp.w[3] = bp.w[3] AND dp.w[4] = bp.w[4] AND dp.w[5] = bp.w[5] AND dp.w[8] = bp.w[8]),
+s AS (SELECT doc_id, item_id, p, len(bw) AS n,
+             len(list_filter(range(1, len(bw) + 1), lambda i: bw[i] <> dw[i])) AS subst FROM h WHERE len(dw) >= len(bw)),
+f AS (SELECT DISTINCT doc_id, item_id FROM s WHERE n = 13 AND subst <= 2 OR n < 13 AND p = 1 AND subst = 0),
+c AS (SELECT doc_id, count(*) AS n FROM f GROUP BY doc_id)
+SELECT doc_id, n IS NOT NULL AS contaminated, coalesce(n, 0) AS n_items
+FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN c USING (doc_id)""",
     "op8_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
