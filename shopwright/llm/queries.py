@@ -23,6 +23,21 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.clean(common.table(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import licenses
+    return licenses.scan(common.table(spark, sf_dir, "documents"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import secrets
+    return secrets.scan(common.table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+    return toxicity.classify(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import decontam
     return decontam.flags(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
@@ -41,6 +56,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_line_dedup": op3_line_dedup,
+           "op4_licenses": op4_licenses, "op5_secrets": op5_secrets, "op6_toxicity": op6_toxicity,
            "op7_decontamination": op7_decontamination, "op8_topk": op8_topk, "op10_packing": op10_packing}
 
 _TOKENS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
