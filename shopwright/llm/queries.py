@@ -48,6 +48,11 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(common.table(spark, sf_dir, "embeddings"))
 
 
+def op9_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import maxent
+    return maxent.log_probability(common.table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -57,7 +62,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_line_dedup": op3_line_dedup,
            "op4_licenses": op4_licenses, "op5_secrets": op5_secrets, "op6_toxicity": op6_toxicity,
-           "op7_decontamination": op7_decontamination, "op8_topk": op8_topk, "op10_packing": op10_packing}
+           "op7_decontamination": op7_decontamination, "op8_topk": op8_topk, "op9_maxent": op9_maxent, "op10_packing": op10_packing}
 
 _TOKENS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
 
