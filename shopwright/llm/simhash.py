@@ -73,9 +73,9 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
     masks = []
     for lo, hi in zip(cuts, cuts[1:]):
         whole = ((1 << hi) - 1) ^ ((1 << lo) - 1)
-        masks += [(len(masks), lo, whole, 1 << p) for p in range(lo, hi)]
+        masks += [(p, whole, 1 << p) for p in range(lo, hi)]  # the slot is the blanked bit
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    keys = F.array(*[F.struct(F.lit(i).alias("slot"), F.col("fp").bitwiseAND(F.lit(signed(w & ~bit))).alias("key")) for i, _, w, bit in masks])
+    keys = F.array(*[F.struct(F.lit(i).alias("slot"), F.col("fp").bitwiseAND(F.lit(signed(w & ~bit))).alias("key")) for i, w, bit in masks])
     index = fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.slot", "k.key")
     x = F.col("a").bitwiseXOR(F.col("b"))
     # the first slot a pair shares: no earlier segment differs in at most one bit

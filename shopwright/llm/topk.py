@@ -90,10 +90,10 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, sha
     def run(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
         out = []
         for d in qs["dims"].unique() if len(cs) else ():
-            c = cs[cs["dims"] == d]
+            c = cs[cs["c_dims"] == d]
             if not len(c):
                 continue
-            x, ids = np.array(c["v"].tolist(), np.float64).reshape(len(c), -1), c["vec_id"].to_numpy()
+            x, ids = np.array(c["c_v"].tolist(), np.float64).reshape(len(c), -1), c["c_id"].to_numpy()
             tree = build(x, np.arange(len(c)))
             for qid, v, floor in qs.loc[qs["dims"] == d, ["vec_id", "v", "floor"]].itertuples(index=False):
                 out += [(qid, i, s) for s, i in search(tree, x, ids, np.array(v, np.float64), qid, k, floor)]
@@ -102,7 +102,10 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, sha
     lowest = -(1 << 62)
 
     def rounds(q: DataFrame, c: DataFrame) -> DataFrame:
-        return (q.groupBy("shard", "block").cogroup(c.groupBy("shard", "block"))
+        # names of their own: both sides come from one table
+        q = q.select(*[F.col(x).alias(x) for x in ("vec_id", "v", "dims", "floor", "shard", "block")])
+        c = c.select(F.col("vec_id").alias("c_id"), F.col("v").alias("c_v"), F.col("dims").alias("c_dims"), F.col("shard").alias("c_shard"), F.col("block").alias("c_block"))
+        return (q.groupBy("shard", "block").cogroup(c.groupBy("c_shard", "c_block"))
                 .applyInPandas(run, "query_id long, vec_id long, score long"))
 
     spread = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
