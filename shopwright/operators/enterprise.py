@@ -303,17 +303,21 @@ def delivered_items(items_status: DataFrame, assignment: DataFrame, orders: Data
             .withColumn("snapshot_month", F.trunc("order_purchase_timestamp", "MM")))
 
 
-def eligible_products(d_items: DataFrame, f: Factors = DEFAULT) -> DataFrame:
-    """M-10: products with at least ``min_product_sales`` delivered item
-    rows, the ``max_products`` best sellers (a top-k by design)."""
+def stocked_products(d_items: DataFrame, f: Factors = DEFAULT) -> DataFrame:
+    """Products with at least ``min_product_sales`` delivered item rows, and
+    their sales; the inventory chain carries every one of them."""
     return (d_items.groupBy("product_id").agg(F.count(F.lit(1)).alias("sales"))
-            .filter(F.col("sales") >= f.min_product_sales)
-            .orderBy(F.desc("sales"), "product_id").limit(f.max_products).select("product_id"))
+            .filter(F.col("sales") >= f.min_product_sales))
 
 
-def monthly_units(d_items: DataFrame, eligible: DataFrame) -> DataFrame:
+def eligible_products(stocked: DataFrame, top: int) -> DataFrame:
+    """M-10: the ``top`` best sellers of the stocked products (a top-k report)."""
+    return stocked.orderBy(F.desc("sales"), "product_id").limit(top).select("product_id")
+
+
+def monthly_units(d_items: DataFrame, stocked: DataFrame) -> DataFrame:
     """M-11: units sold per month, store and product."""
-    return (d_items.join(F.broadcast(eligible), "product_id", "left_semi")
+    return (d_items.join(stocked.select("product_id"), "product_id", "left_semi")
             .groupBy("snapshot_month", "store_id", "product_id").agg(F.count(F.lit(1)).cast("int").alias("sold_qty")))
 
 

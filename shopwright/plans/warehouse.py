@@ -39,7 +39,7 @@ MATERIALIZED = frozenset({
     "dim_date", "dim_date_full", "stg_geolocation", "dim_order_status", "dim_store", "dim_marketing_channel",
     "stg_stores", "stg_suppliers",
     "gen_stores", "gen_assignment", "gen_product_supplier", "gen_product_cost", "gen_monthly_actuals",
-    "gen_skeleton", "gen_budget", "gen_targets", "gen_marketing", "gen_eligible_products",
+    "gen_skeleton", "gen_budget", "gen_targets", "gen_marketing", "gen_stocked_products", "gen_eligible_products",
     "gen_monthly_units", "gen_inventory", "fact_order_items_ent", "fact_orders_ent",
     "fact_payments_ent", "fact_reviews_ent", "orders_geo", "items_status", "delivered_store_orders",
 })
@@ -146,9 +146,11 @@ class Warehouse:
     def _build_gen_marketing(self): return M.allocate_marketing(self["gen_skeleton"], self.factors)
     def _build_delivered_items(self):
         return M.delivered_items(self["items_status"], self["gen_assignment"], self["stg_orders"])
-    def _build_gen_eligible_products(self): return M.eligible_products(self["delivered_items"], self.factors)
+    def _build_gen_stocked_products(self): return M.stocked_products(self["delivered_items"], self.factors)
+    def _build_gen_eligible_products(self):
+        return M.eligible_products(self["gen_stocked_products"], self.factors.max_products)
     def _build_gen_monthly_units(self):
-        return M.monthly_units(self["delivered_items"], self["gen_eligible_products"])
+        return M.monthly_units(self["delivered_items"], self["gen_stocked_products"])
     def _build_gen_inventory(self): return M.roll_inventory(self["gen_monthly_units"], self.factors)
 
     # enterprise staging and star -----------------------------------------------

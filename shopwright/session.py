@@ -43,7 +43,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, configuring one only if unset.
 
     The cluster's shared folder (``spark.checkpoint.dir``) always wins; a
-    fresh ``/tmp`` folder is used only when the session has none (tests).
+    fresh ``/tmp`` folder is used only on a local master without one (tests);
+    elsewhere an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    if not configured and sc.master != "local" and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="shopwright-ckpt-")
     sc.setCheckpointDir(configured)
