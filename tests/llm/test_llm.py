@@ -214,3 +214,12 @@ def test_pipeline(spark, docs):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         d = stage(spark, d, SF)
         assert d.columns == corpus_pipeline.COLUMNS
+
+
+def test_language_model_joins_what_it_does_not_look_up(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    keep = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens"]
+    looked, joined = (maxent.log_probability(documents, common_share=x).toPandas().sort_values("doc_id") for x in (1e-6, 2.0))
+    assert (looked[keep].to_numpy() == joined[keep].to_numpy()).all()
+    for c in ("base_score", "score"):
+        assert np.allclose(looked[c], joined[c])
