@@ -22,55 +22,82 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
-#: entries of a worker's word cache before it starts afresh (bounds memory)
-CACHE = 400_000
+#: entries of a worker's word cache before it starts afresh, and bytes of text taken at a time (both bound memory)
+CACHE, SLICE = 400_000, 4_000_000
 _TOKENIZERS: dict[str, "WordEncoder"] = {}
-_WHITE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _SIMPLE = re.compile(r"([A-Za-zß-öø-ÿ]+)([.,!?|*&%$#]*)")
 
 
 class WordEncoder:
-    """Ids of white-space separated words, as bytes, each distinct word encoded once.
+    """Ids of texts by their white-space separated words, each distinct word encoded once.
 
     The tokenizer's own normaliser and splitter never join characters across
-    white space, so the ids of a text are those of its words in order.
+    white space, so the ids of a text are those of its words in order.  A run
+    of letters or of signs is one unit to the splitter; in ASCII and lower
+    case its bytes are its characters, so it goes straight to the merges.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
-        self.plain: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _encode(self, part: str) -> bytes:
-        if len(self.plain) >= CACHE:
-            self.plain.clear()
-        got = self.plain[part] = np.array(self.whole.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        self.merges = self.whole.model
+        self.parts: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _part(self, part: str) -> bytes:
+        got = self.parts.get(part)
+        if got is None:
+            if part.isascii():
+                got = b"".join([x.id.to_bytes(4, "little") for x in self.merges.tokenize(part)])
+            else:
+                got = self._ids(part)
+            self.parts[part] = got
         return got
 
     def word(self, word: str) -> bytes:
-        if len(self.words) >= CACHE:
-            self.words.clear()
-        if m := _SIMPLE.fullmatch(word):
-            core, tail = m[1].lower(), m[2]
-            got = self.plain.get(core) or self._encode(core)
-            if tail:
-                got += self.plain.get(tail) or self._encode(tail)
-        else:
-            got = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self.words[word] = got
+        got = self.words.get(word)
+        if got is None:
+            m = _SIMPLE.fullmatch(word)
+            got = self.words[word] = self._part(m[1].lower()) + self._part(m[2]) if m else self._ids(word)
         return got
 
+    def learn(self, words: list[str]) -> list[bytes]:
+        """Ids of the words, as bytes."""
+        if len(self.words) >= CACHE:
+            self.words = {"": b""}
+        if len(self.parts) >= CACHE:
+            self.parts = {"": b""}
+        return [self.word(w) for w in words]
+
+    def texts(self, column: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other (``end`` closes each text), and where each text's ids end."""
+        split = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+        coded = split.flatten().dictionary_encode()
+        known = self.learn(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        at = np.asarray(coded.indices)
+        n = sizes[at]
+        before = np.cumsum(n)
+        pool = np.frombuffer(b"".join(known), "<u4")
+        starts = (np.cumsum(sizes) - sizes)[at]
+        ids = pool[np.repeat(starts - (before - n), n) + np.arange(n.sum())]
+        offsets = np.asarray(split.offsets)
+        stops = np.concatenate(([0], before))[offsets[1:] - offsets[0]]
+        if end is None:
+            return ids, stops
+        return np.insert(ids, stops, np.uint32(end)), stops + np.arange(1, len(stops) + 1)
+
     def text(self, text: str) -> bytes:
-        get, word = self.words.get, self.word
-        # str.split also cuts at four control characters that the tokenizer takes for symbols
-        words = _WHITE.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-        return b"".join([get(w) or word(w) for w in words if w])
+        return self.texts(pa.array([text], pa.string()))[0].tobytes()
 
 
 def encoder(path: str) -> WordEncoder:
@@ -81,21 +108,23 @@ def encoder(path: str) -> WordEncoder:
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each document's ids and the end id, cut at ``capacity``."""
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches):
         enc = encoder(tokenizer)
-        for b in batches:
-            out = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = enc.text(text or "") + end
-                for k in range(0, len(ids), 4 * capacity):
-                    part = ids[k:k + 4 * capacity]
-                    out.append((doc, k // (4 * capacity), k // 4, len(part) // 4, zlib.crc32(part)))
-            cols = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32())] + [pa.array(c, pa.int64()) for c in cols[2:]],
-                ["doc_id", "piece", "start", "length", "ids_crc32"])
+        for whole in batches:
+            size = np.cumsum(pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            cuts = [0, *(np.flatnonzero(np.diff(size // SLICE)) + 1).tolist(), whole.num_rows]
+            for b in (whole.slice(a, z - a) for a, z in zip(cuts, cuts[1:]) if z > a):
+                ids, stops = enc.texts(b.column(1), end_id)
+                raw, out, first = memoryview(ids.tobytes()), [], 0
+                for doc, stop in zip(b.column(0).to_pylist(), stops.tolist()):
+                    for piece, k in enumerate(range(first, stop, capacity)):
+                        z = min(k + capacity, stop)
+                        out.append((doc, piece, k - first, z - k, zlib.crc32(raw[4 * k:4 * z])))
+                    first = stop
+                cols = list(zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32())] + [pa.array(c, pa.int64()) for c in cols[2:]],
+                    ["doc_id", "piece", "start", "length", "ids_crc32"])
     return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
             .mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long"))
 
