@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: entries of a worker's word cache before it starts afresh, and bytes of text taken at a time (both bound memory)
-CACHE, SLICE = 400_000, 4_000_000
+CACHE, SLICE = 400_000, 12_000_000
 _TOKENIZERS: dict[str, "WordEncoder"] = {}
 _SIMPLE = re.compile(r"([A-Za-zß-öø-ÿ]+)([.,!?|*&%$#]*)")
 
@@ -76,7 +76,8 @@ class WordEncoder:
             self.words = {"": b""}
         if len(self.parts) >= CACHE:
             self.parts = {"": b""}
-        return [self.word(w) for w in words]
+        get, word = self.words.get, self.word
+        return [get(w) or word(w) for w in words]
 
     def texts(self, column: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other (``end`` closes each text), and where each text's ids end."""
@@ -89,7 +90,9 @@ class WordEncoder:
         before = np.cumsum(n)
         pool = np.frombuffer(b"".join(known), "<u4")
         starts = (np.cumsum(sizes) - sizes)[at]
-        ids = pool[np.repeat(starts - (before - n), n) + np.arange(n.sum())]
+        shift = starts - (before - n)
+        kind = np.int32 if max(len(pool), len(n) and before[-1]) < 2 ** 31 else np.int64
+        ids = pool[np.repeat(shift.astype(kind), n) + np.arange(n.sum(), dtype=kind)]
         offsets = np.asarray(split.offsets)
         stops = np.concatenate(([0], before))[offsets[1:] - offsets[0]]
         if end is None:
@@ -106,25 +109,42 @@ def encoder(path: str) -> WordEncoder:
     return _TOKENIZERS[path]
 
 
+def slices(batches):
+    """The rows of (id, text) batches in runs of about SLICE bytes of text (a longer text is a run of its own)."""
+    held, size = [], 0
+    for b in (b for b in batches if b.num_rows):
+        grown = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        for k in range(b.num_rows):
+            if k > first and size + grown[k] - (grown[first - 1] if first else 0) > SLICE:
+                held.append(b.slice(first, k - first))
+                yield pa.concat_batches(held)
+                held, size, first = [], 0, k
+        held.append(b.slice(first))
+        size += int(grown[-1] - (grown[first - 1] if first else 0))
+        if size >= SLICE:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each document's ids and the end id, cut at ``capacity``."""
     def run(batches):
         enc = encoder(tokenizer)
-        for whole in batches:
-            size = np.cumsum(pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-            cuts = [0, *(np.flatnonzero(np.diff(size // SLICE)) + 1).tolist(), whole.num_rows]
-            for b in (whole.slice(a, z - a) for a, z in zip(cuts, cuts[1:]) if z > a):
-                ids, stops = enc.texts(b.column(1), end_id)
-                raw, out, first = memoryview(ids.tobytes()), [], 0
-                for doc, stop in zip(b.column(0).to_pylist(), stops.tolist()):
-                    for piece, k in enumerate(range(first, stop, capacity)):
-                        z = min(k + capacity, stop)
-                        out.append((doc, piece, k - first, z - k, zlib.crc32(raw[4 * k:4 * z])))
-                    first = stop
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32())] + [pa.array(c, pa.int64()) for c in cols[2:]],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"])
+        for b in slices(batches):
+            ids, stops = enc.texts(b.column(1), end_id)
+            raw, out, first = memoryview(ids.tobytes()), [], 0
+            for doc, stop in zip(b.column(0).to_pylist(), stops.tolist()):
+                for piece, k in enumerate(range(first, stop, capacity)):
+                    z = min(k + capacity, stop)
+                    out.append((doc, piece, k - first, z - k, zlib.crc32(raw[4 * k:4 * z])))
+                first = stop
+            cols = list(zip(*out))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32())] + [pa.array(c, pa.int64()) for c in cols[2:]],
+                ["doc_id", "piece", "start", "length", "ids_crc32"])
     return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
             .mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long"))
 
