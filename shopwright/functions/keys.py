@@ -4,9 +4,9 @@
 rows are range-partitioned and sorted on ``k``; each partition numbers its
 rows locally, a tiny per-partition count table (one row per partition, so
 its size is bounded by the partition count) gives running offsets, and the
-key is ``offset + local index``.  The sorted frame is checkpointed to the
-cluster's checkpoint folder in between, so both passes see the same
-partitions even if an executor is lost.
+key is ``offset + local index``.  The sorted frame is written as Parquet to
+the cluster's checkpoint folder in between, with its partition and position
+as columns, so both passes see the same numbering even if an executor is lost.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import stored
 
 
 def with_dense_key(df: DataFrame, order_cols: list[str | Column], key: str,
@@ -24,7 +24,6 @@ def with_dense_key(df: DataFrame, order_cols: list[str | Column], key: str,
     Equals ``row_number() over (order by order_cols)`` when the order
     columns are unique.
     """
-    checkpoint_dir(df.sparkSession)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     # Without an explicit count the range exchange follows the cluster's
     # spark.sql.shuffle.partitions and AQE may merge adjacent small ranges;
@@ -35,12 +34,13 @@ def with_dense_key(df: DataFrame, order_cols: list[str | Column], key: str,
                .withColumn("_dk_pid", F.spark_partition_id())
                .withColumn("_dk_pos", F.monotonically_increasing_id()
                            - F.shiftleft(F.col("_dk_pid").cast("long"), 33)))
-    ordered = ordered.checkpoint(eager=True)
+    ordered = stored(ordered, key)
     counts = ordered.groupBy("_dk_pid").agg(F.count(F.lit(1)).alias("_dk_n"))
     before = Window.orderBy("_dk_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition; written once so consumers never rescan the data
     offsets = counts.select(
-        "_dk_pid", F.coalesce(F.sum("_dk_n").over(before), F.lit(0)).alias("_dk_off")).checkpoint(eager=True)
+        "_dk_pid", F.coalesce(F.sum("_dk_n").over(before), F.lit(0)).alias("_dk_off"))
+    offsets = stored(offsets, f"{key}_offsets")
     return (ordered.join(F.broadcast(offsets), "_dk_pid")
             .withColumn(key, (F.col("_dk_off") + F.col("_dk_pos") + 1).cast("long"))
             .drop("_dk_pid", "_dk_pos", "_dk_off"))

@@ -1,9 +1,9 @@
 """The warehouse DAG: raw (bound test tables) -> staging -> star -> enterprise.
 
 ``Warehouse`` builds each table on first use and memoises the DataFrame, so a
-session that runs many KPIs shares one plan per table (and one checkpoint per
-keyed table).  Everything stays lazy except the checkpoints that fix the
-dense surrogate keys.
+session that runs many KPIs shares one plan per table (and one written copy
+per keyed table).  Everything stays lazy except the Parquet copies of the
+tables below and those that fix the dense surrogate keys.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from ..operators import enterprise as M
 from ..operators import staging as G
 from ..operators import star as D
 from ..sources import bindings as B
-from ..session import checkpoint_dir
+from ..session import stored
 from ..sources.tables import ParquetTables
 
 RAW = {
@@ -29,13 +29,12 @@ RAW = {
 }
 
 
-# Tables written once (reliable checkpoint into the cluster's checkpoint
-# folder) like the source's CREATE TABLE AS: later layers read the written
+# Tables written once (Parquet below the cluster's checkpoint folder) like the source's CREATE TABLE AS: later layers read the written
 # table, so plans stay small, nothing is recomputed per consumer, and a lost
 # executor only costs the tasks of the table being built.
 MATERIALIZED = frozenset({
     "stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews", "stg_deals",
-    # keyed dimensions and facts are already written by their dense-key checkpoint
+    # keyed dimensions and facts are already written by their dense key
     "dim_date", "dim_date_full", "stg_geolocation", "dim_order_status", "dim_store", "dim_marketing_channel",
     "stg_stores", "stg_suppliers",
     "gen_stores", "gen_assignment", "gen_product_supplier", "gen_product_cost", "gen_monthly_actuals",
@@ -62,8 +61,7 @@ class Warehouse:
                 fn: Callable[[], DataFrame] = getattr(self, f"_build_{name}")
                 df = fn()
             if self.materialize and name in MATERIALIZED:
-                checkpoint_dir(self.spark)
-                df = df.checkpoint(eager=True)
+                df = stored(df, name)
             self._memo[name] = df
         return self._memo[name]
 

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,3 +59,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="shopwright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a checkpoint, but consumers' scans prune columns,
+    push filters down and skip row groups.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
