@@ -223,3 +223,19 @@ def test_language_model_joins_what_it_does_not_look_up(spark):
     assert (looked[keep].to_numpy() == joined[keep].to_numpy()).all()
     for c in ("base_score", "score"):
         assert np.allclose(looked[c], joined[c])
+
+
+def test_copies_of_a_page_are_one_page(spark):
+    import corpus_pipeline
+    rng = np.random.default_rng(11)
+    page = lambda k: "\n".join(["home about contact"] + [" ".join(f"{k}x{int(x)}" for x in rng.integers(0, 10_000, 12)) for _ in range(4)])
+    own = [page(f"p{i}") for i in range(44)]
+    a, b = page("a"), page("b")
+    rows = [(i, t, "en", "few", len(t)) for i, t in enumerate(own + [a] * 5)]  # 5 rows of 49
+    rows += [(100 + i, t, "en", "third", len(t)) for i, t in enumerate([page(f"q{i}") for i in range(40)] + [b] * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    cut = corpus_pipeline.line_stage(spark, docs, SF).localCheckpoint()
+    texts = {r["doc_id"]: r["text"] for r in cut.collect()}
+    assert all(texts[i] == t.split("\n", 1)[1] for i, t, *_ in rows)
+    left = {r["doc_id"] for r in corpus_pipeline.near_dup_stage(spark, cut, SF).collect()}
+    assert left == set(range(45)) | set(range(100, 141))
