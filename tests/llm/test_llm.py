@@ -239,3 +239,29 @@ def test_copies_of_a_page_are_one_page(spark):
     assert all(texts[i] == t.split("\n", 1)[1] for i, t, *_ in rows)
     left = {r["doc_id"] for r in corpus_pipeline.near_dup_stage(spark, cut, SF).collect()}
     assert left == set(range(45)) | set(range(100, 141))
+
+
+def test_decontamination_against_every_window(spark):
+    from itertools import combinations
+    rng = np.random.default_rng(13)
+    items = {n: [f"i{n}t{k}" for k in range(n)] for n in (1, 3, 7, 8, 10, 12, 13, 15, 16, 18, 24)}
+    items[30] = ["a", "b"] * 15
+    texts = []
+    for n, w in items.items():
+        changes = [()] + [(k,) for k in range(n)] + list(combinations(range(n), 2)) + [tuple(rng.choice(n, 3, replace=False)) for _ in range(10 * (n > 2))]
+        for c in changes:
+            new = ["other" if k in c else x for k, x in enumerate(w)]
+            texts += [new, ["x"] * int(rng.integers(1, 9)) + new + ["y"] * int(rng.integers(0, 4))]
+        texts += [w[k:] for k in range(n)] + [["x"] + w[:k] + ["y"] for k in range(n)]
+
+    def hit(item, text):
+        n = min(len(item), 13)
+        return any(sum(x != y for x, y in zip(item[p:p + n], text[q:q + n])) <= (2 if n == 13 else 0)
+                   for p in range(len(item) - n + 1) for q in range(len(text) - n + 1))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    want = {(i, n) for i, t in enumerate(texts) for n, w in items.items() if hit(w, t)}
+    got = [(r[0], r[1]) for r in decontam.hits(docs, bench).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    long = {n for n in items if n >= 8}
+    assert {x for x in decontam.hits(docs, bench.where("item_id >= 8")).collect()} == {x for x in want if x[1] in long}
