@@ -265,3 +265,25 @@ def test_decontamination_against_every_window(spark):
     assert len(got) == len(set(got)) and set(got) == want
     long = {n for n in items if n >= 8}
     assert {x for x in decontam.hits(docs, bench.where("item_id >= 8")).collect()} == {x for x in want if x[1] in long}
+
+
+def test_secrets_of_every_form_in_the_registered_query(spark, tmp_path):
+    rng = np.random.default_rng(17)
+    run = lambda n: "".join(rng.choice(list("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"), n))
+    upper = lambda n: "".join(rng.choice(list("ABCDEFGHJKLMNPQRSTUVWXYZ234567"), n))
+    planted = {}
+    for i in range(8):
+        planted |= {  # no hint word but a prefix
+            f"we cloned it with ghp_{(a := run(36))} on the build host": f"ghp_{a}", f"posted by gho_{(a := run(36))}, see the log": f"gho_{a}",
+            f"the bot xoxb-{(a := upper(24))} went away": f"xoxb-{a}", f"charge sk_live_{(a := run(24))} today": f"sk_live_{a}", f"user AKIA{(a := upper(16))} logged in": f"AKIA{a}",
+            # short, or broken by signs
+            f'{i} password = "hunter{i}!" then': f"hunter{i}!", f"{i} pwd: a.b$c!{i}@d, next": f"a.b$c!{i}@d", f"{i} PASSWORD='two words {i}';": f"two words {i}",
+            f'{{"secret": "s{i}", "n": 1}}': f"s{i}", f'{i} passwd: str = "p{i}#"': f"p{i}#", f"login with {(a := run(30))} which is the token": a}
+    plain = ["averylongordinarywordhere stands alone", "internationalisationcommittee met", "password = get_password() was called", "token: ${TOKEN_FROM_ENV} is set", "ASIAN-PACIFIC-REGIONAL trade"] * 8
+    base = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source")
+    rows = [(10_000 + i, t, "src") for i, t in enumerate([*planted, *plain])]
+    base.unionByName(spark.createDataFrame(rows, base.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter((r["doc_id"], r["secret"], r["is_secret"]) for r in queries.op5_secrets(spark, str(tmp_path)).where("doc_id >= 10000").collect())
+    want = Counter((10_000 + i, v, True) for i, v in enumerate(planted.values()))
+    assert {k: n for k, n in got.items() if k[0] < 10_000 + len(planted)} == want
+    assert not any(yes for i, _, yes in got if i >= 10_000 + len(planted))
