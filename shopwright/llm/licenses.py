@@ -1,9 +1,11 @@
 """License scans: winnowed template fingerprints, then banded alignment.
 
 Templates (a fixed list of public license notices) are cut into words; the
-hashes of their word 3-grams are winnowed (the smallest of each window of 4)
-into an inverted index hash -> (template, position).  Every word 3-gram of a
-document is looked up; hits on nearly the same diagonal make a candidate,
+hashes of their word 3-grams are put into an inverted index hash ->
+(template, position): all of them for templates of at most 32 words, winnowed
+ones (the smallest of each window of 4) for longer ones.  Templates of at most
+5 words are indexed by their 2-grams, since one changed word can break every
+3-gram.  Every word 2-gram and 3-gram of a document is looked up; hits on nearly the same diagonal make a candidate,
 which is aligned with the template in a band around that diagonal.  Reported:
 the matched share of the template's words and the character span.
 
@@ -38,6 +40,7 @@ TEMPLATES = {
     "GPL-text": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
 }
 K, WINDOW, BAND = 3, 4, 4
+SHORT, WHOLE = 5, 32  # words: indexed by 2-grams, by every 3-gram
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -46,12 +49,20 @@ def winnow(words: list[str]) -> list[tuple[int, int]]:
     return sorted({min((x, -i) for i, x in enumerate(h[s:s + WINDOW], s)) for s in range(max(1, len(h) - WINDOW + 1))}) if h else []
 
 
+def fingerprints(words: list[str]) -> list[tuple[int, int]]:
+    """(hash, position) of the word runs by which a template is found."""
+    if len(words) > WHOLE:
+        return [(h, -i) for h, i in winnow(words)]
+    k = K - (len(words) <= SHORT)
+    return [(zlib.crc32(" ".join(words[i:i + k]).encode()), i) for i in range(len(words) - k + 1)]
+
+
 def index(templates: dict[str, str]) -> tuple[dict, dict]:
     words = {n: _WORD.findall(t.lower()) for n, t in templates.items()}
     at: dict[int, list] = defaultdict(list)
     for n, w in words.items():
-        for h, i in winnow(w):
-            at[h].append((n, -i))
+        for h, i in fingerprints(w):
+            at[h].append((n, i))
     return words, dict(at)
 
 
@@ -77,10 +88,11 @@ def scan_text(text: str, words: dict, at: dict, vocabulary: frozenset, least: fl
     have = _WORD.findall(low)
     ok = [w in vocabulary for w in have]
     found: dict[tuple, None] = {}
-    for j in range(len(have) - K + 1):
-        if ok[j] and ok[j + 1] and ok[j + 2]:
-            for n, i in at.get(zlib.crc32(" ".join(have[j:j + K]).encode()), ()):
-                found[(n, j - i)] = None
+    for j in range(len(have) - 1):
+        if ok[j] and ok[j + 1]:
+            for k in (K - 1, K) if j + 2 < len(have) and ok[j + 2] else (K - 1,):
+                for n, i in at.get(zlib.crc32(" ".join(have[j:j + k]).encode()), ()):
+                    found[(n, j - i)] = None
     if not found:
         return []
     spans = [m.span() for m in _WORD.finditer(low)]
@@ -92,9 +104,9 @@ def scan_text(text: str, words: dict, at: dict, vocabulary: frozenset, least: fl
         if m >= least * len(words[n]):
             out.append((n, m / len(words[n]), spans[a][0], spans[b - 1][1]))
             last[n] = shift
-    # of overlapping notices the one with more matched text stays
+    # of overlapping notices the one with more matched text stays, on a tie the one with more matched words
     keep: list = []
-    for x in sorted(out, key=lambda r: (-(r[3] - r[2]) * r[1], r[0])):
+    for x in sorted(out, key=lambda r: (-(r[3] - r[2]) * r[1], -r[1] * len(words[r[0]]), r[0])):
         if all(x[3] <= y[2] or x[2] >= y[3] for y in keep):
             keep.append(x)
     return sorted(keep, key=lambda r: r[2])

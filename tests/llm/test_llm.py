@@ -287,3 +287,16 @@ def test_secrets_of_every_form_in_the_registered_query(spark, tmp_path):
     want = Counter((10_000 + i, v, True) for i, v in enumerate(planted.values()))
     assert {k: n for k, n in got.items() if k[0] < 10_000 + len(planted)} == want
     assert not any(yes for i, _, yes in got if i >= 10_000 + len(planted))
+
+
+def test_licenses_with_one_word_changed_anywhere(spark):
+    words, _ = licenses.index(licenses.TEMPLATES)
+    texts = [" ".join(["before", "it"] + w[:k] + ["changed"] + w[k + 1:] + ["after"]) for w in words.values() for k in range(len(w))]
+
+    def unfiltered(text):
+        have = text.split()
+        return {n for n, w in words.items() if max(licenses.align(w, have, s)[0] for s in range(-len(w), len(have))) >= 0.8 * len(w)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(docs).collect()}
+    assert all(got.get(i) in want if (want := unfiltered(t)) else i not in got for i, t in enumerate(texts))
+    assert len(got) == len(texts)
