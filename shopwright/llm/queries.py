@@ -60,9 +60,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import collocations
+    return collocations.mine(common.table(spark, sf_dir, "documents"))
+
+
+def op12_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import ruleledger
+    return ruleledger.judge(common.table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import whitening
+    return whitening.whiten(common.table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_line_dedup": op3_line_dedup,
            "op4_licenses": op4_licenses, "op5_secrets": op5_secrets, "op6_toxicity": op6_toxicity,
-           "op7_decontamination": op7_decontamination, "op8_topk": op8_topk, "op9_maxent": op9_maxent, "op10_packing": op10_packing}
+           "op7_decontamination": op7_decontamination, "op8_topk": op8_topk, "op9_maxent": op9_maxent, "op10_packing": op10_packing,
+           "op11_collocations": op11_collocations, "op12_rules": op12_rules, "op13_whitening": op13_whitening}
 
 _TOKENS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
 
@@ -101,4 +117,54 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id,
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 """,
+    "op11_collocations": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d,
+                  string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+q AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+      FROM (SELECT lang, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM q, (VALUES (1), (2), (3)) AS o(m))),
+f AS (SELECT lang, phrase, any_value(m) AS m, count(*) AS f FROM g GROUP BY lang, phrase),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w, unnest(generate_series(1, m - 1)) AS k FROM f WHERE m >= 2 AND f >= 10),
+s AS (SELECT c.lang, c.phrase, c.m, w, a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score FROM c
+      JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+      JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM s),
+z AS (SELECT DISTINCT b.lang, b.phrase FROM b JOIN (SELECT lang, a, array_to_string(w[1:2], ' ') AS inside FROM b WHERE m = 3 AND cut = 1
+      UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM b WHERE m = 3 AND cut = 1) AS u
+      ON u.lang = b.lang AND u.inside = b.phrase AND 100 * u.a >= 50 * b.a),
+o AS (SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+      FROM b ANTI JOIN z USING (lang, phrase) WHERE cut = 1)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM o JOIN t USING (lang) WHERE rank <= 2000""",
+    "op12_rules": r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT id, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+v AS (SELECT id, i, array_to_string(w[i:i + 7], ' ') AS v FROM (SELECT id, w, unnest(generate_series(1, len(w) - 7)) AS i FROM w)),
+h AS (SELECT id, i FROM (SELECT id, i, count(*) OVER (PARTITION BY id, v) AS c FROM v) WHERE c > 1),
+e AS (SELECT id, count(DISTINCT i + j)::BIGINT AS n_repeat_words FROM h, (SELECT unnest(generate_series(0, 7)) AS j) GROUP BY id),
+u AS (SELECT id, max(c) AS top_word FROM (SELECT id, x, count(*) AS c FROM (SELECT id, unnest(w) AS x FROM w) GROUP BY id, x) GROUP BY id),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+             coalesce(n_repeat_words, 0) AS n_repeat_words, len(l)::BIGINT AS n_lines,
+             len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\x{80}-\x{10FFFF}]')))::BIGINT AS n_letter_words,
+             len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]')))::BIGINT AS n_bullet_lines,
+             len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$')))::BIGINT AS n_ellipsis_lines,
+             coalesce(top_word, 0) AS top_word,
+             len(list_filter(generate_series(2, len(w)), lambda i: w[i] = w[i - 1]))::BIGINT AS n_stutters
+      FROM w LEFT JOIN e USING (id) LEFT JOIN u USING (id)),
+b AS (SELECT *, n_words < 20 AS r0, 100 * n_repeat_words > 30 * n_words AS r1, word_chars < 3 * n_words AS r2, word_chars > 10 * n_words AS r3,
+             10 * n_symbols > n_words AS r4, n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines AS r5, 100 * n_letter_words < 80 * n_words AS r6,
+             100 * n_bullet_lines > 90 * n_lines AS r7, 100 * n_ellipsis_lines > 30 * n_lines AS r8, 100 * top_word > 30 * n_words AS r9,
+             100 * n_stutters > 20 * n_words AS r10 FROM m),
+f AS (SELECT *, r0::INT + r1::INT + r2::INT + r3::INT + r4::INT + r5::INT + r6::INT + r7::INT + r8::INT + r9::INT + r10::INT AS fails,
+             (r0::INT + 2 * r1::INT + 4 * r2::INT + 8 * r3::INT + 16 * r4::INT + 32 * r5::INT + 64 * r6::INT + 128 * r7::INT
+              + 256 * r8::INT + 512 * r9::INT + 1024 * r10::INT)::BIGINT AS fail_bits FROM b),
+g AS (SELECT *, CASE WHEN fails <> 1 THEN 'none' WHEN r0 THEN 'few_words' WHEN r1 THEN 'repeated_windows' WHEN r2 THEN 'short_words'
+             WHEN r3 THEN 'long_words' WHEN r4 THEN 'symbols' WHEN r5 THEN 'repeated_lines' WHEN r6 THEN 'few_letters' WHEN r7 THEN 'bullets'
+             WHEN r8 THEN 'ellipses' WHEN r9 THEN 'top_word' ELSE 'stutters' END AS sole_rule FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_letter_words, n_bullet_lines, n_ellipsis_lines, top_word,
+       n_stutters, fail_bits, r0 OR r1 AS base_failed, fails = 0 AS kept, sole_rule,
+       CASE WHEN sole_rule = 'none' THEN 0 ELSE count(*) FILTER (fails = 0) OVER () + count(*) OVER (PARTITION BY sole_rule) END AS n_kept_without_sole
+FROM g""",
 }
