@@ -7,6 +7,7 @@ small job each and raise ``ConstraintViolation`` on failure.
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,24 +21,21 @@ class ConstraintViolation(AssertionError):
 
 def foreign_key_check(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
                       relationship: str) -> DataFrame:
-    """A-01: non-null child values absent from the parent (anti join).
-
-    The child rows are first counted per value (a partial aggregate, so a
-    hot value collapses map-side); only distinct values meet the parent in
-    the anti join, and the orphan rows are the sum of their counts."""
-    c = (child.select(F.col(child_col).alias("_v")).filter(F.col("_v").isNotNull())
-         .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
-    p = parent.select(F.col(parent_col).alias("_v"))
-    miss = c.join(p, "_v", "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("unmatched_rows"))
-    tot = c.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("child_rows"))
-    return (tot.crossJoin(miss)  # two one-row relations
-            .select(F.lit(relationship).alias("relationship"), "child_rows", "unmatched_rows",
-                    F.coalesce(pct("unmatched_rows", "child_rows", 4), F.lit(0.0)).alias("unmatched_pct")))
+    """A-01: non-null child values absent from the parent."""
+    return relationship_audit([(relationship, child, child_col, parent, parent_col)])
 
 
 def relationship_audit(specs: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """A-02: run A-01 over a list of (name, child, col, parent, col)."""
-    return reduce(DataFrame.unionByName, [foreign_key_check(c, cc, p, pc, n) for n, c, cc, p, pc in specs])
+    """A-02: A-01 over a list of (name, child, col, parent, col), each distinct frame scanned once."""
+    tables, names = {}, {}
+    for _, child, _, parent, _ in specs:
+        for df in (child, parent):
+            names.setdefault(id(df), f"t{len(names)}")
+            tables[names[id(df)]] = df
+    refs = [Reference(n, names[id(c)], (cc,), names[id(p)], (pc,)) for n, c, cc, p, pc in specs]
+    found = reference_counts(tables, refs)
+    return found.select(F.col("name").alias("relationship"), "child_rows", "unmatched_rows",
+                        F.coalesce(pct("unmatched_rows", "child_rows", 4), F.lit(0.0)).alias("unmatched_pct"))
 
 
 def composite_key_test(df: DataFrame, columns: list[str], dataset: str) -> DataFrame:
@@ -77,7 +75,114 @@ def order_multiplicity(orders: DataFrame, items: DataFrame, payments: DataFrame)
                                              for n in names])).alias("x")).select("x.*")
 
 
-# ------------------------------------------------------------------ constraints
+# ------------------------------------------------------------------ one-pass constraint engine
+
+class Reference(NamedTuple):
+    """A foreign key: non-null ``columns`` of ``table`` must occur in ``parent_columns`` of ``parent``."""
+    name: str
+    table: str
+    columns: tuple[str, ...]
+    parent: str
+    parent_columns: tuple[str, ...]
+
+
+class Unique(NamedTuple):
+    """A primary key or unique constraint; a NULL part is a violation."""
+    name: str
+    table: str
+    columns: tuple[str, ...]
+
+
+def key_groups(tables: dict[str, DataFrame], uniques: list[Unique], refs: list[Reference]) -> DataFrame:
+    """(space, key, null_key, owners, c0, c1, ...): one row per key value of a key space.
+
+    A key space is a (table, columns) that is unique or referenced.  Each
+    table is scanned once and emits a row per key space it owns and per
+    reference it holds; all of them meet in one aggregate on (space, key),
+    combined map-side, so a hot key or a widely referenced parent is never
+    gathered.  ``owners`` counts the owner's rows, ``cJ`` the rows of the
+    J-th reference into that space (references with a NULL part hold).
+    """
+    spaces: dict[tuple, int] = {}
+    for t, cols in [(u.table, u.columns) for u in uniques] + [(r.parent, r.parent_columns) for r in refs]:
+        spaces.setdefault((t, tuple(cols)), len(spaces))
+    slots = reference_slots(refs)
+
+    def cell(space: int, cols: tuple[str, ...], slot: int) -> Column:
+        # -1 in slot: the owner of the key space
+        return F.struct(F.lit(space).alias("space"), F.array(*[F.col(c).cast("string") for c in cols]).alias("key"), F.lit(slot).alias("slot"))
+    emitted: dict[str, list[Column]] = {}
+    for (t, cols), space in spaces.items():
+        emitted.setdefault(t, []).append(cell(space, cols, -1))
+    for r, slot in zip(refs, slots):
+        emitted.setdefault(r.table, []).append(cell(spaces[r.parent, tuple(r.parent_columns)], r.columns, slot))
+    parts = [tables[t].select(F.explode(F.array(*cells)).alias("x")).select("x.*") for t, cells in emitted.items()]
+    rows = reduce(DataFrame.unionByName, parts)
+    null_key = F.exists("key", lambda k: k.isNull())
+    used = rows.where((F.col("slot") < 0) | ~null_key)
+    return used.groupBy("space", "key").agg(
+        F.count_if(F.col("slot") < 0).alias("owners"),
+        *[F.count_if(F.col("slot") == j).alias(f"c{j}") for j in range(max(slots, default=-1) + 1)]).withColumn("null_key", null_key)
+
+
+def reference_slots(refs: list[Reference]) -> list[int]:
+    """The number of each reference among those into the same key space."""
+    seen: dict[tuple, int] = {}
+    out = []
+    for r in refs:
+        space = (r.parent, tuple(r.parent_columns))
+        out.append(seen.get(space, 0))
+        seen[space] = out[-1] + 1
+    return out
+
+
+def _space_totals(tables: dict[str, DataFrame], uniques: list[Unique], refs: list[Reference]) -> DataFrame:
+    """One row per key space: bad owner keys, and per slot the rows and those without an owner."""
+    slots = range(max(reference_slots(refs), default=-1) + 1)
+    groups = key_groups(tables, uniques, refs)
+    lost = F.col("owners") == 0
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    bad = (F.col("owners") > 1) | (F.col("null_key") & (F.col("owners") > 0))
+    return groups.groupBy("space").agg(
+        F.count_if(bad).alias("bad"),
+        F.array(*[F.struct(total(F.col(f"c{j}")).alias("rows"), total(F.when(lost, F.col(f"c{j}"))).alias("lost")) for j in slots]
+                or [F.struct(F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("lost"))]).alias("slots"))
+
+
+def _labelled(totals: DataFrame, uniques: list[Unique], refs: list[Reference]) -> DataFrame:
+    """(name, table_name, kind, child_rows, found) per constraint from the totals per key space; a space without rows counts zero."""
+    spark = totals.sparkSession
+    spaces: dict[tuple, int] = {}
+    for t, cols in [(u.table, u.columns) for u in uniques] + [(r.parent, r.parent_columns) for r in refs]:
+        spaces.setdefault((t, tuple(cols)), len(spaces))
+    rows = [(u.name, u.table, "pk", spaces[u.table, tuple(u.columns)], 0) for u in uniques]
+    rows += [(r.name, r.table, "fk", spaces[r.parent, tuple(r.parent_columns)], slot) for r, slot in zip(refs, reference_slots(refs))]
+    wanted = spark.createDataFrame(rows, "name string, table_name string, kind string, space int, slot int")  # the registry
+    at = F.get("slots", F.col("slot"))
+    zero = F.lit(0).cast("long")
+    return (wanted.join(F.broadcast(totals), "space", "left")  # one row a key space
+            .select("name", "table_name", "kind", F.coalesce(at["rows"], zero).alias("child_rows"),
+                    F.coalesce(F.when(F.col("kind") == "pk", F.col("bad")).otherwise(at["lost"]), zero).alias("found")))
+
+
+def reference_counts(tables: dict[str, DataFrame], refs: list[Reference]) -> DataFrame:
+    """(name, child_rows, unmatched_rows) of each reference."""
+    return _labelled(_space_totals(tables, [], refs), [], refs).select("name", "child_rows", F.col("found").alias("unmatched_rows"))
+
+
+def constraint_report(tables: dict[str, DataFrame], uniques: list[Unique], refs: list[Reference]) -> DataFrame:
+    """C-01/C-02 as data: (table_name, constraint_name, violations) of a registry.
+
+    A violated key counts its key groups (repeated or with a NULL part), a
+    violated reference its child rows without a parent.
+    """
+    return _labelled(_space_totals(tables, uniques, refs), uniques, refs).select(
+        "table_name", F.col("name").alias("constraint_name"), F.col("found").alias("violations"))
+
+
+# ------------------------------------------------------------------ single constraints
 
 def unique_violations(df: DataFrame, cols: list[str]) -> DataFrame:
     """Rows of C-01 failures: key groups with more than one row or a NULL key part."""
@@ -94,18 +199,6 @@ def fk_violations(child: DataFrame, cols: list[str], parent: DataFrame, pcols: l
     return c.join(p, [f"_k{i}" for i in range(len(cols))], "left_anti")
 
 
-def fk_violation_count(child: DataFrame, cols: list[str], parent: DataFrame, pcols: list[str]) -> DataFrame:
-    """One row ``violations``: the child rows of :func:`fk_violations`,
-    counted per key first so a hot key collapses map-side and the anti join
-    only sees distinct keys."""
-    c = child.select(*[F.col(a).alias(f"_k{i}") for i, a in enumerate(cols)])
-    c = c.filter(reduce(lambda a, b: a & b, [F.col(f"_k{i}").isNotNull() for i in range(len(cols))]))
-    per = c.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("_n"))
-    p = parent.select(*[F.col(a).alias(f"_k{i}") for i, a in enumerate(pcols)])
-    return (per.join(p, [f"_k{i}" for i in range(len(cols))], "left_anti")
-            .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations")))
-
-
 def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """C-03 in one job for all columns: one row of NULL counts."""
     return df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(c) for c in cols])
@@ -128,21 +221,10 @@ def assert_not_null(df: DataFrame, cols: list[str], name: str = "") -> None:
         raise ConstraintViolation(f"{name}: NULLs in {bad}")
 
 
-def constraint_report(specs: list[tuple[str, str, DataFrame, list[str], DataFrame | None, list[str] | None]]
-                      ) -> DataFrame:
-    """C-01/C-02 as data: (table, constraint, violations) for a registry of
-    ('pk'|'fk', table, df, cols, parent, parent_cols)."""
+def null_report(tables: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
+    """C-03 as data: (table_name, column_name, nulls), one scan per table."""
     parts = []
-    for kind, table, df, cols, parent, pcols in specs:
-        if kind == "pk":
-            v = unique_violations(df, cols).agg(F.count(F.lit(1)).alias("violations"))
-        else:
-            v = fk_violation_count(df, cols, parent, pcols)
-        label = f"{kind}({', '.join(cols)})" + (f" -> ({', '.join(pcols)})" if kind == "fk" else "")
-        parts.append(v
-                     .select(F.lit(table).alias("table_name"), F.lit(label).alias("constraint_name"), "violations"))
+    for t, cols in columns.items():
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("nulls")) for c in cols])).alias("x")
+        parts.append(null_counts(tables[t], cols).select(F.lit(t).alias("table_name"), cells).select("table_name", "x.*"))
     return reduce(DataFrame.unionByName, parts)
-
-
-def any_true(cols: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, cols)

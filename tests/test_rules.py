@@ -233,5 +233,24 @@ def test_foreign_key_counts_with_hot_orphan_key(spark):
     orphans = sum(1 for _, fk in rows if fk is not None and fk not in range(4))
     r = A.foreign_key_check(child, "fk", parent, "pk", "x").collect()[0]
     assert (r.child_rows, r.unmatched_rows) == (sum(1 for _, fk in rows if fk is not None), orphans)
-    v = A.fk_violation_count(child, ["fk"], parent, ["pk"]).collect()[0].violations
-    assert v == A.fk_violations(child, ["fk"], parent, ["pk"]).count() == orphans
+    report = A.constraint_report({"c": child, "p": parent}, [A.Unique("pk", "p", ("pk",)), A.Unique("u", "c", ("fk",))],
+                                 [A.Reference("fk", "c", ("fk",), "p", ("pk",))])
+    got = {(x.table_name, x.constraint_name): x.violations for x in report.collect()}
+    assert got == {("p", "pk"): 0, ("c", "u"): 7, ("c", "fk"): orphans}
+    assert A.fk_violations(child, ["fk"], parent, ["pk"]).count() == orphans
+
+
+def test_constraint_engine_scans_each_table_once(spark, tmp_path):
+    paths = {}
+    for name in ("a", "b"):
+        spark.range(20).selectExpr("id", "id % 7 AS x", "CASE WHEN id % 5 = 0 THEN NULL ELSE id + 15 END AS y").write.parquet(f"{tmp_path}/{name}")
+        paths[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    uniques = [A.Unique("k", "a", ("id",)), A.Unique("xy", "a", ("x", "y")), A.Unique("k", "b", ("id",))]
+    refs = [A.Reference("r1", "b", ("y",), "a", ("id",)), A.Reference("r2", "b", ("x",), "a", ("id",)), A.Reference("r3", "a", ("y",), "b", ("id",))]
+    groups = A.key_groups(paths, uniques, refs)
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 1
+    got = {(x.table_name, x.constraint_name): x.violations for x in A.constraint_report(paths, uniques, refs).collect()}
+    assert got == {("a", "k"): 0, ("a", "xy"): 4, ("b", "k"): 0, ("b", "r1"): 12, ("b", "r2"): 0, ("a", "r3"): 12}
+    none = A.constraint_report({n: d.limit(0) for n, d in paths.items()}, uniques, refs).collect()
+    assert len(none) == 6 and not any(x.violations for x in none)
