@@ -17,7 +17,7 @@ the rest) for the right counts, and the longer candidates' extension counts
 (a maximum per inner phrase) meet the candidates in phrase order.  A hot first
 part or rest is a skewed merge join that AQE splits; the extension maxima and
 the counts are partial aggregates.  The ranking first keeps the best of each
-of ``SPREAD`` parts of a language, so no task ranks a whole language.
+of some parts of a language (``SPREAD``), so no task ranks a whole language.
 
 Nulls and edge cases: a null text is empty and has no words; a null language
 is ``und``; doc_id is not used, so null and repeated ids count like any row;
@@ -47,7 +47,8 @@ BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 BUFFER = 2_000_000
 #: log2 of the bits of the table of frequent (n-1)-grams (8 MB)
 BITS = 26
-SPREAD = 16
+#: parts of a language that are ranked apart before the language is, round by round
+SPREAD = (64, 8)
 
 _TO_BREAK = bytes.maketrans(BREAKS, b"." * len(BREAKS))
 
@@ -138,7 +139,7 @@ def _grams(buffer: _Buffer, orders: range, bits: np.ndarray | None, schema: pa.S
             starts, group = starts[both], group[both]
 
 
-def partial_counts(docs: DataFrame, orders: range, bits=None) -> DataFrame:
+def partial_counts(docs: DataFrame, orders: range, bits=None, size: int = BUFFER) -> DataFrame:
     """(lang, phrase, n) combined per task; ``bits``: broadcast marks of the frequent phrases one word shorter."""
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
@@ -147,7 +148,7 @@ def partial_counts(docs: DataFrame, orders: range, bits=None) -> DataFrame:
         for b in batches:
             for lang, text in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
                 found = words(text)
-                if buffer.size and buffer.size + len(found) > BUFFER:
+                if buffer.size and buffer.size + len(found) > size:
                     yield from _grams(buffer, orders, marks, schema)
                     buffer = _Buffer()
                 if found:
@@ -177,7 +178,7 @@ def frequent_bits(phrases: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def counts(docs: DataFrame, max_words: int = 3, min_count: int = 10) -> DataFrame:
+def counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, buffer: int = BUFFER) -> DataFrame:
     """(lang, phrase, m, f): phrases of m <= max_words words with f >= min_count, and each language's
     total (a null phrase, m = 0); written once below the checkpoint folder."""
     common.prepare(docs.sparkSession)
@@ -186,10 +187,10 @@ def counts(docs: DataFrame, max_words: int = 3, min_count: int = 10) -> DataFram
     def kept(part: DataFrame, name: str) -> DataFrame:
         f = part.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
         return stored(f.where(F.col("phrase").isNull() | (F.col("f") >= min_count)).withColumn("m", n_words), name)
-    out = kept(partial_counts(docs, range(1, min(2, max_words) + 1)), "phrases")
+    out = kept(partial_counts(docs, range(1, min(2, max_words) + 1), size=buffer), "phrases")
     for order in range(3, max_words + 1):
         bits = docs.sparkSession.sparkContext.broadcast(frequent_bits(out.where(F.col("m") == order - 1)))
-        out = out.unionByName(kept(partial_counts(docs, range(order, order + 1), bits), "phrases"))
+        out = out.unionByName(kept(partial_counts(docs, range(order, order + 1), bits, buffer), "phrases"))
     return out
 
 
@@ -220,21 +221,24 @@ def extensions(stream: DataFrame, max_words: int = 3) -> DataFrame:
     return inner.groupBy("lang", "phrase").agg(F.max("f").alias("longest"))
 
 
-def mine(docs: DataFrame, max_words: int = 3, min_count: int = 10, share: int = 50, top: int = 2000) -> DataFrame:
+def mine(docs: DataFrame, max_words: int = 3, min_count: int = 10, share: int = 50, top: int = 2000,
+         buffer: int = BUFFER) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's first ``top`` candidates.
 
     A candidate goes if a longer one that holds it has at least ``share`` % of its count.
     """
-    stream = counts(docs, max_words, min_count)
+    stream = counts(docs, max_words, min_count, buffer)
     longer = extensions(stream, max_words).hint("merge")
     kept = (scored(stream, max_words).join(longer, ["lang", "phrase"], "left")
             .where(F.coalesce(F.lit(100) * F.col("longest") < F.lit(share) * F.col("a"), F.lit(True))))
     totals = stream.where("m = 0").select("lang", F.col("f").alias("n"))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    piece = F.pmod(F.xxhash64("phrase"), F.lit(SPREAD)).cast("int")
-    first = (kept.withColumn("piece", piece)
-             .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "piece").orderBy(*order)))
-             .where(F.col("rank") <= top).drop("piece", "rank"))
+    first = kept
+    for parts in SPREAD:  # a task ranks at most the best `top` of each part of the round before
+        piece = F.pmod(F.xxhash64("phrase"), F.lit(parts)).cast("int")
+        first = (first.withColumn("piece", piece)
+                 .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "piece").orderBy(*order)))
+                 .where(F.col("rank") <= top).drop("piece", "rank"))
     return (first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
             .where(F.col("rank") <= top).join(totals, "lang")
             .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))

@@ -46,11 +46,15 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = 0.1, min_p
 
 def clean(docs: DataFrame, host: str = "source", ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
     """The documents with boilerplate lines dropped, and n_lines, n_dropped."""
-    drops = boilerplate(docs, host, ratio, min_pages).withColumnRenamed("h", "_host")
-    out = docs.join(drops, F.col(host).eqNullSafe(F.col("_host")), "left")
-    kept = F.filter(F.col("_lines"), lambda x: ~F.coalesce(F.array_contains("drop_lines", _key(F.trim(x))), F.lit(False)))
-    return (out.withColumn("_lines", lines(F.col("text"))).withColumn("_kept", kept)
-            .withColumn("text", F.array_join("_kept", "\n"))
-            .withColumn("n_lines", F.coalesce(F.size("_lines"), F.lit(0)).cast("long"))
-            .withColumn("n_dropped", (F.coalesce(F.size("_lines"), F.lit(0)) - F.coalesce(F.size("_kept"), F.lit(0))).cast("long"))
-            .drop("_host", "_lines", "_kept", "drop_lines"))
+    docs = docs.drop("n_lines", "n_dropped")
+    fresh = [next(f"{x}{k or ''}" for k in range(len(docs.columns) + 1) if f"{x}{k or ''}" not in docs.columns) for x in ("h", "drop_lines", "all", "kept")]
+    on, drops, all_lines, kept = fresh
+    lists = boilerplate(docs, host, ratio, min_pages).toDF(on, drops)
+    left = F.filter(F.col(all_lines), lambda x: ~F.coalesce(F.array_contains(drops, _key(F.trim(x))), F.lit(False)))
+    out = (docs.join(lists, F.col(host).eqNullSafe(F.col(on)), "left")
+           .withColumn(all_lines, lines(F.col("text"))).withColumn(kept, left))
+
+    def size(name: str):
+        return F.coalesce(F.size(name), F.lit(0))
+    return out.select(*[F.array_join(kept, "\n").alias(c) if c == "text" else F.col(c) for c in docs.columns],
+                      size(all_lines).cast("long").alias("n_lines"), (size(all_lines) - size(kept)).cast("long").alias("n_dropped"))

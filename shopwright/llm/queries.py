@@ -84,29 +84,32 @@ _TOKENS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), l
 
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": """
-WITH l AS (SELECT doc_id, source, text, generate_subscripts(string_split(text, chr(10)), 1) AS i,
-                  unnest(string_split(text, chr(10))) AS line FROM documents),
-p AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
-b AS (SELECT l.source, trim(line) AS line FROM l JOIN p USING (source) WHERE trim(line) <> ''
-      GROUP BY l.source, trim(line), pages HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) > 0.1 * pages),
-k AS (SELECT l.*, b.line IS NULL AS keep FROM l LEFT JOIN b ON b.source = l.source AND b.line = trim(l.line))
-SELECT doc_id, source, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keep), '') AS text,
-       count(*) AS n_lines, count(*) FILTER (NOT keep) AS n_dropped
-FROM k GROUP BY doc_id, source""",
+WITH t AS (SELECT DISTINCT source, text FROM documents), p AS (SELECT source, count(*) AS pages FROM t GROUP BY source),
+w AS (SELECT source, text, trim(unnest(string_split(text, chr(10)))) AS line FROM t),
+b AS (SELECT w.source, line FROM w JOIN p ON w.source IS NOT DISTINCT FROM p.source WHERE line <> ''
+      GROUP BY w.source, line, pages HAVING count(DISTINCT text) >= 5 AND count(DISTINCT text) > 0.1 * pages),
+d AS (SELECT row_number() OVER () AS id, doc_id, source, text FROM documents),
+l AS (SELECT id, doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line FROM d),
+k AS (SELECT l.*, b.line IS NULL AS keep FROM l LEFT JOIN b ON b.source IS NOT DISTINCT FROM l.source AND b.line = trim(l.line)),
+r AS (SELECT id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keep), '') AS text, count(*) AS n_lines,
+             count(*) FILTER (NOT keep) AS n_dropped FROM k GROUP BY id)
+SELECT doc_id, source, r.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped FROM d LEFT JOIN r USING (id)""",
     "op7_decontamination": f"""
 WITH d AS (SELECT doc_id, {_TOKENS} AS w FROM documents), b AS (SELECT item_id, {_TOKENS} AS w FROM benchmark),
-dp AS (SELECT doc_id, w[p:p + 12] AS w FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS p FROM d)),
-bp AS (SELECT item_id, p, w[p:p + 12] AS w FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - 7)) AS p FROM b)),
-h AS (SELECT doc_id, item_id, p, dp.w AS dw, bp.w AS bw FROM dp JOIN bp
-      ON dp.w[1] = bp.w[1] AND dp.w[2] = bp.w[2] AND dp.w[4] = bp.w[4] AND dp.w[6] = bp.w[6] AND dp.w[7] = bp.w[7]
-      UNION ALL SELECT doc_id, item_id, p, dp.w, bp.w FROM dp JOIN bp
-      ON dp.w[1] = bp.w[1] AND dp.w[3] = bp.w[3] AND dp.w[4] = bp.w[4] AND dp.w[5] = bp.w[5] AND dp.w[8] = bp.w[8]),
-s AS (SELECT doc_id, item_id, p, len(bw) AS n,
-             len(list_filter(range(1, len(bw) + 1), lambda i: bw[i] <> dw[i])) AS subst FROM h WHERE len(dw) >= len(bw)),
-f AS (SELECT DISTINCT doc_id, item_id FROM s WHERE n = 13 AND subst <= 2 OR n < 13 AND p = 1 AND subst = 0),
+dp AS (SELECT doc_id, p, w FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS p FROM d WHERE doc_id IS NOT NULL)),
+bp AS (SELECT item_id, w[p:p + 12] AS w FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 12))) AS p FROM b WHERE item_id IS NOT NULL AND len(w) > 0)),
+-- of thirteen tokens with two substitutions, one of three blocks is whole; shorter items match whole
+dk AS (SELECT doc_id, p - o.o AS p, o.o, array_to_string(w[p:p + o.n - 1], ' ') AS k FROM dp, (VALUES (0, 4), (4, 4), (8, 5)) AS o(o, n) WHERE len(w) >= p + o.n - 1 AND p > o.o),
+bk AS (SELECT item_id, w, o.o, array_to_string(w[o.o + 1:o.o + o.n], ' ') AS k FROM bp, (VALUES (0, 4), (4, 4), (8, 5)) AS o(o, n) WHERE len(w) = 13),
+h AS (SELECT DISTINCT dk.doc_id, item_id, dk.p, bk.w AS bw FROM dk JOIN bk ON dk.o = bk.o AND dk.k = bk.k),
+s AS (SELECT h.doc_id, item_id, len(list_filter(range(1, 14), lambda i: bw[i] IS DISTINCT FROM d.w[p + i - 1])) AS subst
+      FROM h JOIN d ON d.doc_id = h.doc_id WHERE len(d.w) >= p + 12),
+x AS (SELECT DISTINCT item_id, len(w) AS n, array_to_string(w, ' ') AS k FROM bp WHERE len(w) < 13),
+f AS (SELECT doc_id, item_id FROM s WHERE subst <= 2
+      UNION SELECT doc_id, item_id FROM d, x WHERE doc_id IS NOT NULL AND contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || x.k || ' ')),
 c AS (SELECT doc_id, count(*) AS n FROM f GROUP BY doc_id)
 SELECT doc_id, n IS NOT NULL AS contaminated, coalesce(n, 0) AS n_items
-FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN c USING (doc_id)""",
+FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) LEFT JOIN c USING (doc_id)""",
     "op8_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
@@ -125,10 +128,11 @@ g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
       FROM (SELECT lang, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM q, (VALUES (1), (2), (3)) AS o(m))),
 f AS (SELECT lang, phrase, any_value(m) AS m, count(*) AS f FROM g GROUP BY lang, phrase),
 t AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
-c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w, unnest(generate_series(1, m - 1)) AS k FROM f WHERE m >= 2 AND f >= 10),
-s AS (SELECT c.lang, c.phrase, c.m, w, a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score FROM c
-      JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
-      JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+e AS MATERIALIZED (SELECT lang, phrase, m, f, string_split(phrase, ' ') AS w FROM f WHERE f >= 10),
+c AS (SELECT lang, phrase, m, f AS a, w, unnest(generate_series(1, m - 1)) AS k FROM e WHERE m >= 2),
+x AS MATERIALIZED (SELECT c.*, e.f AS l FROM c JOIN e ON e.lang = c.lang AND e.phrase = array_to_string(c.w[1:k], ' ')),
+s AS (SELECT x.*, e.f AS r, (1000000::HUGEINT * a * a) // (l::HUGEINT * e.f) AS score
+      FROM x JOIN e ON e.lang = x.lang AND e.phrase = array_to_string(x.w[k + 1:], ' ')),
 b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM s),
 z AS (SELECT DISTINCT b.lang, b.phrase FROM b JOIN (SELECT lang, a, array_to_string(w[1:2], ' ') AS inside FROM b WHERE m = 3 AND cut = 1
       UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM b WHERE m = 3 AND cut = 1) AS u

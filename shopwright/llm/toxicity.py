@@ -138,10 +138,13 @@ def fit(rows: list[tuple[str, int]], rounds: int = 300, rate: float = 0.5, least
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = 3_000) -> DataFrame:
+    """One row per document.  An id labelled both toxic and not counts as toxic; of the
+    documents' columns only doc_id and text are read."""
     common.prepare(docs.sparkSession)
+    docs = docs.select("doc_id", "text")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
     wanted = (labels.where("toxic is not null and doc_id is not null").where(fold != 0)
-              .select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["_id"])
+              .groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
               .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
     sample = (docs.join(wanted, docs["doc_id"] == wanted["_id"]).select("_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
               .orderBy("_id").collect())  # at most max_rows labelled rows
