@@ -28,10 +28,22 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group stays; rows without a doc_id stay."""
-    groups = simhash.near_duplicates(docs, shingle=4, distance=4)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti").select(*COLUMNS)
+    """One row of each group stays.
+
+    Rows are told apart by a hash of (doc_id, text), so null and repeated ids
+    are grouped by their own texts; rows equal in both count as copies.  Rows
+    that only share the hash stay.
+    """
+    key = F.xxhash64(F.col("doc_id"), F.col("text"))
+    groups = simhash.near_duplicates(docs.select(key.alias("doc_id"), "text"), shingle=4, distance=4)
+    rows = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("low"), F.max("component_id").alias("high"))
+    rows = common.cut(rows.where((F.col("n") > 1) | (F.col("low") != F.col("doc_id"))))
+    other = (F.col("low") == F.col("high")) & (F.col("low") != F.col("doc_id"))
+    repeated = (F.col("n") > 1) & ~other
+    marked = docs.withColumn("_key", key)
+    once = marked.join(rows.select(F.col("doc_id").alias("_key")), "_key", "left_anti")
+    first = marked.join(rows.where(repeated).select(F.col("doc_id").alias("_key")), "_key", "left_semi").dropDuplicates(["_key", "doc_id", "text"])
+    return once.unionByName(first).select(*COLUMNS)
 
 
 def decontam_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
