@@ -44,7 +44,7 @@ from ..session import stored
 #: fixed values: characters that end a piece
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 #: words buffered before equal n-grams are combined and sent
-BUFFER = 2_000_000
+BUFFER = 1_000_000
 #: log2 of the bits of the table of frequent (n-1)-grams (8 MB)
 BITS = 26
 #: parts of a language that are ranked apart before the language is, round by round
