@@ -388,6 +388,15 @@ def marketing_vs_sales(fo: DataFrame, fms: DataFrame, dates: DataFrame, status:
                  pct(F.sum(active), F.sum(s)).alias("active_month_marketing_spend_pct_sales"))
 
 
+def marketing_spend_per_order(fo: DataFrame, fms: DataFrame, status: DataFrame) -> DataFrame:
+    """K-42: marketing spend per delivered order, one row."""
+    orders = delivered(fo, status).agg(F.count(F.lit(1)).alias("delivered_orders"))
+    spend = fms.agg(F.sum("spend").alias("_s"))
+    return orders.crossJoin(spend).select(  # two one-row relations
+        "delivered_orders", F.round("_s", 2).cast("double").alias("marketing_spend"),
+        ratio("_s", "delivered_orders").alias("marketing_spend_per_order"))
+
+
 # ----------------------------------------------------------------- store profitability K-15..K-20
 
 def _store_combined(fo: DataFrame, foi: DataFrame, stores: DataFrame, status: DataFrame) -> DataFrame:

@@ -5,14 +5,17 @@ structure / NULL-pattern / control-total reconciliation of a published copy.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import round_half_up
-from ..sources.files import write_table
+from ..sources.files import _fs_glob, write_table
 
 TOLERANCE = 0.01  # fixed value: control totals agree within 0.01
 
@@ -66,20 +69,78 @@ def normalize(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def publish_all(tables: dict[str, DataFrame], target_dir: str, read_back) -> DataFrame:
-    """V-05: write every table, counting rows during the write, re-count the
-    written copy, reject empty tables; (table, source_rows, loaded_rows,
-    target_rows, status)."""
+_SPARK_TYPE = {"VARCHAR": "string", "BOOLEAN": "boolean", "FLOAT": "double", "DATE": "date",
+               "TIMESTAMP_NTZ": "timestamp_ntz", "TIMESTAMP_TZ": "timestamp", "BINARY": "binary", "VARIANT": "string"}
+_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def typed_target(df: DataFrame) -> DataFrame:
+    """V-03 + V-04: the normalised frame, each column cast to what its target type holds.
+
+    Whole numbers keep their width, decimals are clamped, nested columns
+    become JSON text.
+    """
+    flat = normalize(df)
+    cols = []
+    for f in flat.schema.fields:
+        target, c = map_type(f.dataType), F.col(f"`{f.name}`")
+        if target == "VARIANT":
+            c = c.cast("string") if isinstance(f.dataType, T.VariantType) else F.to_json(c)
+        elif target.startswith("NUMBER"):
+            c = c if isinstance(f.dataType, _EXACT) else c.cast("decimal" + target[len("NUMBER"):])
+        else:
+            c = c.cast(_SPARK_TYPE[target])
+        cols.append(c.alias(f.name))
+    return flat.select(*cols)
+
+
+def _versions(spark: SparkSession, target_dir: str) -> list[int]:
+    """Finished manifests of a publication folder, oldest first."""
+    done = _fs_glob(spark, f"{target_dir.rstrip('/')}/_manifest/*/_SUCCESS")
+    return sorted(int(p.split("/")[-2]) for p in done)
+
+
+def current(spark: SparkSession, target_dir: str) -> dict[str, str]:
+    """table -> path of the copy that readers see (the newest finished manifest)."""
+    found = _versions(spark, target_dir)
+    if not found:
+        return {}
+    rows = spark.read.schema("table_name string, path string").json(f"{target_dir.rstrip('/')}/_manifest/{found[-1]}").collect()
+    return {r.table_name: r.path for r in rows}  # one row a table
+
+
+def publish_all(tables: dict[str, DataFrame], target_dir: str, prepare: Callable[[DataFrame], DataFrame] = typed_target,
+                parallel: int = 4) -> DataFrame:
+    """S-10 / V-05, two phases; (table, source_rows, loaded_rows, target_rows, status).
+
+    First every table is made ready by ``prepare`` (the typed target) and
+    written to a path of its own, ``parallel`` at a time.  Three counts must
+    agree: the source's rows, observed before ``prepare``; the rows that
+    reach the writer; the rows of the written files.  An empty table is
+    refused (EMPTY), differing counts FAIL.  Only when all tables PASS does a
+    new manifest name the new paths; it is written last, so readers
+    (``current``) see the old copies until then and after any failure.
+    """
     spark = next(iter(tables.values())).sparkSession
-    rows = []
-    for name, df in tables.items():
-        path = f"{target_dir.rstrip('/')}/{name}"
-        loaded = write_table(df, path)
-        target = read_back(path).count()
-        status = "PASS" if loaded == target and loaded > 0 else ("EMPTY" if loaded == 0 else "FAIL")
-        rows.append((name, loaded, loaded, target, status))
-    return spark.createDataFrame(rows, "table_name string, source_rows long, loaded_rows long, target_rows long, "
-                                       "status string")
+    root, run = target_dir.rstrip("/"), uuid.uuid4().hex[:12]
+
+    def load(item: tuple[str, DataFrame]) -> tuple:
+        name, df = item
+        path = f"{root}/{name}/{run}"
+        source = Observation(f"source_{run}_{name}")
+        loaded = write_table(prepare(df.observe(source, F.count(F.lit(1)).alias("rows"))), path)
+        target = spark.read.parquet(path).count()
+        rows = int(source.get["rows"])
+        status = "EMPTY" if rows == 0 else ("PASS" if rows == loaded == target else "FAIL")
+        return name, rows, loaded, target, status
+    with ThreadPoolExecutor(parallel) as pool:
+        report = list(pool.map(load, tables.items()))
+    if all(r[-1] == "PASS" for r in report):
+        number = max(_versions(spark, root), default=0) + 1
+        known = current(spark, root) | {name: f"{root}/{name}/{run}" for name in tables}
+        spark.createDataFrame(sorted(known.items()), "table_name string, path string").coalesce(1).write.json(f"{root}/_manifest/{number}")
+    return spark.createDataFrame(report, "table_name string, source_rows long, loaded_rows long, target_rows long, "
+                                         "status string")
 
 
 _FAMILY = [((T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType), "number"),
@@ -114,10 +175,31 @@ def null_pattern(df: DataFrame) -> DataFrame:
     return row.select(F.explode(F.array(*items)).alias("x")).select("x.*")
 
 
+#: reads Parquet through the reader that answers counts from the files' footers
+_FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_null_pattern(spark: SparkSession, path: str) -> DataFrame:
+    """(column_name, nulls) of a written table, counted by its Parquet footers: no data page is read
+    (columns whose footers hold no counts are scanned)."""
+    before = {k: spark.conf.get(k, None) for k in _FOOTERS}
+    try:
+        for k, v in _FOOTERS.items():
+            spark.conf.set(k, v)
+        df = spark.read.parquet(path)
+        row = df.agg(F.count(F.lit(1)), *[F.count(F.col(f"`{c}`")) for c in df.columns]).first()  # one row
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return spark.createDataFrame([(c, row[0] - n) for c, n in zip(df.columns, row[1:])], "column_name string, nulls long")
+
+
 def compare_nulls(source: DataFrame, target: DataFrame, table: str) -> DataFrame:
-    """V-07: NULL pattern of the source vs the published copy per column."""
-    s = null_pattern(source).withColumnRenamed("nulls", "source_nulls")
-    t = null_pattern(target).withColumnRenamed("nulls", "target_nulls")
+    """V-07: NULL pattern of the source (a frame) vs the published copy (its
+    :func:`footer_null_pattern`, or a frame to be scanned) per column."""
+    s = null_pattern(source).select(F.lower("column_name").alias("column_name"), F.col("nulls").alias("source_nulls"))
+    t = target if target.columns == ["column_name", "nulls"] else null_pattern(target)
+    t = t.select(F.lower("column_name").alias("column_name"), F.col("nulls").alias("target_nulls"))
     return (s.join(t, "column_name", "full")
             .select(F.lit(table).alias("table_name"), "column_name", "source_nulls", "target_nulls",
                     F.coalesce(F.col("source_nulls") == F.col("target_nulls"), F.lit(False)).alias("match")))

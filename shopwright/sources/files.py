@@ -1,4 +1,4 @@
-"""File sources and sinks (S-01..S-11).
+"""File sources and sinks (S-01..S-11; S-10, publishing, is :func:`..operators.publish.publish_all`).
 
 File listing goes through the Hadoop FileSystem of the session (works for
 HDFS, S3A, GCS, local), is metadata only, and never reads data on the
@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -66,29 +68,29 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return int(obs.get["rows"])
 
 
-def load_raw(spark: SparkSession, sources: dict[str, DataFrame], target_dir: str) -> dict[str, DataFrame]:
+class Loaded(NamedTuple):
+    """A loaded table and the rows observed on its source while it was written."""
+    table: DataFrame
+    rows: int
+
+
+def load_raw(spark: SparkSession, sources: dict[str, DataFrame], target_dir: str) -> dict[str, Loaded]:
     """S-04: replace each raw table (overwrite) and return the written tables."""
     out = {}
     for name, df in sources.items():
         path = f"{target_dir.rstrip('/')}/{name}"
-        write_table(df, path)
-        out[name] = spark.read.parquet(path)
+        rows = write_table(df, path)
+        out[name] = Loaded(spark.read.parquet(path), rows)
     return out
 
 
-def verify_load(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """S-05: (table, source_rows, database_rows, row_count_match); one count
-    job per side, results unioned."""
-    parts = []
-    for name, (src, tgt) in pairs.items():
-        s = src.agg(F.count(F.lit(1)).alias("source_rows"))
-        t = tgt.agg(F.count(F.lit(1)).alias("database_rows"))
-        parts.append(s.crossJoin(t).select(F.lit(name).alias("table_name"), "source_rows", "database_rows",
-                                           (F.col("source_rows") == F.col("database_rows")).alias("row_count_match")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def verify_load(loaded: dict[str, Loaded]) -> DataFrame:
+    """S-05: (table, source_rows, database_rows, row_count_match); the source
+    was counted while it was loaded, so only the written tables are read."""
+    parts = [t.table.agg(F.count(F.lit(1)).alias("database_rows"))
+             .select(F.lit(name).alias("table_name"), F.lit(t.rows).cast("long").alias("source_rows"), "database_rows",
+                     (F.lit(t.rows) == F.col("database_rows")).alias("row_count_match")) for name, t in loaded.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def assert_loaded(report: DataFrame) -> None:
@@ -106,7 +108,7 @@ def load_enterprise(spark: SparkSession, config: dict[str, tuple[str, T.StructTy
         for c in dates:
             df = df.withColumn(c, F.to_date(F.col(c)))
         out[name] = df
-    return load_raw(spark, out, target_dir)
+    return {name: t.table for name, t in load_raw(spark, out, target_dir).items()}
 
 
 def read_query(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -126,11 +128,6 @@ def write_report(df: DataFrame, out_dir: str, name: str) -> int:
     return write_table(df.coalesce(1), f"{out_dir.rstrip('/')}/{name}", fmt="csv")
 
 
-def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """S-10: publish a table to the serving location (parquet, overwrite)."""
-    return write_table(df, path, partition_by=partition_by)
-
-
 def rebuild(order: list[tuple[str, Callable[[], DataFrame]]], out_dir: str) -> list[tuple[str, int]]:
     """S-11: drop-and-create a layer in dependency order."""
     return [(name, write_table(build(), f"{out_dir.rstrip('/')}/{name}")) for name, build in order]

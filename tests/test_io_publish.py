@@ -29,7 +29,8 @@ def test_csv_roundtrip_discover_and_verify(spark, workdir):
     with pytest.raises(FileNotFoundError):
         S.source_registry(spark, {f"{workdir}/nope.csv": "x"})
     loaded = S.load_raw(spark, {"t": df}, f"{workdir}/raw")
-    report = S.verify_load({"t": (df, loaded["t"])})
+    report = S.verify_load(loaded)
+    assert [r.row_count_match for r in S.verify_load({"t": loaded["t"]._replace(rows=3)}).collect()] == [False]
     assert report.first().row_count_match
     S.assert_loaded(report)
     assert S.write_outputs({"o": df}, f"{workdir}/out") == [("o", 2)]
@@ -72,3 +73,52 @@ def test_normalize_upper_cases_and_coerces(spark):
     assert out.columns == ["ORDER_DATE", "N"]
     vals = [r.ORDER_DATE for r in out.collect()]
     assert vals[1] is None and vals[0] is not None
+
+
+def test_two_phase_publish_keeps_the_old_copy(spark, workdir, monkeypatch):
+    root = f"{workdir}/serving"
+    a = spark.range(10).selectExpr("id", "CAST(id AS DECIMAL(12,2)) AS price", "'2020-01-0' || (1 + id % 3) AS sold_date", "array(id) AS parts")
+    b = spark.range(5).selectExpr("id", "id * 2 AS x")
+
+    def report(**tables):
+        return {r.table_name: tuple(r)[1:] for r in V.publish_all(tables, root).collect()}
+    assert V.current(spark, root) == {}
+    assert report(a=a, b=b) == {"a": (10, 10, 10, "PASS"), "b": (5, 5, 5, "PASS")}
+    first = V.current(spark, root)
+    copy = spark.read.parquet(first["a"])
+    assert [f.simpleString() for f in copy.schema.fields] == ["ID:bigint", "PRICE:decimal(12,2)", "SOLD_DATE:timestamp", "PARTS:string"]
+    # an empty table is refused, and the good one beside it is not switched either
+    assert report(a=a.where("id < 0"), b=b) == {"a": (0, 0, 0, "EMPTY"), "b": (5, 5, 5, "PASS")}
+    assert V.current(spark, root) == first and spark.read.parquet(first["a"]).count() == 10
+    # rows lost between the writer and the files
+    real = V.write_table
+    monkeypatch.setattr(V, "write_table", lambda df, path: (real(df.where("ID <> 3"), path), 10)[1])
+    assert report(a=a)["a"] == (10, 10, 9, "FAIL") and V.current(spark, root) == first
+    monkeypatch.setattr(V, "write_table", real)
+    # rows lost before the writer
+    lost = V.publish_all({"a": a}, root, prepare=lambda df: V.typed_target(df.limit(4))).first()
+    assert (lost.loaded_rows, lost.target_rows, lost.status) == (4, 4, "FAIL") and V.current(spark, root) == first
+    # a later good run of one table switches that table and keeps the other
+    assert report(a=a.where("id < 7")) == {"a": (7, 7, 7, "PASS")}
+    now = V.current(spark, root)
+    assert now["b"] == first["b"] and spark.read.parquet(now["a"]).count() == 7
+
+
+def test_null_counts_come_from_the_footers(spark, workdir):
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id % 4 = 0 THEN NULL ELSE id END AS x", "CASE WHEN id < 10 THEN 'a' END AS s",
+                                      "CAST(NULL AS DATE) AS d", "id > 5 AS flag", "CAST(id AS DECIMAL(20,2)) AS m")
+    df.repartition(3).write.parquet(f"{workdir}/nulls")
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    got = {r.column_name: r.nulls for r in V.footer_null_pattern(spark, f"{workdir}/nulls").collect()}
+    assert got == {"id": 0, "x": 250, "s": 990, "d": 1000, "flag": 0, "m": 0}
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    lost = V.compare_nulls(df.withColumn("x", F.col("id")), V.footer_null_pattern(spark, f"{workdir}/nulls"), "t").collect()
+    assert {r.column_name for r in lost if not r.match} == {"x"}
+    for k, v in V._FOOTERS.items():
+        spark.conf.set(k, v)
+    try:
+        plan = spark.read.parquet(f"{workdir}/nulls").agg(F.count("x"), F.count("s"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", before)
+        spark.conf.unset("spark.sql.parquet.aggregatePushdown")
+    assert "PushedAggregation: [COUNT(x), COUNT(s)]" in plan
