@@ -58,11 +58,29 @@ def with_group_sequence(df: DataFrame, group_cols: list[str], order_cols: list[s
     """1..n inside each group in ``order_cols`` order, skew-safe.
 
     A window partitioned by the group would put a hot group in one task.
-    Instead: global dense index over (group, order), the group's first index
-    by a partial aggregate, and the difference.
+    Instead the rows are range-partitioned on (group, order) and written once
+    with their partition number; a window numbers each group inside each
+    partition, and the rows that the group has in earlier partitions are added
+    from a carry table.  Only a partition's first group can continue from an
+    earlier one, so the carry holds at most one row per partition (broadcast).
+    Equal rows in the order columns are numbered in any order; NULL groups
+    are a group.
     """
-    keyed = with_dense_key(df, [*group_cols, *order_cols], "_gs_idx")
-    first = keyed.groupBy(*group_cols).agg(F.min("_gs_idx").alias("_gs_first"))
-    return (keyed.join(first, group_cols)
-            .withColumn(name, (F.col("_gs_idx") - F.col("_gs_first") + 1).cast("int"))
-            .drop("_gs_idx", "_gs_first"))
+    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # more ranges than tasks: the pieces of a hot group spread evenly over them
+    ranged = df.repartitionByRange(4 * shuffles, *[F.col(c) for c in group_cols], *cols)
+    ranged = stored(ranged.withColumn("_gs_pid", F.spark_partition_id()), name)
+    group = [F.col(c) for c in group_cols]
+    sizes = ranged.groupBy("_gs_pid", *group).agg(F.count(F.lit(1)).alias("_gs_n"))
+    first = sizes.groupBy("_gs_pid").agg(F.min(F.struct(*group)).alias("g"))
+    # ranges are in order, so a partition's last group is its greatest one
+    last = sizes.groupBy("_gs_pid").agg(F.max(F.struct(F.struct(*group).alias("g"), "_gs_n")).alias("x")).select("_gs_pid", "x.g", "x._gs_n")
+    carry = (last.join(first.select(F.col("_gs_pid").alias("_gs_at"), F.col("g").alias("_gs_g")),
+                       F.col("g").eqNullSafe(F.col("_gs_g")) & (F.col("_gs_pid") < F.col("_gs_at")))
+             .groupBy("_gs_at", "_gs_g").agg(F.sum("_gs_n").alias("_gs_before")))  # one row per partition on each side
+    local = F.row_number().over(Window.partitionBy("_gs_pid", *group).orderBy(*cols))
+    numbered = ranged.withColumn("_gs_local", local)
+    return (numbered.join(F.broadcast(carry), (F.col("_gs_pid") == F.col("_gs_at")) & F.struct(*group).eqNullSafe(F.col("_gs_g")), "left")
+            .withColumn(name, (F.col("_gs_local") + F.coalesce("_gs_before", F.lit(0))).cast("int"))
+            .drop("_gs_pid", "_gs_local", "_gs_at", "_gs_g", "_gs_before"))

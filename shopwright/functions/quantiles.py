@@ -1,14 +1,15 @@
-"""Exact continuous percentiles without a per-group value buffer.
+"""Exact continuous percentiles from counted values.
 
 ``percentile(x, p)`` keeps a value -> count map per group and merges it in
 one task, so a group holding a third of the rows (or a global median over a
-whole table) lands in one task's memory.  Here the values are sorted
-globally on (group, metric, value) with range partitioning — a hot group is
-split over many partitions — and numbered by the dense index of
-:mod:`keys`.  A partial aggregate gives each group's first index and size;
-the two ranks around ``(n - 1) * p`` become absolute positions, fetched by an
-equi-join on the unique index.  Only 2 x len(probs) rows per group ever move
-after the sort.
+whole table) lands in one task's memory.  Here equal values are counted first
+(a partial aggregate: a value that fills 95 % of a group is one row after the
+map side).  The distinct (group, metric, value) rows are range-partitioned, so
+a group of many distinct values spans many partitions, and written once with
+their partition number below the checkpoint folder.  One sum per (partition,
+group), carried over the group's partitions, says in which partition each
+wanted rank ``(n - 1) * p`` lies; only those (partition, group) blocks are read
+again, and a running sum inside the block finds the value.
 
 The interpolation is the one of Spark's ``percentile`` (and of DuckDB's
 ``quantile_cont``): ``(hi - h) * v_lo + (h - lo) * v_hi`` with ``h = (n-1) p``.
@@ -16,10 +17,10 @@ The interpolation is the one of Spark's ``percentile`` (and of DuckDB's
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keys import with_dense_key
+from ..session import stored
 
 
 def exact_percentiles(df: DataFrame, group_cols: list[str], values: dict[str, Column | str],
@@ -43,23 +44,29 @@ def exact_percentiles(df: DataFrame, group_cols: list[str], values: dict[str, Co
 def cell_percentiles(cells: DataFrame, keys: list[str], probs: tuple[float, ...],
                      bounded_groups: bool = False) -> DataFrame:
     """``(keys..., q0, ..)`` over a long frame of ``(keys..., _v double)``
-    cells (NULL values ignored); several tables' columns can be stacked into
-    one frame so a single sort serves them all."""
-    idx = with_dense_key(cells.where(F.col("_v").isNotNull()), [*keys, "_v"], "_qi")
-
-    sizes = idx.groupBy(*keys).agg(F.min("_qi").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    h = (F.col("_n") - 1).cast("double") * F.col("_p.p")
-    ranks = (sizes.select(*keys, "_first", "_n", F.explode(F.array(*[
-                 F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
-                 .alias("_p"))
-             .select(*keys, F.col("_p.i").alias("_i"), h.alias("_h"), "_first")
-             .select(*keys, "_i", "_h", F.explode(F.array(
-                 F.struct(F.lit(0).alias("hi"), (F.col("_first") + F.floor("_h")).alias("pos")),
-                 F.struct(F.lit(1).alias("hi"), (F.col("_first") + F.ceil("_h")).alias("pos")))).alias("_r"))
-             .select(*keys, "_i", "_h", F.col("_r.hi").alias("_hi"), F.col("_r.pos").alias("_qi")))
+    cells (NULL values ignored, NULL keys are a group); several tables'
+    columns can be stacked into one frame so a single sort serves them all."""
+    counted = counted_values(cells, keys)
+    block = Window.partitionBy(*keys)
+    carried = F.coalesce(F.sum("_rows").over(block.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = (counted.groupBy("_pid", *keys).agg(F.sum("_c").alias("_rows"))  # one row per partition and group in it
+              .withColumn("_before", carried).withColumn("_n", F.sum("_rows").over(block)))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), ((F.col("_n") - 1).cast("double") * F.lit(float(p))).alias("h"))
+                                 for i, p in enumerate(probs)]))
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("hi"), F.floor("_p.h").alias("at")), F.struct(F.lit(1).alias("hi"), F.ceil("_p.h").alias("at"))))
+    ranks = (blocks.withColumn("_p", wanted).withColumn("_r", ends)
+             .where((F.col("_r.at") >= F.col("_before")) & (F.col("_r.at") < F.col("_before") + F.col("_rows")))
+             .select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.col("_pid").alias("_block"), "_before", F.col("_p.i").alias("_i"),
+                     F.col("_p.h").alias("_h"), F.col("_r.hi").alias("_hi"), F.col("_r.at").alias("_at")))
     if bounded_groups:
         ranks = F.broadcast(ranks)
-    found = ranks.join(idx.select("_qi", "_v"), "_qi")
+    on = F.col("_pid") == F.col("_block")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    # a window holds the rows of one group in one partition
+    upto = F.sum("_c").over(Window.partitionBy(*keys, "_i", "_hi").orderBy("_v")) + F.col("_before")
+    found = (counted.join(ranks, on).withColumn("_upto", upto)
+             .where((F.col("_at") < F.col("_upto")) & (F.col("_at") >= F.col("_upto") - F.col("_c"))))
 
     lo, hi = F.floor("_h"), F.ceil("_h")
     v_lo = F.max(F.when(F.col("_hi") == 0, F.col("_v")))
@@ -73,6 +80,12 @@ def cell_percentiles(cells: DataFrame, keys: list[str], probs: tuple[float, ...]
                                           for i in range(len(probs))])
 
 
+def counted_values(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., _v, _c, _pid): distinct values with their counts, range-partitioned and written once."""
+    counts = cells.where(F.col("_v").isNotNull()).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    return stored(counts.repartitionByRange(*keys, "_v").withColumn("_pid", F.spark_partition_id()), "counted_values")
+
+
 def exact_medians(df: DataFrame, group_cols: list[str], values: dict[str, Column | str],
                   bounded_groups: bool = False) -> DataFrame:
     """``(group_cols..., <name>...)``: the exact median of each value column

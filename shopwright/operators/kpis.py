@@ -124,19 +124,17 @@ def customers_by_state(fo: DataFrame, customers: DataFrame, status: DataFrame, n
 def repeat_within(fo: DataFrame, customers: DataFrame, status: DataFrame, days: int = 90) -> DataFrame:
     """K-30: censoring-adjusted repeat rate.
 
-    The first and second delivered order per person come from ``min`` and
-    ``min_by``-style aggregates (no per-person window, so a hot person is
-    combined map-side like any other key).
+    The first two delivered orders per person are kept by a group limit that
+    also runs before the shuffle, so a task sends at most two rows per person
+    and a hot person costs no more than any other; nothing is joined back.
     """
     d = (delivered(fo, status).join(customers.select("customer_key", "customer_unique_id"), "customer_key")
-         .select("customer_unique_id", F.struct("order_purchase_timestamp", "order_id").alias("o")))
-    first = d.groupBy("customer_unique_id").agg(F.min("o").alias("first"))
-    second = (d.join(first, "customer_unique_id").filter(F.col("o") > F.col("first"))
-              .groupBy("customer_unique_id").agg(F.min("o").alias("second")))
-    per = first.join(second, "customer_unique_id", "left").select(
-        "customer_unique_id", F.col("first.order_purchase_timestamp").alias("t1"),
-        F.col("second.order_purchase_timestamp").alias("t2"))
-    last = d.agg(F.max("o.order_purchase_timestamp").alias("last_ts"))
+         .select("customer_unique_id", "order_purchase_timestamp", "order_id"))
+    place = F.row_number().over(Window.partitionBy("customer_unique_id").orderBy("order_purchase_timestamp", "order_id"))
+    two = d.withColumn("_place", place).where(F.col("_place") <= 2)
+    at = lambda k: F.min(F.when(F.col("_place") == k, F.col("order_purchase_timestamp")))
+    per = two.groupBy("customer_unique_id").agg(at(1).alias("t1"), at(2).alias("t2"))
+    last = d.agg(F.max("order_purchase_timestamp").alias("last_ts"))
     interval = F.expr(f"interval {int(days)} days")
     e = (per.crossJoin(F.broadcast(last)).filter(F.col("t1") <= F.col("last_ts") - interval)
          .withColumn("rep", F.when(F.col("t2") <= F.col("t1") + interval, 1).otherwise(0)))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopwright.functions.keys import with_dense_key, with_group_sequence
+from shopwright.functions.quantiles import cell_percentiles, counted_values
 from shopwright.operators import audit as A
 from shopwright.operators import checks as Q
 from shopwright.operators import enterprise as M
@@ -254,3 +255,56 @@ def test_constraint_engine_scans_each_table_once(spark, tmp_path):
     assert got == {("a", "k"): 0, ("a", "xy"): 4, ("b", "k"): 0, ("b", "r1"): 12, ("b", "r2"): 0, ("a", "r3"): 12}
     none = A.constraint_report({n: d.limit(0) for n, d in paths.items()}, uniques, refs).collect()
     assert len(none) == 6 and not any(x.violations for x in none)
+
+
+def _rows_by_task(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+def test_percentiles_of_mostly_equal_values(spark):
+    df = spark.range(40_000).selectExpr("IF(id % 10 = 0, NULL, id % 3) AS g", "CAST(IF(id % 20 < 19, 0, id) AS DOUBLE) AS x")
+    cells = df.selectExpr("g", "x AS _v")
+    got = {r.g: (r.q0, r.q1, r.q2, r.q3) for r in cell_percentiles(cells, ["g"], (0.0, 0.5, 0.953, 1.0)).collect()}
+    want = {r.g: tuple(r.p) for r in df.groupBy("g").agg(F.expr("percentile(x, array(0.0D, 0.5D, 0.953D, 1.0D))").alias("p")).collect()}
+    assert got.keys() == want.keys() and all(abs(a - b) < 1e-9 for g in got for a, b in zip(got[g], want[g]))
+    # equal values are one row before they are ranged: no task holds twice the mean
+    sizes = [r["count"] for r in counted_values(cells, ["g"]).groupBy("_pid").count().collect()]
+    assert sum(sizes) < 2_100 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    one = cell_percentiles(df.selectExpr("CAST(7 AS DOUBLE) AS _v", "'a' AS k"), ["k"], (0.25, 0.5), bounded_groups=True).collect()
+    assert [tuple(r) for r in one] == [("a", 7.0, 7.0)]
+    assert cell_percentiles(cells.where("_v IS NULL"), ["g"], (0.5,)).collect() == []
+
+
+def test_group_sequence_of_a_hot_group(spark):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(20_000).selectExpr("CASE WHEN id % 10 < 8 THEN 5 WHEN id % 100 = 9 THEN NULL ELSE id % 1000 END AS g", "(id * 7919) % 20011 AS o")
+        got = with_group_sequence(df, ["g"], ["o"], "n")
+        by_group = {}
+        for r in got.collect():
+            by_group.setdefault(r.g, []).append((r.o, r.n))
+        assert all([n for _, n in sorted(v)] == list(range(1, len(v) + 1)) for v in by_group.values())
+        assert len(by_group[5]) >= 16_000 and sum(map(len, by_group.values())) == 20_000
+        sizes = _rows_by_task(got)
+        assert max(sizes) <= 2 * sum(sizes) / int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert with_group_sequence(df.limit(0), ["g"], ["o"], "n").collect() == []
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_repeat_orders_of_a_hot_person(spark):
+    # person p placed most orders; q repeats within 90 days, r does not, s only once, t too late to tell
+    rows = [(k, "p", f"2020-{1 + k % 9:02d}-{1 + k % 28:02d} 00:00:00") for k in range(3000)]
+    rows += [(5000, "q", "2020-01-01 00:00:00"), (5001, "q", "2020-03-31 00:00:00"), (5002, "r", "2020-01-01 00:00:00"),
+             (5003, "r", "2020-03-31 00:00:01"), (5004, "s", "2020-02-02 00:00:00"), (5005, "t", "2020-12-30 00:00:00")]
+    fo = spark.createDataFrame([(f"o{k}", k, 1, t) for k, _, t in rows], "order_id string, customer_key long, order_status_key int, t string")
+    fo = fo.withColumn("order_purchase_timestamp", F.to_timestamp("t"))
+    people = spark.createDataFrame([(k, who) for k, who, _ in rows], "customer_key long, customer_unique_id string")
+    status = spark.createDataFrame([(1, "delivered")], "order_status_key int, order_status string")
+    out = K.repeat_within(fo, people, status, 90)
+    r = out.first()
+    assert (r.eligible_customers, r.customers_repeated_within_90_days) == (4, 2)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
