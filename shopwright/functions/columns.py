@@ -103,18 +103,3 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = 6371.0088) -> Column
     dlmb = F.radians(col(lon2)) - F.radians(col(lon1))
     a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
     return F.lit(2 * radius_km) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
-
-
-def uniform(seed: str, *keys: str | Column) -> Column:
-    """Deterministic value in [0, 1) from md5(seed|key...).
-
-    Replaces a random-number stream: same value on any partitioning and on
-    any engine that has md5 (the first 8 hex digits read as an integer / 2^32).
-    """
-    parts = [F.lit(seed)] + [col(k).cast("string") for k in keys]
-    h = F.md5(F.concat_ws("|", *parts))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-
-
-def between_factor(lo: float, hi: float, seed: str, *keys) -> Column:
-    return F.lit(lo) + F.lit(hi - lo) * uniform(seed, *keys)

@@ -1,18 +1,17 @@
 """Enterprise model (M-01..M-22): stores, order-to-store assignment, suppliers,
 product cost, monthly plans, marketing and the inventory roll-forward.
 
-The source drew its factors from one random-number stream.  Here every
-factor is ``lo + width * u(key)`` where ``u`` hashes (seed, kind, key) with
-md5: the same value on any partitioning, on re-execution after an executor
-loss, and in the SQL oracle.  The published control values came from the
-random stream and are not reproduced.
+Everything is computed from the warehouse and from feeds that
+``sources/bindings.py`` reads from the given tables: wholesale prices,
+quantities sold, price promotions per order and the channel that brought the
+order.  Nothing is drawn at random.
 
 Scale notes: all per-row work is native column expressions.  The only
 "small side" relations are the store list (bounded by ``n_stores``), the
 channel list (5) and one-row aggregates; those are broadcast.  Windows run
-only over aggregated geography rows (one row per state or city).  The
-roll-forward folds an array that holds at most one entry per month per
-(store, product), so no group grows with the data volume.
+only over one state's cities or one store's months.  The roll-forward folds
+an array that holds at most one entry per month per (store, product), so no
+group grows with the data volume.
 """
 
 from __future__ import annotations
@@ -22,52 +21,30 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import haversine_km, round_half_up, uniform
-from ..functions.keys import with_dense_key
+from ..functions.columns import haversine_km, round_half_up
 from ..functions.quantiles import exact_medians, exact_percentiles
 
-# Store formats by rank, channels and their weights, assignment labels.
+# Store formats by rank, channels, assignment labels.
 STORE_FORMATS = [(4, "Fulfilment Hub"), (8, "Urban Store"), (12, "Regional Store")]
 CHANNELS = ["paid_search", "social", "email", "display", "affiliate"]
-CHANNEL_WEIGHTS = [4.0, 3.0, 2.0, 1.5, 1.0]
 NEAREST, STATE_FALLBACK, NATIONAL_FALLBACK = "nearest_geolocation", "state_fallback", "national_fallback"
 
 
 @dataclass(frozen=True)
-class Factors:
-    """Ranges of the planning factors as (low, width); factor = low + width * u."""
-    seed: str = "shopwright"
+class Policy:
+    """Planning parameters."""
     n_stores: int = 12
     n_states: int = 10
-    pool_min: int = 3
-    pool_span: int = 4              # pool of 3..6 suppliers per category
-    base_ratio: tuple = (0.48, 0.24)
-    ratio_noise: tuple = (-0.06, 0.12)
-    ratio_clip: tuple = (0.38, 0.80)
-    budget: tuple = (0.94, 0.14)
-    freight: tuple = (0.92, 0.16)
-    budget_no_sales: tuple = (3.0, 9.0)
-    freight_no_sales: tuple = (0.10, 0.07)
-    opex: tuple = (0.09, 0.07)
-    target: tuple = (1.02, 0.06)
-    margin_target: tuple = (25.0, 13.0)
-    default_aov: float = 150.0
-    spend_share: tuple = (0.025, 0.04)
-    spend_no_sales: tuple = (250.0, 650.0)
+    past_months: int = 3            # a budget is the mean of so many months before
+    target_uplift: float = 0.05     # target over budget
+    operating_rate: float = 0.12    # operating cost per unit of budgeted sales
+    margin_target: float = 30.0     # percent
+    default_aov: float = 150.0      # order value of a store without orders
     min_product_sales: int = 5
-    max_products: int = 1200
-    reorder: tuple = (0.9, 0.8)
-    opening: tuple = (2.0, 1.8)
-    target_stock: tuple = (0.6, 1.6)
-    supply: tuple = (0.65, 0.5)
+    max_products: int = 1200        # of the best-seller report
 
 
-DEFAULT = Factors()
-
-
-def factor(rng: tuple, seed: str, kind: str, *keys) -> Column:
-    lo, width = rng
-    return F.lit(lo) + F.lit(width) * uniform(seed, F.lit(kind), *keys)
+DEFAULT = Policy()
 
 
 # ----------------------------------------------------------------- M-02 stores
@@ -81,7 +58,13 @@ def delivered_geo_orders(fact_orders: DataFrame, customers: DataFrame, status: D
             .join(st, "order_status_key").join(c, "customer_key"))
 
 
-def select_stores(orders_geo: DataFrame, f: Factors = DEFAULT) -> DataFrame:
+def _ranked(df: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """``name`` = 1..n in the order of ``by`` for a relation of at most n_stores rows."""
+    rows = df.agg(F.sort_array(F.collect_list(F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(by)], F.struct(*df.columns).alias("r")))).alias("x"))
+    return rows.select(F.posexplode("x").alias("_at", "_x")).select("_x.r.*", (F.col("_at") + 1).alias(name))
+
+
+def select_stores(orders_geo: DataFrame, f: Policy = DEFAULT) -> DataFrame:
     """M-02: busiest city of each of the top states, then the next busiest
     cities, up to ``n_stores``; ranked by delivered orders."""
     d = orders_geo.filter((F.col("order_status") == "delivered") & F.col("latitude").isNotNull()
@@ -89,19 +72,19 @@ def select_stores(orders_geo: DataFrame, f: Factors = DEFAULT) -> DataFrame:
                           & F.col("customer_city").isNotNull())
     d = d.withColumnRenamed("customer_state", "state").withColumnRenamed("customer_city", "city")
     city = d.groupBy("state", "city").agg(F.count(F.lit(1)).alias("source_order_count"))
-    # Windows below run over one row per state / city: bounded by geography.
     states = (d.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
               .orderBy(F.desc("n"), "state").limit(f.n_states).select("state"))
-    in_state = Window.partitionBy("state").orderBy(F.desc("source_order_count"), "city")
-    best = (city.join(F.broadcast(states), "state", "left_semi")
-            .withColumn("_r", F.row_number().over(in_state)).filter(F.col("_r") == 1).drop("_r"))
-    rest = city.join(best.select("state", "city"), ["state", "city"], "left_anti")
+    # the busiest city per state is an aggregate, the next ones a distributed
+    # top-n; only the at most n_stores chosen cities are ranked
+    best = (city.join(F.broadcast(states), "state", "left_semi").groupBy("state")
+            .agg(F.min(F.struct((-F.col("source_order_count")).alias("n"), "city")).alias("x"))
+            .select("state", "x.city", (-F.col("x.n")).alias("source_order_count")))
+    order = [-F.col("source_order_count"), F.col("state"), F.col("city")]
+    rest = city.join(best.select("state", "city"), ["state", "city"], "left_anti").orderBy(*order).limit(f.n_stores)
     n_best = best.agg(F.count(F.lit(1)).alias("_nb"))
-    overall = Window.orderBy(F.desc("source_order_count"), "state", "city")
-    rest = (rest.withColumn("_r", F.row_number().over(overall)).crossJoin(F.broadcast(n_best))
+    rest = (_ranked(rest, order, "_r").crossJoin(F.broadcast(n_best))  # one-row relation
             .filter(F.col("_r") <= F.lit(f.n_stores) - F.col("_nb")).drop("_r", "_nb"))
-    chosen = best.unionByName(rest)
-    ranked = chosen.withColumn("store_rank", F.row_number().over(overall))
+    ranked = _ranked(best.unionByName(rest), order, "store_rank")
     # Exact medians only for the chosen cities (at most n_stores rows, so the
     # semi join broadcasts them), by a global sort: a busy city is split
     # over many tasks instead of buffered in one.
@@ -166,50 +149,66 @@ def suppliers_from_source(supplier: DataFrame, nation: DataFrame) -> DataFrame:
                     (F.lit(88.0) + (k * 53 % 100) * F.lit(0.115)).alias("contractual_fill_rate_pct")))
 
 
-def map_suppliers(products: DataFrame, suppliers: DataFrame, f: Factors = DEFAULT) -> DataFrame:
-    """M-04: each product gets one supplier from its category's pool.
+def _most(rows: DataFrame, keys: list[str], value: str, count: str, name: str) -> DataFrame:
+    """Per group the value with the highest total count, ties to the smallest."""
+    total = rows.groupBy(*keys, value).agg(F.sum(count).alias("_t"))
+    return total.groupBy(*keys).agg(F.min(F.struct((-F.col("_t")).alias("_t"), F.col(value).alias("v")))["v"].alias(name))
 
-    The pool of a category is a run of ``size`` consecutive supplier
-    indexes starting at a hashed offset; the product picks one member by
-    its own hash.  An equi-join on the index replaces the random draw, so
-    no category x supplier product is formed."""
-    idx = with_dense_key(suppliers.select("supplier_id"), ["supplier_id"], "_sidx")
-    idx = idx.select("supplier_id", (F.col("_sidx") - 1).alias("_sidx"))
-    n = idx.agg(F.count(F.lit(1)).alias("_ns"))
+
+def map_suppliers(products: DataFrame, suppliers: DataFrame, items: DataFrame) -> DataFrame:
+    """M-04: each product gets the supplier that sold most of its items; a
+    product without sales gets the busiest supplier of its category, else the
+    busiest of all (ties to the smaller id).
+
+    Items are counted per (product, supplier) before anything is joined, so
+    a hot product or supplier collapses map-side."""
+    known = suppliers.select("supplier_id")
+    sold = (items.groupBy("product_id", F.col("seller_id").alias("supplier_id")).agg(F.count(F.lit(1)).alias("_n"))
+            .join(known, "supplier_id", "left_semi"))
     cat = F.coalesce(F.col("product_category_name"), F.lit("Unknown"))
-    size = F.least(F.lit(f.pool_min) + F.floor(uniform(f.seed, F.lit("pool_size"), cat) * f.pool_span),
-                   F.col("_ns"))
-    base = F.floor(uniform(f.seed, F.lit("pool_base"), cat) * F.col("_ns"))
-    pick = F.floor(uniform(f.seed, F.lit("pool_pick"), F.col("product_id")) * size)
-    p = (products.select("product_id", "product_category_name").crossJoin(F.broadcast(n))  # one-row relation
-         .withColumn("_sidx", ((base + pick) % F.col("_ns")).cast("long")))
-    return p.join(idx, "_sidx").select("product_id", "supplier_id")
+    p = products.select("product_id", cat.alias("_cat"))
+    by_cat = _most(sold.join(p, "product_id"), ["_cat"], "supplier_id", "_n", "_by_category")
+    every = known.join(sold.groupBy("supplier_id").agg(F.sum("_n").alias("_n")), "supplier_id", "left").fillna(0, ["_n"])
+    overall = every.agg(F.min(F.struct((-F.col("_n")).alias("_n"), "supplier_id"))["supplier_id"].alias("_overall"))
+    return (p.join(_most(sold, ["product_id"], "supplier_id", "_n", "_by_product"), "product_id", "left")
+            .join(by_cat, "_cat", "left").crossJoin(F.broadcast(overall))  # one-row relation
+            .select("product_id", F.coalesce("_by_product", "_by_category", "_overall").alias("supplier_id")))
 
 
 # ----------------------------------------------------------------- M-05 product cost
 
-def product_cost(products: DataFrame, items_status: DataFrame, f: Factors = DEFAULT) -> DataFrame:
+def product_cost(products: DataFrame, items_status: DataFrame, wholesale: DataFrame, quantities: DataFrame) -> DataFrame:
     """M-05: reference price (delivered mean, else overall mean, else the
-    category median, else the global median) x a clipped cost ratio."""
+    category median, else the global median) x a cost ratio.
+
+    The ratio is the wholesale value of the units sold over the money they
+    were sold for, of the product, else of its category, else of all.
+    """
     price = F.col("price")  # exact decimal sums, divided in double
     dprice = F.when(F.col("order_status") == "delivered", price)
     per = items_status.groupBy("product_id").agg(
         (F.sum(price).cast("double") / F.count(price)).alias("all_avg"),
-        (F.sum(dprice).cast("double") / F.count(dprice)).alias("delivered_avg"))
+        (F.sum(dprice).cast("double") / F.count(dprice)).alias("delivered_avg"), F.sum(price).alias("_money"))
+    units = quantities.groupBy("product_id").agg(F.sum("quantity").alias("_units"))
     base = (products.select("product_id", "product_category_name").join(per, "product_id", "left")
-            .withColumn("_ref", F.coalesce("delivered_avg", "all_avg")))
-    # exact medians by a global sort: no category's prices are buffered in one task
+            .join(wholesale.select("product_id", "wholesale_price"), "product_id", "left").join(units, "product_id", "left")
+            .withColumn("_ref", F.coalesce("delivered_avg", "all_avg"))
+            .withColumn("_worth", F.when(F.col("_money").isNotNull(), F.col("wholesale_price") * F.col("_units"))))
+    # exact medians from counted values: no category's prices are buffered in one task
     cat_med = exact_medians(base.withColumnRenamed("product_category_name", "_cat"), ["_cat"],
                             {"_cat_med": "_ref"})
     glob = exact_medians(base, [], {"_glob_med": "_ref"}, bounded_groups=True)
-    cat = F.coalesce(F.col("product_category_name"), F.lit("Unknown"))
-    ratio = F.least(F.greatest(factor(f.base_ratio, f.seed, "base_ratio", cat)
-                               + factor(f.ratio_noise, f.seed, "ratio_noise", F.col("product_id")),
-                               F.lit(f.ratio_clip[0])), F.lit(f.ratio_clip[1]))
+
+    def share(worth, money) -> Column:
+        return worth.cast("double") / F.nullif(money.cast("double"), F.lit(0.0))
+    paid = F.when(F.col("_worth").isNotNull(), F.col("_money"))
+    cat_ratio = base.groupBy(F.col("product_category_name").alias("_cat2")).agg(share(F.sum("_worth"), F.sum(paid)).alias("_cat_ratio"))
+    glob_ratio = base.agg(share(F.sum("_worth"), F.sum(paid)).alias("_glob_ratio"))
     out = (base.join(cat_med, base.product_category_name.eqNullSafe(cat_med._cat), "left")
-           .crossJoin(F.broadcast(glob))  # one-row relation
+           .join(cat_ratio, base.product_category_name.eqNullSafe(cat_ratio._cat2), "left")
+           .crossJoin(F.broadcast(glob)).crossJoin(F.broadcast(glob_ratio))  # one-row relations
            .select("product_id", F.coalesce("_ref", "_cat_med", "_glob_med").alias("reference_price"),
-                   round_half_up(ratio, 4).alias("cost_ratio")))
+                   round_half_up(F.coalesce(share(F.col("_worth"), F.col("_money")), "_cat_ratio", "_glob_ratio"), 4).alias("cost_ratio")))
     return out.select("product_id",
                       round_half_up(F.col("reference_price") * F.col("cost_ratio"), 2).alias("estimated_unit_cost"),
                       "cost_ratio")
@@ -249,61 +248,64 @@ def store_aov(delivered: DataFrame) -> DataFrame:
     return delivered.groupBy("store_id").agg((F.sum(g).cast("double") / F.count(g)).alias("aov"))
 
 
-def plan_store_months(skeleton: DataFrame, aov: DataFrame, f: Factors = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """M-08: monthly budget and target per store."""
-    key = (F.col("month"), F.col("store_id"))
-    s = skeleton.join(F.broadcast(aov), "store_id", "left").withColumn(
-        "_aov", F.greatest(F.coalesce("aov", F.lit(f.default_aov)), F.lit(1.0)))
-    has = F.col("actual_sales") > 0
-    sales_b = F.when(has, F.col("actual_sales") * factor(f.budget, f.seed, "budget", *key)).otherwise(
-        F.col("_aov") * factor(f.budget_no_sales, f.seed, "budget", *key))
-    s = s.withColumn("_sb", sales_b)
-    freight_b = F.when(has, F.col("actual_freight") * factor(f.freight, f.seed, "freight", *key)).otherwise(
-        F.col("_sb") * factor(f.freight_no_sales, f.seed, "freight", *key))
-    s = (s.withColumn("_fb", freight_b)
-         .withColumn("_ob", F.col("_sb") * factor(f.opex, f.seed, "opex", *key))
-         .withColumn("_st", F.col("_sb") * factor(f.target, f.seed, "target", *key)))
+def plan_store_months(skeleton: DataFrame, aov: DataFrame, f: Policy = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """M-08: monthly budget and target per store.
+
+    The budget is the store's mean sales (and freight) of the months before;
+    without sales there, one order of its usual value and the chain's freight
+    share.  The window holds one store's months, a list bounded by the
+    calendar.
+    """
+    past = Window.partitionBy("store_id").orderBy("month").rowsBetween(-f.past_months, -1)
+    sales, freight = F.col("actual_sales").cast("decimal(20,2)"), F.col("actual_freight").cast("decimal(20,2)")
+    chain = skeleton.agg(F.coalesce(F.sum(freight).cast("double") / F.nullif(F.sum(sales).cast("double"), F.lit(0.0)), F.lit(0.0)).alias("_share"))
+    s = (skeleton.join(F.broadcast(aov), "store_id", "left").crossJoin(F.broadcast(chain))  # store list, one-row relation
+         .withColumn("_aov", F.greatest(F.coalesce("aov", F.lit(f.default_aov)), F.lit(1.0)))
+         .withColumn("_sales", F.sum(sales).over(past)).withColumn("_freight", F.sum(freight).over(past))
+         .withColumn("_months", F.count(F.lit(1)).over(past)))
+    has = F.coalesce(F.col("_sales") > 0, F.lit(False))
+    s = s.withColumn("_sb", F.when(has, F.col("_sales").cast("double") / F.col("_months")).otherwise(F.col("_aov")))
+    s = (s.withColumn("_fb", F.when(has, F.col("_freight").cast("double") / F.col("_months")).otherwise(F.col("_sb") * F.col("_share")))
+         .withColumn("_cents", F.round(F.col("_sb").cast("decimal(38,10)"), 2).cast("decimal(20,2)")))
+    rate = lambda x: F.lit(f"{x:.4f}").cast("decimal(10,4)")
+    s = s.withColumn("_st", F.round(F.col("_cents") * rate(1 + f.target_uplift), 2))  # of the rounded budget, in exact decimals
     budgets = s.select(F.col("month").alias("budget_month"), "store_id",
                        round_half_up("_sb", 2).alias("sales_budget"), round_half_up("_fb", 2).alias("freight_budget"),
-                       round_half_up("_ob", 2).alias("operating_cost_budget"))
+                       F.round(F.col("_cents") * rate(f.operating_rate), 2).cast("double").alias("operating_cost_budget"))
     targets = s.select(F.col("month").alias("target_month"), "store_id",
-                       round_half_up("_st", 2).alias("sales_target"),
-                       F.greatest(F.lit(1), F.ceil(F.col("_st") / F.col("_aov"))).cast("int").alias("order_target"),
-                       round_half_up(factor(f.margin_target, f.seed, "margin", *key), 2).alias("margin_target_pct"))
+                       F.col("_st").cast("double").alias("sales_target"),
+                       F.greatest(F.lit(1), F.ceil(F.col("_st").cast("double") / F.col("_aov"))).cast("int").alias("order_target"),
+                       F.lit(f.margin_target).alias("margin_target_pct"))
     return budgets, targets
 
 
-def allocate_marketing(skeleton: DataFrame, f: Factors = DEFAULT) -> DataFrame:
-    """M-09: monthly spend per store split over the channels; shares are
-    perturbed weights normalised within the (month, store) row, so they sum
-    to one without any shuffle."""
-    key = (F.col("month"), F.col("store_id"))
-    total = F.when(F.col("actual_sales") > 0,
-                   F.col("actual_sales") * factor(f.spend_share, f.seed, "spend", *key)).otherwise(
-        factor(f.spend_no_sales, f.seed, "spend", *key))
-    raw = [F.lit(w) * (F.lit(0.5) + uniform(f.seed, F.lit("share"), *key, F.lit(c)))
-           for c, w in zip(CHANNELS, CHANNEL_WEIGHTS)]
-    s = skeleton.select("month", "store_id", total.alias("_total"), *[r.alias(f"_w{i}") for i, r in enumerate(raw)])
-    wsum = F.col("_w0")
-    for i in range(1, len(CHANNELS)):
-        wsum = wsum + F.col(f"_w{i}")
-    s = s.withColumn("_wsum", wsum)
-    items = F.array(*[F.struct(F.lit(c).alias("channel"),
-                               round_half_up(F.col("_total") * (F.col(f"_w{i}") / F.col("_wsum")), 2).alias("spend"))
-                      for i, c in enumerate(CHANNELS)])
-    return s.select("month", "store_id", F.explode(items).alias("x")).select("month", "store_id", "x.*")
+def allocate_marketing(skeleton: DataFrame, promotions: DataFrame, channels: DataFrame, assignment: DataFrame,
+                       orders: DataFrame) -> DataFrame:
+    """M-09: marketing spend per plan month, store and channel: the price
+    promotions of the orders that a channel brought to a store in the month
+    (orders of any status; months outside the plan are not planned for).
+    Promotions are summed per order before the joins."""
+    per = promotions.groupBy("order_id").agg(F.sum("amount").alias("_amount"))
+    spent = (per.join(channels.select("order_id", "channel"), "order_id").join(assignment.select("order_id", "store_id"), "order_id")
+             .join(orders.select("order_id", F.trunc("order_purchase_timestamp", "MM").alias("month")), "order_id")
+             .groupBy("month", "store_id", "channel").agg(F.sum("_amount").alias("_spend")))
+    grid = skeleton.select("month", "store_id", F.explode(F.array(*[F.lit(c) for c in CHANNELS])).alias("channel"))
+    return (grid.join(spent, ["month", "store_id", "channel"], "left")
+            .select("month", "store_id", "channel", round_half_up(F.coalesce(F.col("_spend").cast("double"), F.lit(0.0)), 2).alias("spend")))
 
 
 # ----------------------------------------------------------------- M-10..M-12 inventory
 
 def delivered_items(items_status: DataFrame, assignment: DataFrame, orders: DataFrame) -> DataFrame:
-    return (items_status.filter(F.col("order_status") == "delivered").select("order_id", "product_id")
+    """Delivered items with their store, month and day of sale, and the month their replacement was shipped."""
+    return (items_status.filter(F.col("order_status") == "delivered").select("order_id", "product_id", "shipping_limit_date")
             .join(assignment.select("order_id", "store_id"), "order_id", "left")
             .join(orders.select("order_id", "order_purchase_timestamp"), "order_id", "left")
-            .withColumn("snapshot_month", F.trunc("order_purchase_timestamp", "MM")))
+            .withColumn("snapshot_month", F.trunc("order_purchase_timestamp", "MM"))
+            .withColumn("receipt_month", F.trunc("shipping_limit_date", "MM")))
 
 
-def stocked_products(d_items: DataFrame, f: Factors = DEFAULT) -> DataFrame:
+def stocked_products(d_items: DataFrame, f: Policy = DEFAULT) -> DataFrame:
     """Products with at least ``min_product_sales`` delivered item rows, and
     their sales; the inventory chain carries every one of them."""
     return (d_items.groupBy("product_id").agg(F.count(F.lit(1)).alias("sales"))
@@ -321,63 +323,67 @@ def monthly_units(d_items: DataFrame, stocked: DataFrame) -> DataFrame:
             .groupBy("snapshot_month", "store_id", "product_id").agg(F.count(F.lit(1)).cast("int").alias("sold_qty")))
 
 
-def roll_inventory(units: DataFrame, f: Factors = DEFAULT) -> DataFrame:
+def stock_movements(d_items: DataFrame, stocked: DataFrame) -> DataFrame:
+    """(store_id, product_id, month, sold, received, last_sale): units sold and
+    shipped in per month, and the day of the month's last sale; one partial
+    aggregate over the stocked products' items."""
+    moves = F.array(F.struct(F.col("snapshot_month").alias("month"), F.lit(1).alias("sold"), F.lit(0).alias("received"),
+                             F.dayofmonth("order_purchase_timestamp").alias("day")),
+                    F.struct(F.col("receipt_month").alias("month"), F.lit(0).alias("sold"), F.lit(1).alias("received"),
+                             F.lit(None).cast("int").alias("day")))
+    return (d_items.join(stocked.select("product_id"), "product_id", "left_semi")
+            .select("store_id", "product_id", F.explode(moves).alias("x")).select("store_id", "product_id", "x.*").where("month IS NOT NULL")
+            .groupBy("store_id", "product_id", "month")
+            .agg(F.sum("sold").alias("sold"), F.sum("received").alias("received"), F.max("day").alias("last_sale")))
+
+
+def roll_inventory(movements: DataFrame) -> DataFrame:
     """M-12: month-by-month stock roll-forward per (store, product).
 
-    opening + received - sold = closing; receipts never let stock go
-    negative; next opening = last closing; months run from the pair's first
-    sale to the global last month.  Per pair, the month factors are computed
-    as native columns into one array (one entry per month, so bounded by
-    the calendar, not by volume); ``aggregate`` folds only the stock level
-    through it; stockout flags are derived after the explode.
+    opening + received - sold = closing; the units shipped in a month are
+    received, and more where they would leave the shelf short; next opening =
+    last closing.  Months run from the pair's first sale to the global last
+    one.  The reorder point is a usual month's sale, the first opening stock
+    that and what was shipped before.  A month that closes with an empty shelf
+    is out of stock from the day after its last sale.  Per pair the months
+    form one array (bounded by the calendar, not by volume) and ``aggregate``
+    folds the stock through it.
     """
-    last = units.agg(F.max("snapshot_month").alias("_last"))
-    pairs = (units.groupBy("store_id", "product_id")
-             .agg(F.min("snapshot_month").alias("_first"),
-                  F.map_from_entries(F.collect_list(F.struct("snapshot_month", "sold_qty"))).alias("_sales"),
-                  F.greatest(F.sum("sold_qty").cast("double") / F.count(F.lit(1)), F.lit(1.0)).alias("_avg"))
-             .crossJoin(F.broadcast(last)))  # one-row relation
-    sid, pid, a = F.col("store_id"), F.col("product_id"), F.col("_avg")
-    pairs = (pairs.withColumn("_reorder", F.greatest(F.lit(1), F.ceil(a * factor(f.reorder, f.seed, "reorder", sid, pid))))
-             .withColumn("_open0", F.greatest(F.col("_reorder") * 2,
-                                              F.ceil(a * factor(f.opening, f.seed, "opening", sid, pid))))
+    month = F.col("month")
+    sale = F.when(F.col("sold") > 0, month)
+    last = movements.agg(F.max(sale).alias("_last"))
+    pairs = (movements.groupBy("store_id", "product_id")
+             .agg(F.min(sale).alias("_first"),
+                  F.collect_list(F.struct("month", F.struct("sold", "received", "last_sale").alias("v"))).alias("_moves"),
+                  F.greatest(F.try_divide(F.sum("sold").cast("double"), F.count(sale)), F.lit(1.0)).alias("_avg"))
+             .where(F.col("_first").isNotNull()).crossJoin(F.broadcast(last)))  # one-row relation
+    before = F.aggregate(F.filter("_moves", lambda x: x["month"] < F.col("_first")), F.lit(0).cast("long"), lambda a, x: a + x["v"]["received"])
+    pairs = (pairs.withColumn("_reorder", F.ceil("_avg")).withColumn("_open0", F.col("_reorder") + before)
+             .withColumn("_at", F.map_from_entries("_moves"))
              .withColumn("_steps", F.transform(
                  F.sequence("_first", "_last", F.expr("interval 1 month")),
-                 lambda m: F.struct(
-                     m.alias("m"),
-                     F.coalesce(F.element_at(F.col("_sales"), m), F.lit(0)).cast("long").alias("sold"),
-                     F.greatest(F.lit(1), F.ceil(a * factor(f.target_stock, f.seed, "target_stock", sid, pid, m)))
-                     .cast("long").alias("target"),
-                     factor(f.supply, f.seed, "supply", sid, pid, m).alias("supply")))))
+                 lambda m: F.struct(m.alias("m"), F.element_at("_at", m).alias("v")))))
 
     def step(acc, x):
-        opening = acc["opening"]
-        desired = F.greatest(F.lit(0), x["sold"] + x["target"] - opening)
-        planned = F.when(desired > 0, F.bround(desired * x["supply"]).cast("long")).otherwise(F.lit(0))
-        received = F.greatest(planned, F.greatest(F.lit(0), x["sold"] - opening))
-        row = F.struct(x["m"].alias("snapshot_month"), opening.alias("opening_stock_qty"),
-                       received.alias("received_qty"), x["sold"].alias("sold_qty"))
-        return F.struct((opening + row["received_qty"] - x["sold"]).alias("opening"),
-                        F.concat(acc["rows"], F.array(row)).alias("rows"))
+        opening, zero = acc["opening"], F.lit(0).cast("long")
+        sold = F.coalesce(x["v"]["sold"], zero)
+        received = F.greatest(F.coalesce(x["v"]["received"], zero), sold - opening)
+        row = F.struct(x["m"].alias("snapshot_month"), opening.alias("opening_stock_qty"), received.alias("received_qty"),
+                       sold.alias("sold_qty"), x["v"]["last_sale"].alias("last_sale"))
+        return F.struct((opening + received - sold).alias("opening"), F.concat(acc["rows"], F.array(row)).alias("rows"))
 
     empty = F.array().cast("array<struct<snapshot_month:date,opening_stock_qty:bigint,received_qty:bigint,"
-                           "sold_qty:bigint>>")
+                           "sold_qty:bigint,last_sale:int>>")
     init = F.struct(F.col("_open0").cast("long").alias("opening"), empty.alias("rows"))
-    r = (pairs.select("store_id", "product_id", "_reorder", "_avg",
-                      F.explode(F.aggregate("_steps", init, step)["rows"]).alias("r"))
-         .select("store_id", "product_id", "_reorder", "_avg", "r.*")
+    r = (pairs.select("store_id", "product_id", "_reorder", F.explode(F.aggregate("_steps", init, step)["rows"]).alias("r"))
+         .select("store_id", "product_id", "_reorder", "r.*")
          .withColumn("closing_stock_qty", F.col("opening_stock_qty") + F.col("received_qty") - F.col("sold_qty")))
-    m, sold, closing, reorder = F.col("snapshot_month"), F.col("sold_qty"), F.col("closing_stock_qty"), F.col("_reorder")
-    pressure = F.greatest(F.lit(0.0), (reorder - closing).cast("double") / F.greatest(reorder, F.lit(1)))
-    demand = F.least(F.lit(1.0), sold.cast("double") / F.greatest(a * 1.5, F.lit(1.0)))
-    p = F.least(F.lit(0.75), pressure * 0.55 + demand * 0.08)
-    span = F.least(F.lit(8), F.greatest(F.lit(2), F.ceil(pressure * 8) + 2))
-    days = F.when((sold > 0) & (uniform(f.seed, F.lit("stockout"), sid, pid, m) < p),
-                  F.lit(1) + F.floor(uniform(f.seed, F.lit("stockout_days"), sid, pid, m) * span)).otherwise(0)
+    out_of_stock = (F.col("sold_qty") > 0) & (F.col("closing_stock_qty") == 0)
+    days = F.when(out_of_stock, F.dayofmonth(F.last_day("snapshot_month")) - F.col("last_sale")).otherwise(F.lit(0))
     return r.select("snapshot_month", "store_id", "product_id",
                     *[F.col(c).cast("int").alias(c) for c in ("opening_stock_qty", "received_qty", "sold_qty",
                                                               "closing_stock_qty")],
-                    reorder.cast("int").alias("reorder_point"), days.cast("int").alias("stockout_days"))
+                    F.col("_reorder").cast("int").alias("reorder_point"), days.cast("int").alias("stockout_days"))
 
 
 # ----------------------------------------------------------------- M-13..M-22 validation
@@ -559,7 +565,7 @@ def marketing_plausibility(marketing: DataFrame, delivered: DataFrame) -> DataFr
 
 def run_assertions(stores: DataFrame, orders: DataFrame, assignment: DataFrame, products: DataFrame,
                    mapping: DataFrame, cost: DataFrame, inventory: DataFrame, budgets: DataFrame, targets: DataFrame,
-                   marketing: DataFrame, f: Factors = DEFAULT) -> DataFrame:
+                   marketing: DataFrame, f: Policy = DEFAULT) -> DataFrame:
     """M-22: the named pass/fail assertions -> (assertion, status)."""
     plaus = inventory_plausibility(inventory)
     c = F.col

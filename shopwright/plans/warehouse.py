@@ -111,24 +111,24 @@ class Warehouse:
                               self["dim_order_status"])
 
     # enterprise model (M) ----------------------------------------------------
-    factors = M.DEFAULT
+    policy = M.DEFAULT
 
     def _build_orders_geo(self):
         return M.delivered_geo_orders(self["fact_orders"], self["dim_customer"], self["dim_order_status"])
 
     def _build_items_status(self):
         st = F.broadcast(self["dim_order_status"].select("order_status_key", "order_status"))
-        return self["fact_order_items"].select("order_id", "product_key", "price", "order_status_key").join(
+        return self["fact_order_items"].select("order_id", "product_key", "price", "shipping_limit_date", "order_status_key").join(
             st, "order_status_key").join(self["dim_product"].select("product_key", "product_id",
                                                                      "product_category_name"), "product_key")
 
-    def _build_gen_stores(self): return M.select_stores(self["orders_geo"], self.factors)
+    def _build_gen_stores(self): return M.select_stores(self["orders_geo"], self.policy)
     def _build_gen_assignment(self): return M.assign_stores(self["orders_geo"], self["gen_stores"])
     def _build_gen_suppliers(self): return M.suppliers_from_source(self.src["supplier"], self.src["nation"])
     def _build_gen_product_supplier(self):
-        return M.map_suppliers(self["dim_product"], self["gen_suppliers"], self.factors)
+        return M.map_suppliers(self["dim_product"], self["gen_suppliers"], self["fact_order_items"])
     def _build_gen_product_cost(self):
-        return M.product_cost(self["dim_product"], self["items_status"], self.factors)
+        return M.product_cost(self["dim_product"], self["items_status"], B.wholesale_prices(self.src), B.sold_quantities(self.src))
     def _build_delivered_store_orders(self):
         return M.delivered_store_orders(self["orders_geo"], self["gen_assignment"])
     def _build_gen_monthly_actuals(self): return M.monthly_actuals(self["delivered_store_orders"])
@@ -139,17 +139,20 @@ class Warehouse:
     def _plans(self):
         if "_plans" not in self._memo:
             self._memo["_plans"] = M.plan_store_months(
-                self["gen_skeleton"], M.store_aov(self["delivered_store_orders"]), self.factors)
+                self["gen_skeleton"], M.store_aov(self["delivered_store_orders"]), self.policy)
         return self._memo["_plans"]
-    def _build_gen_marketing(self): return M.allocate_marketing(self["gen_skeleton"], self.factors)
+    def _build_gen_marketing(self):
+        return M.allocate_marketing(self["gen_skeleton"], B.promotions(self.src), B.order_channels(self.src), self["gen_assignment"],
+                                    self["stg_orders"])
     def _build_delivered_items(self):
         return M.delivered_items(self["items_status"], self["gen_assignment"], self["stg_orders"])
-    def _build_gen_stocked_products(self): return M.stocked_products(self["delivered_items"], self.factors)
+    def _build_gen_stocked_products(self): return M.stocked_products(self["delivered_items"], self.policy)
     def _build_gen_eligible_products(self):
-        return M.eligible_products(self["gen_stocked_products"], self.factors.max_products)
+        return M.eligible_products(self["gen_stocked_products"], self.policy.max_products)
     def _build_gen_monthly_units(self):
         return M.monthly_units(self["delivered_items"], self["gen_stocked_products"])
-    def _build_gen_inventory(self): return M.roll_inventory(self["gen_monthly_units"], self.factors)
+    def _build_gen_inventory(self):
+        return M.roll_inventory(M.stock_movements(self["delivered_items"], self["gen_stocked_products"]))
 
     # enterprise staging and star -----------------------------------------------
     def _build_stg_stores(self): return G.stg_stores(self["gen_stores"])

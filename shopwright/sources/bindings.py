@@ -221,3 +221,28 @@ def raw_deals(t: ParquetTables) -> DataFrame:
         F.when(pid % 2 == 0, F.lit("Reseller")).otherwise(F.lit("Manufacturer")).alias("business_type"),
         (F.floor(pval) - 10).cast("double").alias("declared_product_catalog_size"),
         ((pval - 5) * 1000).alias("declared_monthly_revenue"))
+
+
+# Feeds of the enterprise model ---------------------------------------------------
+
+def wholesale_prices(t: ParquetTables) -> DataFrame:
+    """(product_id, wholesale_price) of a unit: the part's list price."""
+    return t["part"].select(F.col("p_partkey").alias("product_id"), F.col("p_retailprice").cast("decimal(14,2)").alias("wholesale_price"))
+
+
+def sold_quantities(t: ParquetTables) -> DataFrame:
+    """(product_id, quantity) of each line."""
+    return t["lineitem"].select(F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("decimal(14,2)").alias("quantity"))
+
+
+def promotions(t: ParquetTables) -> DataFrame:
+    """(order_id, amount): the money that a line's discount gave away."""
+    amount = F.round((F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(20,6)"), 2)
+    return t["lineitem"].select(F.col("l_orderkey").alias("order_id"), amount.alias("amount"))
+
+
+def order_channels(t: ParquetTables) -> DataFrame:
+    """(order_id, channel): the order priority's leading digit stands for the channel that brought the order."""
+    digit = F.substring("o_orderpriority", 1, 1).try_cast("int")
+    names = ["paid_search", "social", "email", "display", "affiliate"]  # fixed values
+    return t["orders"].select(F.col("o_orderkey").alias("order_id"), F.get(F.array(*[F.lit(n) for n in names]), digit - 1).alias("channel"))

@@ -113,21 +113,26 @@ def test_check_runner_orders_by_severity(spark):
     assert out == [("ERROR", "z_err", 1), ("WARNING", "a_warn", 1), ("INFO", "b_info", 1)]
 
 
-def test_roll_forward_invariants(spark):
-    units = spark.createDataFrame(
-        [(dt.date(2020, 1, 1), "S1", 1, 5), (dt.date(2020, 3, 1), "S1", 1, 9), (dt.date(2020, 6, 1), "S2", 2, 1)],
-        "snapshot_month date, store_id string, product_id long, sold_qty int")
-    inv = M.roll_inventory(units).orderBy("store_id", "snapshot_month").collect()
+def test_inventory_roll_forward(spark):
+    day = dt.date
+    moves = [  # store, product, month, sold, received, day of the last sale
+        ("S1", 1, day(2020, 1, 1), 4, 0, 20), ("S1", 1, day(2020, 2, 1), 0, 1, None), ("S1", 1, day(2020, 3, 1), 6, 2, 30),
+        ("S1", 1, day(2020, 6, 1), 2, 9, 3), ("S1", 1, day(2019, 11, 1), 0, 1, None),
+        ("S2", 2, day(2020, 6, 1), 1, 0, 10), ("S2", 2, day(2020, 8, 1), 0, 5, None), ("S3", 3, day(2020, 2, 1), 0, 7, None)]
+    df = spark.createDataFrame(moves, "store_id string, product_id long, month date, sold long, received long, last_sale int")
     by = {}
-    for r in inv:
-        assert r.opening_stock_qty + r.received_qty - r.sold_qty == r.closing_stock_qty
-        assert r.closing_stock_qty >= 0 and r.received_qty >= 0
+    for r in M.roll_inventory(df).orderBy("store_id", "snapshot_month").collect():
+        assert r.opening_stock_qty + r.received_qty - r.sold_qty == r.closing_stock_qty >= 0
         by.setdefault(r.store_id, []).append(r)
     for rows in by.values():
-        for a, b in zip(rows, rows[1:]):
-            assert b.opening_stock_qty == a.closing_stock_qty
-    assert len(by["S1"]) == 6 and len(by["S2"]) == 1          # dense to the global last month
-    assert by["S1"][1].sold_qty == 0                          # zero-sales month filled
+        assert all(b.opening_stock_qty == a.closing_stock_qty for a, b in zip(rows, rows[1:]))
+    # from the first sale to the last month with a sale; a pair that never sold has no shelf
+    assert [r.snapshot_month.month for r in by["S1"]] == [1, 2, 3, 4, 5, 6] and [r.snapshot_month.month for r in by["S2"]] == [6]
+    # usual month 12 / 3 = 4, one unit shipped before: opens with 5; March needs 6, has 2 + 2, receives two more
+    assert [(r.opening_stock_qty, r.received_qty, r.sold_qty, r.closing_stock_qty) for r in by["S1"]] == [
+        (5, 0, 4, 1), (1, 1, 0, 2), (2, 4, 6, 0), (0, 0, 0, 0), (0, 0, 0, 0), (0, 9, 2, 7)]
+    assert {r.reorder_point for r in by["S1"]} == {4} and [r.stockout_days for r in by["S1"]] == [0, 0, 1, 0, 0, 0]
+    assert (by["S2"][0].opening_stock_qty, by["S2"][0].closing_stock_qty, by["S2"][0].stockout_days) == (1, 0, 20)
 
 
 def test_shares_sum_to_hundred(spark):
@@ -136,14 +141,41 @@ def test_shares_sum_to_hundred(spark):
     assert abs(s - 100.0) < 0.02
 
 
-def test_marketing_shares_sum_to_total(spark):
-    sk = spark.createDataFrame([(dt.date(2020, 1, 1), "S1", 1000.0, 0.0, 1)],
-                               "month date, store_id string, actual_sales double, actual_freight double, "
-                               "actual_orders int")
-    rows = M.allocate_marketing(sk).collect()
-    assert len(rows) == 5 and {r.channel for r in rows} == set(M.CHANNELS)
-    total = sum(r.spend for r in rows)
-    assert 25.0 - 0.05 <= total <= 65.0 + 0.05
+def test_marketing_spend_is_the_promotions_of_the_channel(spark):
+    day = dt.date
+    sk = spark.createDataFrame([(day(2020, 1, 1), "S1"), (day(2020, 2, 1), "S1")], "month date, store_id string")
+    promos = spark.createDataFrame([(1, "2.50"), (1, "1.25"), (2, "4.00"), (3, "7.00"), (4, "9.00")], "order_id long, a string").selectExpr("order_id", "CAST(a AS DECIMAL(14,2)) AS amount")
+    channels = spark.createDataFrame([(1, "email"), (2, "social"), (3, "email"), (4, "email")], "order_id long, channel string")
+    at = spark.createDataFrame([(1, "S1"), (2, "S1"), (3, "S1"), (4, "S1")], "order_id long, store_id string")
+    orders = spark.createDataFrame([(1, "2020-01-05"), (2, "2020-01-31"), (3, "2020-01-09"), (4, "2020-07-01")], "order_id long, t string").selectExpr("order_id", "CAST(t AS TIMESTAMP) AS order_purchase_timestamp")
+    rows = M.allocate_marketing(sk, promos, channels, at, orders).collect()
+    assert len(rows) == 2 * len(M.CHANNELS)
+    assert {(r.month.month, r.channel): r.spend for r in rows if r.spend} == {(1, "email"): 10.75, (1, "social"): 4.0}
+
+
+def test_suppliers_and_costs_fall_back_to_the_category(spark):
+    products = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "product_id long, product_category_name string")
+    suppliers = spark.createDataFrame([(7,), (8,), (9,)], "supplier_id long")
+    items = spark.createDataFrame([(1, 8), (1, 8), (1, 7), (1, 99), (1, 99), (1, 99), (4, 9)], "product_id long, seller_id long")
+    got = {r.product_id: r.supplier_id for r in M.map_suppliers(products, suppliers, items).collect()}
+    assert got == {1: 8, 2: 8, 3: 8, 4: 9}
+    sold = spark.createDataFrame([(1, 20.0, "delivered"), (1, 40.0, "shipped"), (4, 30.0, "shipped")], "product_id long, p double, order_status string").selectExpr("product_id", "CAST(p AS DECIMAL(14,2)) AS price", "order_status")
+    wholesale = spark.createDataFrame([(1, 5), (2, 6), (3, 7), (4, 4)], "product_id long, w int").selectExpr("product_id", "CAST(w AS DECIMAL(14,2)) AS wholesale_price")
+    units = spark.createDataFrame([(1, 3), (1, 3), (4, 3)], "product_id long, q int").selectExpr("product_id", "CAST(q AS DECIMAL(14,2)) AS quantity")
+    cost = {r.product_id: (r.estimated_unit_cost, r.cost_ratio) for r in M.product_cost(products, sold, wholesale, units).collect()}
+    # 1: 30 of 60; 2: its category; 3: nothing in its category, so 42 of 90 overall and the median of 20 and 30; 4: 12 of 30
+    assert cost == {1: (10.0, 0.5), 2: (10.0, 0.5), 3: (11.67, 0.4667), 4: (12.0, 0.4)}
+
+
+def test_budgets_follow_the_months_before(spark):
+    day = dt.date
+    sk = spark.createDataFrame([(day(2020, m, 1), "S1", s, s / 10, 1) for m, s in ((1, 0.0), (2, 90.0), (3, 30.0), (4, 0.0), (5, 60.0))],
+                               "month date, store_id string, actual_sales double, actual_freight double, actual_orders int")
+    aov = spark.createDataFrame([("S1", 45.0)], "store_id string, aov double")
+    budgets, targets = M.plan_store_months(sk, aov)
+    got = [(r.sales_budget, r.freight_budget) for r in budgets.orderBy("budget_month").collect()]
+    assert got == [(45.0, 4.5), (45.0, 4.5), (45.0, 4.5), (40.0, 4.0), (40.0, 4.0)]
+    assert [(r.sales_target, r.order_target) for r in targets.orderBy("target_month").collect()] == [(47.25, 2)] * 3 + [(42.0, 1)] * 2
 
 
 def test_seeded_faults_are_caught(spark):
