@@ -226,7 +226,7 @@ def monthly_actuals(delivered: DataFrame) -> DataFrame:
     """M-06: delivered sales, freight and distinct orders per month and store."""
     return delivered.groupBy("month", "store_id").agg(
         F.sum("gross_order_value").alias("actual_sales"), F.sum("freight_value").alias("actual_freight"),
-        F.countDistinct("order_id").alias("actual_orders"))
+        F.count("order_id").alias("actual_orders"))  # one row per order
 
 
 def store_month_skeleton(delivered: DataFrame, stores: DataFrame, actuals: DataFrame) -> DataFrame:
@@ -431,26 +431,27 @@ def _flags(row: DataFrame, names: list[str]) -> DataFrame:
 def validate_enterprise(orders: DataFrame, products: DataFrame, stores: DataFrame, assignment: DataFrame,
                         suppliers: DataFrame, mapping: DataFrame, cost: DataFrame, inventory: DataFrame,
                         budgets: DataFrame, targets: DataFrame, marketing: DataFrame) -> DataFrame:
-    """M-13: structural checks of the generated tables -> (check_name, passed)."""
-    n = lambda df, a: df.agg(F.count(F.lit(1)).alias(a))
-    nd = lambda df, c, a: df.agg(F.countDistinct(c).alias(a))
-    anti = lambda df, c, ref, rc, a: (df.select(F.col(c).alias("_k")).filter(F.col("_k").isNotNull())
-                                      .join(ref.select(F.col(rc).alias("_k")), "_k", "left_anti")
-                                      .agg(F.count(F.lit(1)).alias(a)))
-    parts = [n(stores, "stores"), nd(stores, "store_id", "stores_d"), n(orders, "orders"), n(assignment, "asg"),
-             nd(assignment, "order_id", "asg_d"),
-             assignment.agg(F.count_if(F.col("store_id").isNull()).alias("asg_null")),
-             anti(assignment, "store_id", stores, "store_id", "asg_orphan"),
-             n(suppliers, "sup"), nd(suppliers, "supplier_id", "sup_d"), n(products, "products"),
-             n(mapping, "map"), nd(mapping, "product_id", "map_d"),
-             anti(mapping, "supplier_id", suppliers, "supplier_id", "map_orphan"),
-             n(cost, "cost"), nd(cost, "product_id", "cost_d"),
-             cost.agg(F.count_if(F.col("estimated_unit_cost") < 0).alias("cost_neg"),
+    """M-13: structural checks of the generated tables -> (check_name, passed);
+    one aggregate per table, and one anti join per subset check, whose child
+    keys are distinct first."""
+    total = F.count(F.lit(1))
+
+    def different(c: str) -> Column:
+        return F.countDistinct(c)
+
+    def lost(df: DataFrame, c: str, ref: DataFrame, name: str) -> DataFrame:
+        keys = df.select(F.col(c).alias("_k")).where("_k IS NOT NULL").distinct()
+        return keys.join(ref.select(F.col(c).alias("_k")), "_k", "left_anti").agg(total.alias(name))
+    moved = F.col("opening_stock_qty") + F.col("received_qty") - F.col("sold_qty")
+    parts = [stores.agg(total.alias("stores"), different("store_id").alias("stores_d")), orders.agg(total.alias("orders")),
+             assignment.agg(total.alias("asg"), different("order_id").alias("asg_d"), F.count_if(F.col("store_id").isNull()).alias("asg_null")),
+             lost(assignment, "store_id", stores, "asg_orphan"),
+             suppliers.agg(total.alias("sup"), different("supplier_id").alias("sup_d")), products.agg(total.alias("products")),
+             mapping.agg(total.alias("map"), different("product_id").alias("map_d")), lost(mapping, "supplier_id", suppliers, "map_orphan"),
+             cost.agg(total.alias("cost"), different("product_id").alias("cost_d"), F.count_if(F.col("estimated_unit_cost") < 0).alias("cost_neg"),
                       F.count_if(~F.col("cost_ratio").between(0, 1)).alias("ratio_bad")),
-             inventory.agg(F.count_if(F.col("closing_stock_qty") < 0).alias("inv_neg"),
-                           F.count_if(F.col("opening_stock_qty") + F.col("received_qty") - F.col("sold_qty")
-                                      != F.col("closing_stock_qty")).alias("inv_bal")),
-             n(budgets, "bud"), n(targets, "tgt"), n(marketing, "mkt")]
+             inventory.agg(F.count_if(F.col("closing_stock_qty") < 0).alias("inv_neg"), F.count_if(moved != F.col("closing_stock_qty")).alias("inv_bal")),
+             budgets.agg(total.alias("bud")), targets.agg(total.alias("tgt")), marketing.agg(total.alias("mkt"))]
     row = parts[0]
     for p in parts[1:]:
         row = row.crossJoin(p)  # one-row aggregates
@@ -488,7 +489,7 @@ def assignment_mix(assignment: DataFrame) -> DataFrame:
 def store_distribution(delivered: DataFrame, stores: DataFrame) -> DataFrame:
     """M-16: delivered orders and sales per store with share."""
     from ..functions.columns import pct
-    g = delivered.groupBy("store_id").agg(F.countDistinct("order_id").alias("delivered_orders"),
+    g = delivered.groupBy("store_id").agg(F.count("order_id").alias("delivered_orders"),  # one row per order
                                           F.sum("gross_order_value").alias("_g"))
     tot = g.agg(F.sum("_g").alias("_t"))
     return (g.join(F.broadcast(stores.select("store_id", "state", "store_format")), "store_id", "left")

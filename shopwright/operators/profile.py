@@ -1,19 +1,17 @@
 """Profiling (P-01..P-08), generic over any named DataFrames.
 
-Each dataset is profiled in one aggregate pass (counts, null counts,
-distinct counts for every column), then unpivoted with ``stack``-style
-``explode(array(struct...))`` so the result has one row per column.
-``exact=False`` swaps ``count(distinct)`` for ``approx_count_distinct``,
-which avoids the row expansion of many exact distinct aggregates on very
-wide tables.
+Exact distinct counts and duplicate rows never shuffle values: every cell (or
+row) is reduced to a 128-bit key where it is read, and one narrow aggregate
+counts the keys of all datasets.  A third hash beside each key shows whether
+two different values ever shared one.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,24 +34,47 @@ def dataset_inventory(datasets: dict[str, DataFrame]) -> DataFrame:
     return _union(parts).orderBy(F.desc("rows"), "dataset")
 
 
-def column_profile(datasets: dict[str, DataFrame], exact: bool = True) -> DataFrame:
-    """P-02: dtype, non-null, null, null %, distinct, distinct % (2 dp, 0 when empty)."""
+def _plain(c: Column, dt: T.DataType) -> Column:
+    """The column as it is hashed: equal values hash alike (a map has no hash, its sorted entries do)."""
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return F.when(c == 0, F.lit(0.0).cast(dt)).otherwise(c)  # -0.0 equals 0.0
+    if isinstance(dt, T.MapType):
+        return F.sort_array(F.map_entries(c))
+    return c
+
+
+def _key(cols: list[Column]) -> list[Column]:
+    """A 128-bit key of some values, and an independent check of it."""
+    return [F.xxhash64(*cols).alias("k1"), F.xxhash64(F.lit("second"), *cols).alias("k2"), F.hash(*cols).alias("check")]
+
+
+def cell_keys(datasets: dict[str, DataFrame]) -> DataFrame:
+    """(dataset, at, filled, k1, k2, n, shared): one row per distinct value of
+    the at-th column of a dataset, counted; ``shared`` is true where two
+    values met under one key."""
     parts = []
     for name, df in datasets.items():
-        aggs = [F.count(F.lit(1)).alias("_rows")]
-        for i, f in enumerate(df.schema.fields):
-            c = F.col(f"`{f.name}`")
-            d = F.countDistinct(c) if exact else F.approx_count_distinct(c)
-            aggs += [F.count(c).alias(f"_nn{i}"), d.alias(f"_d{i}")]
-        row = df.agg(*aggs)
-        items = [F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
-                          F.col(f"_nn{i}").alias("non_null_count"),
-                          (F.col("_rows") - F.col(f"_nn{i}")).alias("null_count"),
-                          F.col(f"_d{i}").cast("long").alias("unique_count"))
-                 for i, f in enumerate(df.schema.fields)]
-        parts.append(row.select(F.lit(name).alias("dataset"), "_rows", F.explode(F.array(*items)).alias("x"))
-                     .select("dataset", "_rows", "x.*"))
-    out = _union(parts)
+        cells = [F.struct(F.lit(i).alias("at"), c.isNotNull().alias("filled"), *_key([_plain(c, f.dataType)]))
+                 for i, f in enumerate(df.schema.fields) for c in [F.col(f"`{f.name}`")]]
+        parts.append(df.select(F.lit(name).alias("dataset"), F.explode(F.array(*cells)).alias("x")).select("dataset", "x.*"))
+    return (_union(parts).groupBy("dataset", "at", "filled", "k1", "k2")
+            .agg(F.count(F.lit(1)).alias("n"), (F.min("check") != F.max("check")).alias("shared")))
+
+
+def column_profile(datasets: dict[str, DataFrame]) -> DataFrame:
+    """P-02: dtype, non-null, null, null %, distinct, distinct % (2 dp, 0 when empty).
+
+    One scan per dataset and one shuffle of keys for all; a key that two
+    values share counts as two."""
+    filled = F.col("filled")
+    found = (cell_keys(datasets).groupBy("dataset", "at")
+             .agg(F.sum("n").alias("_rows"), F.coalesce(F.sum(F.when(filled, F.col("n"))), F.lit(0)).alias("non_null_count"),
+                  F.coalesce(F.sum(F.when(filled, 1 + F.col("shared").cast("int"))), F.lit(0)).cast("long").alias("unique_count")))
+    spark = found.sparkSession
+    names = spark.createDataFrame([(d, i, f.name, f.dataType.simpleString()) for d, df in datasets.items() for i, f in enumerate(df.schema.fields)],
+                                  "dataset string, at int, column string, dtype string")
+    out = (names.join(F.broadcast(found), ["dataset", "at"], "left")  # one row a column
+           .fillna(0, ["_rows", "non_null_count", "unique_count"]).withColumn("null_count", F.col("_rows") - F.col("non_null_count")))
     zero_safe = lambda n: F.coalesce(pct(n, F.col("_rows")), F.lit(0.0))
     return out.select("dataset", "column", "dtype", "non_null_count", "null_count",
                       zero_safe(F.col("null_count")).alias("null_pct"), "unique_count",
@@ -67,19 +88,32 @@ def missing_summary(profile: DataFrame) -> DataFrame:
             .orderBy(F.desc("null_pct"), "dataset", "column"))
 
 
-def duplicate_summary(datasets: dict[str, DataFrame]) -> DataFrame:
-    """P-04: exact duplicate rows beyond the first copy.
+def row_keys(df: DataFrame) -> list[Column]:
+    """The 128-bit key of a whole row (NULLs are equal)."""
+    return _key([_plain(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])[:2]
 
-    ``groupBy(all columns)`` treats NULLs as equal (like ``duplicated()``)
-    and combines map-side, so a row repeated a billion times still shuffles
-    one partial row per map task."""
-    parts = []
-    for name, df in datasets.items():
-        g = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(g.agg(F.sum("_n").alias("rows"), F.sum(F.col("_n") - 1).alias("exact_duplicate_rows"))
-                     .select(F.lit(name).alias("dataset"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
-                             F.coalesce("exact_duplicate_rows", F.lit(0)).cast("long").alias("exact_duplicate_rows")))
-    out = _union(parts)
+
+def duplicate_rows(df: DataFrame, keys: Callable[[DataFrame], list[Column]] = row_keys) -> DataFrame:
+    """One row (rows, exact_duplicate_rows) of a dataset.
+
+    Keys are counted first, a narrow shuffle.  Only rows whose key occurs
+    more than once are read again and compared as a whole, combined
+    map-side, so a row repeated a billion times sends one row per task and
+    different rows under one key are told apart.
+    """
+    names = [f"_k{i}" for i in range(len(keys(df)))]
+    marked = df.select("*", *[k.alias(n) for k, n in zip(keys(df), names)])
+    groups = marked.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    rows = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"))
+    again = marked.join(groups.where("_n > 1").select(*names), names, "left_semi")
+    whole = again.groupBy(*names, *[_plain(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]).agg(F.count(F.lit(1)).alias("_c"))
+    copies = whole.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("exact_duplicate_rows"))
+    return rows.crossJoin(copies)  # two one-row relations
+
+
+def duplicate_summary(datasets: dict[str, DataFrame]) -> DataFrame:
+    """P-04: exact duplicate rows beyond the first copy (NULLs are equal, like ``duplicated()``)."""
+    out = _union([duplicate_rows(df).select(F.lit(name).alias("dataset"), "rows", "exact_duplicate_rows") for name, df in datasets.items()])
     return (out.withColumn("duplicate_pct", F.coalesce(pct("exact_duplicate_rows", "rows", 4), F.lit(0.0)))
             .orderBy(F.desc("exact_duplicate_rows"), "dataset"))
 
@@ -97,14 +131,20 @@ def id_columns(profile: DataFrame, pattern: str = ID_PATTERN) -> DataFrame:
                     "null_count"))
 
 
-def date_columns(datasets: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
-    """P-07: date-like columns by name; a schema walk, no job."""
-    return [(name, f.name, f.dataType.simpleString()) for name, df in datasets.items()
-            for f in df.schema.fields if any(k in f.name.lower() for k in DATE_KEYWORDS)]
-
-
-def date_columns_df(spark, datasets: dict[str, DataFrame]) -> DataFrame:
-    return spark.createDataFrame(date_columns(datasets), "dataset string, column string, source_dtype string")
+def date_columns(datasets: dict[str, DataFrame]) -> DataFrame:
+    """P-07: date-like columns by name: type, days with a value, first and
+    last day; one aggregate per dataset that has any."""
+    parts = []
+    for name, df in datasets.items():
+        found = [f for f in df.schema.fields if is_date_like(f.name)]
+        if not found:
+            continue
+        day = {f.name: F.col(f"`{f.name}`").try_cast("date") if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`").cast("date") for f in found}
+        row = df.agg(*[a for i, c in enumerate(day.values()) for a in (F.count(c).alias(f"n{i}"), F.min(c).alias(f"a{i}"), F.max(c).alias(f"z{i}"))])
+        cells = [F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("source_dtype"), F.col(f"n{i}").alias("dated_rows"),
+                          F.col(f"a{i}").alias("first_day"), F.col(f"z{i}").alias("last_day")) for i, f in enumerate(found)]
+        parts.append(row.select(F.lit(name).alias("dataset"), F.explode(F.array(*cells)).alias("x")).select("dataset", "x.*"))
+    return _union(parts)
 
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -156,7 +196,3 @@ def numeric_profile(datasets: dict[str, DataFrame], exact_median: bool = True) -
 
 def is_date_like(name: str) -> bool:
     return any(k in name.lower() for k in DATE_KEYWORDS)
-
-
-def matches_id(name: str, pattern: str = ID_PATTERN) -> bool:
-    return re.search(pattern, name) is not None

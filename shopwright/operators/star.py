@@ -24,11 +24,19 @@ from ..functions.keys import with_dense_key, with_small_key
 def date_bounds(date_columns: list[tuple[DataFrame, str]]) -> DataFrame:
     """D-01: min and max date over many (table, column) pairs.
 
-    Each table is reduced to one min/max row first (partial aggregation),
-    then the tiny rows are unioned: no union of full projections.
+    Each distinct table is scanned once and reduced to one row (partial
+    aggregation) that holds the extremes of all its columns; the tiny rows
+    are unioned: no union of full projections.
     """
-    parts = [df.agg(F.min(F.col(c).cast("date")).alias("min_date"),
-                    F.max(F.col(c).cast("date")).alias("max_date")) for df, c in date_columns]
+    by_table: dict[int, tuple[DataFrame, list[Column]]] = {}
+    for df, c in date_columns:
+        by_table.setdefault(id(df), (df, []))[1].append(F.col(c).cast("date"))
+
+    def extreme(pick, across, cols: list[Column]) -> Column:
+        ends = [pick(c) for c in cols]
+        return across(*ends) if len(ends) > 1 else ends[0]
+    parts = [df.agg(extreme(F.min, F.least, cols).alias("min_date"), extreme(F.max, F.greatest, cols).alias("max_date"))
+             for df, cols in by_table.values()]
     return reduce(DataFrame.unionByName, parts).agg(F.min("min_date").alias("min_date"),
                                                     F.max("max_date").alias("max_date"))
 

@@ -128,6 +128,55 @@ def write_report(df: DataFrame, out_dir: str, name: str) -> int:
     return write_table(df.coalesce(1), f"{out_dir.rstrip('/')}/{name}", fmt="csv")
 
 
-def rebuild(order: list[tuple[str, Callable[[], DataFrame]]], out_dir: str) -> list[tuple[str, int]]:
-    """S-11: drop-and-create a layer in dependency order."""
-    return [(name, write_table(build(), f"{out_dir.rstrip('/')}/{name}")) for name, build in order]
+def rebuild(spark: SparkSession, order: list[tuple[str, Callable[[], DataFrame]]], out_dir: str) -> list[tuple[str, int]]:
+    """S-11: drop-and-create tables in dependency order; (table, rows).
+
+    A table that was finished (its commit marker is there) is not built
+    again, so a rebuild that was broken off goes on after the last finished
+    table; a new folder starts afresh.
+    """
+    root = out_dir.rstrip("/")
+    done = {p.split("/")[-2] for p in _fs_glob(spark, f"{root}/*/_SUCCESS")}
+    out = []
+    for name, build in order:
+        path = f"{root}/{name}"
+        out.append((name, spark.read.parquet(path).count() if name in done else write_table(build(), path)))
+    return out
+
+
+def load_with_quarantine(spark: SparkSession, path: str, schema: T.StructType, required: list[str], good_dir: str, bad_dir: str,
+                         header: bool = True) -> DataFrame:
+    """S-02: typed rows to ``good_dir``, malformed lines to ``bad_dir`` by reason.
+
+    A line is bad if it has too many or too few fields (``malformed``), a
+    field that its type cannot read (``<column> unreadable``) or an empty
+    required field (``<column> missing``); the first reason in this order
+    counts.  Returns (reason, lines, rows_written, input_lines): the lines
+    by reason (``good`` included), the rows read back from the outputs, and
+    the lines of the input counted on their own.
+    """
+    raw = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields] + [T.StructField("_line", T.StringType(), True)])
+    # every field is parsed whichever columns a step reads: a pruned field count would hide malformed lines
+    rows = (spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", "_line").schema(raw).csv(path))
+    typed = {f.name: F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
+    reason = F.when(F.col("_line").isNotNull(), "malformed")
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if not isinstance(f.dataType, T.StringType):
+            reason = reason.when(c.isNotNull() & (F.trim(c) != "") & typed[f.name].isNull(), f"{f.name} unreadable")
+    for name in required:
+        reason = reason.when(F.col(f"`{name}`").isNull() | (F.trim(f"`{name}`") == ""), f"{name} missing")
+    checked = rows.withColumn("_reason", reason)
+    write_table(checked.where("_reason IS NULL").select(*[c.alias(n) for n, c in typed.items()]), good_dir)
+    fields = F.coalesce("_line", F.to_csv(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields])))
+    write_table(checked.where("_reason IS NOT NULL").select(F.col("_reason").alias("reason"), fields.alias("line")), bad_dir, partition_by=["reason"])
+    lines = checked.groupBy(F.coalesce("_reason", F.lit("good")).alias("reason")).agg(F.count(F.lit(1)).alias("lines"))
+    good = spark.read.schema(schema).parquet(good_dir).agg(F.count(F.lit(1)).alias("rows_written")).select(F.lit("good").alias("reason"), "rows_written")
+    bad = spark.read.schema("line string, reason string").parquet(bad_dir).groupBy("reason").agg(F.count(F.lit(1)).alias("rows_written"))
+    given = spark.read.text(path).where("trim(value) <> ''").agg(F.count(F.lit(1)).alias("input_lines"))
+    if header:
+        files = spark.read.text(path).select(F.input_file_name()).distinct().count()
+        given = given.select((F.col("input_lines") - files).alias("input_lines"))
+    return (lines.join(good.unionByName(bad), "reason", "full").crossJoin(F.broadcast(given))  # one-row relation
+            .select("reason", F.coalesce("lines", F.lit(0)).alias("lines"), F.coalesce("rows_written", F.lit(0)).alias("rows_written"), "input_lines"))

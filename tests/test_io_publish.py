@@ -122,3 +122,30 @@ def test_null_counts_come_from_the_footers(spark, workdir):
         spark.conf.set("spark.sql.sources.useV1SourceList", before)
         spark.conf.unset("spark.sql.parquet.aggregatePushdown")
     assert "PushedAggregation: [COUNT(x), COUNT(s)]" in plan
+
+
+def test_quarantine_by_reason(spark, workdir):
+    lines = ["id,name,day", "1,ann,2020-01-01", "2,\"a, b\",2020-02-30", "x3,cid,2020-01-02", "4,dan", "5,eve,2020-01-03,more", ",fay,2020-01-04", "6,,", "7, ,2020-01-05"]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(f"{workdir}/in")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("day", T.DateType())])
+    got = {r.reason: (r.lines, r.rows_written, r.input_lines)
+           for r in S.load_with_quarantine(spark, f"{workdir}/in", schema, ["id"], f"{workdir}/good", f"{workdir}/bad").collect()}
+    assert got == {"good": (3, 3, 8), "malformed": (2, 2, 8), "id unreadable": (1, 1, 8), "day unreadable": (1, 1, 8), "id missing": (1, 1, 8)}
+    assert sorted((r.id, r.day is None) for r in spark.read.parquet(f"{workdir}/good").collect()) == [(1, False), (6, True), (7, False)]
+    assert {r.line for r in spark.read.parquet(f"{workdir}/bad").where("reason = 'malformed'").collect()} == {"4,dan", "5,eve,2020-01-03,more"}
+
+
+def test_rebuild_goes_on_after_the_last_finished_table(spark, workdir):
+    built = []
+
+    def step(name, fail=False):
+        def build():
+            if fail:
+                raise RuntimeError("killed")
+            built.append(name)
+            return spark.range(len(built))
+        return name, build
+    with pytest.raises(RuntimeError):
+        S.rebuild(spark, [step("a"), step("b"), step("c", fail=True)], f"{workdir}/r")
+    assert S.rebuild(spark, [step("a"), step("b"), step("c")], f"{workdir}/r") == [("a", 1), ("b", 2), ("c", 3)]
+    assert built == ["a", "b", "c"]

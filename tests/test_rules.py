@@ -12,6 +12,7 @@ from shopwright.operators import audit as A
 from shopwright.operators import checks as Q
 from shopwright.operators import enterprise as M
 from shopwright.operators import kpis as K
+from shopwright.operators import profile as P
 from shopwright.operators import staging as G
 from shopwright.operators import star as D
 
@@ -340,3 +341,30 @@ def test_repeat_orders_of_a_hot_person(spark):
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
 
+
+def test_column_profile_needs_one_shuffle_of_keys(spark, tmp_path):
+    rows = [(1, "a", 0.0, [1.0, None]), (2, "a", -0.0, [1.0, None]), (3, None, float("nan"), None), (4, "b", float("nan"), []), (4, "b", None, [])]
+    spark.createDataFrame(rows, "id long, s string, d double, v array<double>").write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    got = {r.column: (r.non_null_count, r.null_count, r.unique_count) for r in P.column_profile({"t": t}).collect()}
+    assert got == {"id": (5, 0, 4), "s": (4, 1, 2), "d": (4, 1, 2), "v": (4, 1, 2)}
+    plan = P.cell_keys({"t": t, "u": t})._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Exchange") == 1
+    empty = P.column_profile({"t": t.limit(0)}).collect()
+    assert len(empty) == 4 and all((r.non_null_count, r.unique_count, r.unique_pct) == (0, 0, 0.0) for r in empty)
+
+
+def test_duplicate_rows_under_one_key_are_told_apart(spark):
+    t = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, "a"), (3, None), (3, None), (4, "z")], "id long, s string")
+    assert tuple(P.duplicate_rows(t).first()) == (7, 3)
+    # every row under one key: the comparison of whole rows decides
+    assert tuple(P.duplicate_rows(t, keys=lambda df: [F.lit(1)]).first()) == (7, 3)
+    assert tuple(P.duplicate_rows(t.limit(0)).first()) == (0, 0)
+
+
+def test_date_bounds_scans_each_table_once(spark, tmp_path):
+    spark.sql("SELECT DATE'2020-01-05' AS a, TIMESTAMP'2019-12-31 10:00:00' AS b UNION ALL SELECT NULL, TIMESTAMP'2021-03-01 00:00:00'").write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    out = D.date_bounds([(t, "a"), (t, "b")])
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert tuple(out.first()) == (dt.date(2019, 12, 31), dt.date(2021, 3, 1))
