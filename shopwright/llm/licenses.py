@@ -7,7 +7,8 @@ ones (the smallest of each window of 4) for longer ones.  Templates of at most
 5 words are indexed by their 2-grams, since one changed word can break every
 3-gram.  Every word 2-gram and 3-gram of a document is looked up; hits on nearly the same diagonal make a candidate,
 which is aligned with the template in a band around that diagonal.  Reported:
-the matched share of the template's words and the character span.
+the matched words' share of the template or, if that is longer, of the matched
+span (so a word put into a notice lowers its coverage), and the character span.
 
 Nulls and edge cases: null or empty texts report nothing; words are runs of
 letters and digits of the lower-cased text; notices repeated in a text are
@@ -17,6 +18,7 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import re
 import zlib
 from collections import defaultdict
@@ -29,10 +31,18 @@ from . import common
 #: fixed values: public notices by SPDX id
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-4.0": "Licensed under CC BY 4.0",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
     "MIT": "Released under the MIT License",
+    "Unlicense": "This is free and unencumbered software released into the public domain",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
     "BSD-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
@@ -101,15 +111,20 @@ def scan_text(text: str, words: dict, at: dict, vocabulary: frozenset, least: fl
         if n in last and shift - last[n] <= BAND:
             continue
         m, a, b = align(words[n], have, shift)
-        if m >= least * len(words[n]):
-            out.append((n, m / len(words[n]), spans[a][0], spans[b - 1][1]))
+        # words of the text between matched ones count against the notice like words it lacks
+        share = m / max(len(words[n]), b - a)
+        if share >= least:
+            out.append((n, share, spans[a][0], spans[b - 1][1]))
             last[n] = shift
     # of overlapping notices the one with more matched text stays, on a tie the one with more matched words
+    starts: list[int] = []  # kept notices do not overlap, so their neighbours decide
     keep: list = []
     for x in sorted(out, key=lambda r: (-(r[3] - r[2]) * r[1], -r[1] * len(words[r[0]]), r[0])):
-        if all(x[3] <= y[2] or x[2] >= y[3] for y in keep):
-            keep.append(x)
-    return sorted(keep, key=lambda r: r[2])
+        at = bisect.bisect_left(starts, x[2])
+        if (at == 0 or keep[at - 1][3] <= x[2]) and (at == len(keep) or x[3] <= keep[at][2]):
+            starts.insert(at, x[2])
+            keep.insert(at, x)
+    return keep
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8) -> DataFrame:

@@ -15,7 +15,8 @@ after them: "is the token") or a provider's fixed prefix begins them, else 0;
 references to a value that stands elsewhere (``${NAME}``, ``<name>``, calls,
 null) are labelled 0.
 
-Nulls and edge cases: null or empty texts have no candidates; a null path is
+Nulls and edge cases: null or empty texts have no candidates; a text of any
+length is searched whole, in time that grows with its length; a null path is
 empty; findings without ``after`` have no words after them; a candidate repeated in a text is reported once per occurrence; with
 findings of one class only every candidate gets that class; an empty table
 gives an empty result; extra columns are ignored.
@@ -40,8 +41,10 @@ LONG = "[A-Za-z0-9+/_-]{16,}"
 AWS = r"^(?:AKIA|ASIA)(?![A-Z0-9]{16}$)"
 #: hint word, assignment and opening quote; the value; words after it
 ASSIGNED = (rf"((?i:{WORD})[\"']?+(?:\s*+(?::\s*+[A-Za-z_][\w.\[\]]*+\s*+(?==))?+(?:=>|:=|==?|:))?+\s*+[\"']?)"
-            r"((?<=\")[^\"\n]+(?=\")|(?<=')[^'\n]+(?=')|(?<=[=:>]\s{0,9}[\"']?)[^\s\"',;)\]}]\S*?(?=[\"',;)\]}]*+(?:\s|$)))"
+            r"((?<=\")[^\"\n]+(?=\")|(?<=')[^'\n]+(?=')|(?<=[=:>]\s{0,9}[\"']?)[^\s\"',;)\]}]\S*+)"
             r"(?=(\S*+(?:\s++\S++){0,4}+))")
+#: signs that close a value without quotes; looked for once per run of them
+CLOSERS = r"(?<![\"',;)\]}])[\"',;)\]}]++$"
 REFERENCE = r"^(?:\$?\{.*\}?|<.*>?|%\w+%|(?i:null|none|nil|true|false|undefined)|[A-Za-z_][\w.]*[(\[].*)$"
 FEATURES = ["length", "to_digit", "to_letter", "case_turns", "digits", "uppers", "dictionary", "vowels", "signs", "hinted", "assigned", "prefixed",
             "reference", "closed", "hint_after", "sample_after", "test_path"]
@@ -53,8 +56,9 @@ def candidates(docs: DataFrame) -> DataFrame:
     found = F.col("text").rlike(ASSIGNED)
     part = lambda k: F.regexp_extract_all("text", F.lit(ASSIGNED), F.lit(k))
     assigned = (texts.where(found).select("doc_id", "path", F.explode(F.arrays_zip(part(1).alias("b"), part(2).alias("v"), part(3).alias("a"))).alias("z"))
-                .select("doc_id", "path", F.col("z.v").alias("value"), F.regexp_replace(F.regexp_replace("z.b", r":\s*[A-Za-z_][\w.\[\]]*\s*=", " ="), r"\s+", " ").alias("before"),
-                        F.col("z.a").alias("after")))
+                .withColumn("shut", F.when(F.col("z.a").rlike("^[\"']"), "").otherwise(F.regexp_extract("z.v", CLOSERS, 0)))
+                .select("doc_id", "path", F.expr("substring(z.v, 1, length(z.v) - length(shut))").alias("value"), F.regexp_replace(F.regexp_replace("z.b", r":\s*[A-Za-z_][\w.\[\]]*\s*=", " ="), r"\s+", " ").alias("before"),
+                        F.concat("shut", "z.a").alias("after")))
     # the others are looked for where no assigned value stands
     rest = F.when(found, F.regexp_replace("text", ASSIGNED, "$1\u0001")).otherwise(F.col("text"))
     words = texts.where(F.col("text").rlike(LONG)).select("doc_id", "path", F.split(rest, r"\s+").alias("words"))
