@@ -28,7 +28,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group stays.
+    """The row with the smallest doc_id of each group stays.
 
     Rows are told apart by a hash of (doc_id, text), so null and repeated ids
     are grouped by their own texts; rows equal in both count as copies.  Rows
@@ -36,14 +36,17 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     key = F.xxhash64(F.col("doc_id"), F.col("text"))
     groups = simhash.near_duplicates(docs.select(key.alias("doc_id"), "text"), shingle=4, distance=4)
-    rows = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("low"), F.max("component_id").alias("high"))
-    rows = common.cut(rows.where((F.col("n") > 1) | (F.col("low") != F.col("doc_id"))))
-    other = (F.col("low") == F.col("high")) & (F.col("low") != F.col("doc_id"))
-    repeated = (F.col("n") > 1) & ~other
+    ids = docs.select(key.alias("_key"), "doc_id").groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("id"))
+    parts = groups.groupBy(F.col("doc_id").alias("_key")).agg(F.min("component_id").alias("low"), F.max("component_id").alias("high"))
+    rows = common.cut(ids.join(parts, "_key"))
+    first = (rows.groupBy("low").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "_key")).alias("x"))
+             .select(F.col("x._key").alias("_key")))
+    gone = rows.where("low = high").join(first, "_key", "left_anti")
+    repeated = rows.where("n > 1").join(gone, "_key", "left_anti").select("_key")
     marked = docs.withColumn("_key", key)
-    once = marked.join(rows.select(F.col("doc_id").alias("_key")), "_key", "left_anti")
-    first = marked.join(rows.where(repeated).select(F.col("doc_id").alias("_key")), "_key", "left_semi").dropDuplicates(["_key", "doc_id", "text"])
-    return once.unionByName(first).select(*COLUMNS)
+    once = marked.join(gone.select("_key").unionByName(repeated), "_key", "left_anti")
+    copies = marked.join(repeated, "_key", "left_semi").dropDuplicates(["_key", "doc_id", "text"])
+    return once.unionByName(copies).select(*COLUMNS)
 
 
 def decontam_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
