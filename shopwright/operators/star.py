@@ -191,9 +191,11 @@ def _with_status_key(df: DataFrame, status: DataFrame | None) -> DataFrame:
 
 
 def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
-                customers: DataFrame, status: DataFrame | None = None) -> DataFrame:
+                customers: DataFrame, status: DataFrame | None = None, late_by_date: bool = False) -> DataFrame:
     """D-10: orders x (item aggregate, payment aggregate) with keys,
-    reconciliation, durations and timeline flags."""
+    reconciliation, durations and timeline flags.  An order is late when it
+    arrives after the estimated moment, with ``late_by_date`` after the
+    estimated day."""
     o = orders.alias("o")
     ia, pa = item_agg(items).alias("ia"), payment_agg(payments).alias("pa")
     c = customers.select("customer_id", "customer_key").alias("c")
@@ -236,7 +238,8 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
                 .cast("decimal(12,2)").alias("approval_hours"),
                 F.when(dlv.isNotNull() & est.isNotNull(), F.datediff(dlv.cast("date"), est.cast("date")))
                 .cast("int").alias("delivery_variance_days"),
-                F.when(dlv.isNotNull() & est.isNotNull(), dlv > est).alias("is_late_delivery"),
+                F.when(dlv.isNotNull() & est.isNotNull(),
+                       dlv.cast("date") > est.cast("date") if late_by_date else dlv > est).alias("is_late_delivery"),
                 valid.alias("has_valid_delivery_timeline"),
                 (car.isNotNull() & (car < pur)).alias("has_carrier_before_purchase_anomaly"),
                 (dlv.isNotNull() & car.isNotNull() & (dlv < car)).alias("has_delivery_before_carrier_anomaly"),
