@@ -6,9 +6,8 @@ Runs on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default
 
 Phases: ``build_core`` (binding, staging, dimensions, the four core facts),
 ``build_enterprise`` (stores, assignment, cost, plans, marketing, inventory
-roll-forward and the enterprise facts), then each registered KPI / check /
-audit query collected once.  Per-table staging/dim/fact outputs are not
-re-timed: building them is what the build phases measure.
+roll-forward and the enterprise facts), then every registered query of the
+warehouse, run to its last row without collecting it.
 """
 
 from __future__ import annotations
@@ -29,7 +28,6 @@ CORE = ["dim_customer", "dim_product", "dim_seller", "dim_order_status", "dim_da
 ENTERPRISE = ["gen_stores", "gen_assignment", "gen_product_supplier", "gen_product_cost", "gen_budget",
               "gen_targets", "gen_marketing", "gen_inventory", "fact_orders_ent", "fact_order_items_ent",
               "fact_inventory_monthly", "fact_store_plan", "fact_marketing_spend"]
-HEADLINE = re.compile(r"^(k\d+|q\d+|a\d+|p0[1-8]|c0|m1[3-9]|m2|v\d+)")
 
 
 def main() -> None:
@@ -50,10 +48,8 @@ def main() -> None:
     timings["build_enterprise"] = round(time.time() - t, 3)
 
     for name in catalog.REGISTRY:
-        if not HEADLINE.match(name):
-            continue
         t = time.time()
-        catalog.run(name, spark, sf_dir).collect()
+        catalog.run(name, spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.time() - t, 3)
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)

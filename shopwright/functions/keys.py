@@ -46,11 +46,15 @@ def with_dense_key(df: DataFrame, order_cols: list[str | Column], key: str,
             .drop("_dk_pid", "_dk_pos", "_dk_off"))
 
 
-def with_small_key(df: DataFrame, order_cols: list[str | Column], key: str) -> DataFrame:
-    """Row number for relations whose size is bounded by a fixed domain
-    (order statuses, channels, a store list): one task is enough."""
+def with_small_key(df: DataFrame, order_cols: list[str | Column], key: str, most: int = 10_000) -> DataFrame:
+    """Row number for a closed list (order statuses, channels, a store list):
+    one task numbers at most ``most`` rows; a longer list is an error, so the
+    result may be broadcast."""
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    return df.withColumn(key, F.row_number().over(Window.orderBy(*cols)).cast("long"))
+    place = F.row_number().over(Window.orderBy(*cols)).cast("long")
+    numbered = df.limit(most + 1).withColumn(key, place)
+    too_long = F.raise_error(F.lit(f"{key}: more than {most} rows in a closed list")).cast("long")
+    return numbered.withColumn(key, F.when(F.col(key) > most, too_long).otherwise(F.col(key)))
 
 
 def with_group_sequence(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from shopwright.functions.keys import with_dense_key, with_group_sequence
+from shopwright.functions.keys import with_dense_key, with_group_sequence, with_small_key
 from shopwright.functions.quantiles import cell_percentiles, counted_values
 from shopwright.operators import audit as A
 from shopwright.operators import checks as Q
@@ -368,3 +368,10 @@ def test_date_bounds_scans_each_table_once(spark, tmp_path):
     out = D.date_bounds([(t, "a"), (t, "b")])
     assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     assert tuple(out.first()) == (dt.date(2019, 12, 31), dt.date(2021, 3, 1))
+
+
+def test_closed_lists_have_a_bound(spark):
+    df = spark.range(12).selectExpr("12 - id AS x")
+    assert [(r.x, r.k) for r in with_small_key(df, ["x"], "k", most=12).orderBy("k").collect()] == [(i, i) for i in range(1, 13)]
+    with pytest.raises(Exception, match="more than 11 rows"):
+        with_small_key(df, ["x"], "k", most=11).collect()
