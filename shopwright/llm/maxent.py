@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +57,11 @@ def context(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(1, keepdims=True))
-    return z / z.sum(1, keepdims=True)
+    """In place: z belongs to the caller no more."""
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(1, keepdims=True)
+    return z
 
 
 class Model:
@@ -97,8 +101,9 @@ class Model:
             p2[n, m] -= 1
             for k in range(f.shape[1]):
                 for w, at, d in ((self.w1, f[:, k], p1), (self.w2, rows[:, k], p2)):
+                    at = at.astype(np.uint16)  # rows of either table; 16 bits sort by radix
                     order = np.argsort(at, kind="stable")
-                    cut = np.flatnonzero(np.diff(at[order], prepend=-1))
+                    cut = np.flatnonzero(np.diff(at[order].astype(np.int64), prepend=-1))
                     size = np.diff(cut, append=len(order))[:, None]
                     w[at[order][cut]] -= rate * np.add.reduceat(d[order], cut, axis=0) / np.sqrt(size + 1.0)
 
@@ -107,8 +112,8 @@ def encoded(texts: list, index: dict[bytes, int]):
     """The texts' tokens one after the other: positions in ``index`` (-1: not there), class ids, starts, sizes, words."""
     words = [tokens(t) for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
-    flat = [w for ws in words for w in ws]
-    at = np.fromiter((index.get(w, -1) for w in flat), np.int64, len(flat))
+    flat = list(chain.from_iterable(words))
+    at = np.fromiter(map(index.get, flat, repeat(-1)), np.int64, len(flat))
     first = np.zeros(len(flat), bool)
     first[np.cumsum(sizes) - sizes] = True
     return at, np.where((at < 0) | (at >= HEAD), RARE, at), first, sizes, flat
