@@ -1,11 +1,16 @@
 """Exact top-k inner-product search: ball trees per shard, branch and bound.
 
-Vectors are dealt into shards by a hash of their id.  A task holds one shard
-as a ball tree and one block of queries; nodes are visited in falling order
-of the bound  <q, centre> + |q| * radius  and dropped once the bound is below
-the query's k-th score.  A first round searches each query's block in one
-home shard; the k-th scores that it finds are shared with every other
-(block, shard) task of the second round.
+A bounded sample of the vectors serves as pivots; every vector joins the cell
+of its nearest pivot, and a cell beyond ``shard_rows`` is split by a hash of the
+id, so shards hold near vectors and none grows with a hot vector.  A task
+streams one shard: its vectors first, of which it builds a ball tree once, then
+the queries, one batch at a time.  Nodes are visited in falling order of the
+bound  <q, centre> + |q| * radius  and dropped once the bound is below the
+query's k-th score.  A first round searches each query in the shard that it
+lies in; the k-th score found there is shared with the second round, which
+sends a query only to the cells whose ball (pivot, largest distance) can hold
+an equal or higher score.  Candidates are copied once for each ``block_rows``
+queries.
 
 Nulls and edge cases: vectors that are null or hold null or non-finite
 components, and rows with a null id, take no part; vectors whose length
@@ -74,52 +79,105 @@ def quantised(vectors: DataFrame, scale: int) -> DataFrame:
             .select(F.col("vec_id").cast("long"), F.transform(v, lambda c: F.floor(c.cast("double") * scale)).alias("v"), F.size(v).alias("dims")))
 
 
-def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, shard_rows: int = 20_000, block_rows: int = 2_000) -> DataFrame:
+def located(base: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+    """base with the number of the nearest pivot of the same length and the distance to it."""
+    def run(batches):
+        for df in batches:
+            df["cell"], df["far"] = 0, 0.0
+            for d, part in df.groupby("dims"):
+                x, p = np.array(part["v"].tolist(), np.float64).reshape(len(part), -1), pivots.get(d)
+                if p is None or d == 0:
+                    continue
+                square = (x * x).sum(1)[:, None] - 2 * (x @ p.T) + (p * p).sum(1)
+                df.loc[part.index, "cell"] = square.argmin(1)
+                df.loc[part.index, "far"] = np.sqrt(np.maximum(square.min(1), 0))
+            yield df
+    return base.mapInPandas(run, "vec_id long, v array<long>, dims int, cell int, far double")
+
+
+def streamed(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): each query's best in the shard it was sent to.
+
+    Both sides carry (shard, block); a shard's candidates come before its queries.
+    """
+    def run(batches):
+        at, ids, vectors, tree, x = None, [], [], None, None
+        for df in batches:
+            out = []
+            for (shard, block, kind), part in df.groupby(["shard", "block", "kind"], sort=False):
+                if (shard, block) != at:
+                    at, ids, vectors, tree = (shard, block), [], [], None
+                rows = np.array(part["v"].tolist(), np.float64).reshape(len(part), -1)
+                if kind == 0:
+                    ids.append(part["vec_id"].to_numpy())
+                    vectors.append(rows)
+                    continue
+                if tree is None and ids:
+                    x, own = np.concatenate(vectors), np.concatenate(ids)
+                    tree, ids, vectors = build(x, np.arange(len(x))), [own], []
+                if tree is not None:
+                    for qid, q, floor in zip(part["vec_id"], rows, part["floor"]):
+                        out += [(qid, i, s) for s, i in search(tree, x, ids[0], q, qid, k, floor)]
+            yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+    both = (candidates.select("shard", "block", F.lit(0).alias("kind"), "vec_id", "v", F.lit(0).cast("long").alias("floor"))
+            .unionByName(queries.select("shard", "block", F.lit(1).alias("kind"), "vec_id", "v", "floor")))
+    return (both.repartition("shard", "block").sortWithinPartitions("shard", "block", "kind")
+            .mapInPandas(run, "query_id long, vec_id long, score long"))
+
+
+def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, shard_rows: int = 20_000, block_rows: int = 200_000,
+          max_pivots: int = 1_000) -> DataFrame:
     """query_id, rank, vec_id, score of the rows whose id is divisible by ``every`` against all other rows.
 
     Scores are exact while they stay below 2**53.
     """
-    common.prepare(vectors.sparkSession)
+    spark = vectors.sparkSession
+    common.prepare(spark)
     base = common.cut(quantised(vectors, scale))
     n = base.count()
-    shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(n / every / block_rows))
-    cand = base.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    queries = (base.where(F.pmod("vec_id", F.lit(every)) == 0)
-               .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(blocks)).cast("int")))
-
-    def run(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for d in qs["dims"].unique() if len(cs) else ():
-            c = cs[cs["c_dims"] == d]
-            if not len(c):
-                continue
-            x, ids = np.array(c["c_v"].tolist(), np.float64).reshape(len(c), -1), c["c_id"].to_numpy()
-            tree = build(x, np.arange(len(c)))
-            for qid, v, floor in qs.loc[qs["dims"] == d, ["vec_id", "v", "floor"]].itertuples(index=False):
-                out += [(qid, i, s) for s, i in search(tree, x, ids, np.array(v, np.float64), qid, k, floor)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
-
     lowest = -(1 << 62)
-
-    def rounds(q: DataFrame, c: DataFrame) -> DataFrame:
-        # names of their own: both sides come from one table
-        q = q.select(*[F.col(x).alias(x) for x in ("vec_id", "v", "dims", "floor", "shard", "block")])
-        c = c.select(F.col("vec_id").alias("c_id"), F.col("v").alias("c_v"), F.col("dims").alias("c_dims"), F.col("shard").alias("c_shard"), F.col("block").alias("c_block"))
-        return (q.groupBy("shard", "block").cogroup(c.groupBy("c_shard", "c_block"))
-                .applyInPandas(run, "query_id long, vec_id long, score long"))
-
-    spread = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    home = F.pmod("block", F.lit(shards)).cast("int")
-    own = queries.withColumn("shard", home).withColumn("floor", F.lit(lowest).cast("long"))
-    home_cand = cand.select("vec_id", "v", "dims", "shard", spread).where(F.col("shard") == home)
-    first = common.cut(rounds(own, home_cand))
-    kth = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("kth"))
-    rest = (queries.join(kth, queries["vec_id"] == kth["query_id"], "left")
-            .select("vec_id", "v", "dims", "block", F.when(F.col("found") >= k, F.col("kth")).otherwise(lowest).alias("floor"),
-                    F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-            .where(F.col("shard") != home))
-    other_cand = cand.select("vec_id", "v", "dims", "shard", spread).where(F.col("shard") != home)
-    every_hit = first.unionByName(rounds(rest, other_cand)) if shards > 1 else first
+    wanted = min(max_pivots, max(1, math.ceil(n / shard_rows)))
+    sample = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(wanted).collect()  # at most max_pivots rows
+    pivots: dict[int, np.ndarray] = {}
+    for r in sample:
+        pivots.setdefault(r["dims"], []).append(r["v"])
+    pivots = {d: np.array(p, np.float64).reshape(len(p), -1) for d, p in pivots.items()}
+    cells = common.cut(located(base, pivots))
+    # at most one row a pivot and a row a further length
+    found = cells.groupBy("dims", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).orderBy("dims", "cell").collect()
+    parts = [math.ceil(r["n"] / shard_rows) for r in found]
+    first = np.cumsum([0, *parts]).tolist()
+    places = spark.createDataFrame([(r["dims"], r["cell"], at, m) for r, at, m in zip(found, first, parts)], "dims int, cell int, start int, parts int")
+    shard = (F.col("start") + F.pmod(F.xxhash64("vec_id", F.lit(11)), F.col("parts"))).cast("int")
+    blocks = max(1, math.ceil(n / every / block_rows))
+    placed = cells.join(F.broadcast(places), ["dims", "cell"]).select("vec_id", "v", "dims", shard.alias("shard"))
+    candidates = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    queries = (placed.where(F.pmod("vec_id", F.lit(every)) == 0)
+               .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(blocks)).cast("int")))
+    home = common.cut(streamed(queries.withColumn("floor", F.lit(lowest).cast("long")), candidates, k))
+    kth = home.groupBy("query_id").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("kth"))
+
+    def elsewhere(batches):
+        for df in batches:
+            out = []
+            for d, part in df.groupby("dims"):
+                q = np.array(part["v"].tolist(), np.float64).reshape(len(part), -1)
+                norm = np.sqrt((q * q).sum(1))
+                for r, at, m in zip(found, first, parts):
+                    if r["dims"] != d:
+                        continue
+                    if d in pivots:
+                        bound = q @ pivots[d][r["cell"]] + norm * r["far"]
+                        hit = bound + 1e-6 * (1 + np.abs(bound)) >= part["floor"].to_numpy()
+                    else:
+                        hit = np.ones(len(part), bool)
+                    for s in range(at, at + m):
+                        out.append(part[hit & (part["shard"].to_numpy() != s)].assign(shard=s))
+            yield pd.concat(out) if out else df.iloc[:0]
+    floor = F.when(F.col("found") >= k, F.col("kth")).otherwise(lowest).cast("long")
+    far = (queries.join(kth, queries["vec_id"] == kth["query_id"], "left").select("vec_id", "v", "dims", "shard", "block", floor.alias("floor"))
+           .mapInPandas(elsewhere, "vec_id long, v array<long>, dims int, shard int, block int, floor long"))
+    every_hit = home.unionByName(streamed(far, candidates, k)) if first[-1] > 1 else home
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (every_hit.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int"), "vec_id", "score"))
