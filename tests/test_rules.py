@@ -375,3 +375,18 @@ def test_closed_lists_have_a_bound(spark):
     assert [(r.x, r.k) for r in with_small_key(df, ["x"], "k", most=12).orderBy("k").collect()] == [(i, i) for i in range(1, 13)]
     with pytest.raises(Exception, match="more than 11 rows"):
         with_small_key(df, ["x"], "k", most=11).collect()
+
+
+def test_a_warehouse_is_built_anew_when_its_files_change(spark, tmp_path):
+    from shopwright.plans import catalog
+    for k in range(4):
+        (tmp_path / f"w{k}").mkdir()
+        (tmp_path / f"w{k}" / "t.parquet").write_bytes(b"x")
+    first = catalog.warehouse(spark, str(tmp_path / "w0"))
+    assert catalog.warehouse(spark, str(tmp_path / "w0")) is first
+    (tmp_path / "w0" / "t.parquet").write_bytes(b"longer")
+    second = catalog.warehouse(spark, str(tmp_path / "w0"))
+    assert second is not first
+    for k in (1, 2, 3):
+        catalog.warehouse(spark, str(tmp_path / f"w{k}"))
+    assert len(catalog._WAREHOUSES) == catalog.KEPT and catalog.warehouse(spark, str(tmp_path / "w0")) is not second
