@@ -1,14 +1,16 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-P(token | context) = P(class | context) * P(token | class).  The most
-frequent training tokens (a fixed number) are classes of one token, kept in
-groups; all rarer tokens form one class.  The class softmax is factored into
-group and member, with weights for hashed n-gram and skip features (previous
-token, the one before, both, and the pair one and three back).  Weights are
-trained by distributed updates: in each round every task takes gradient steps
-over its part of the training texts and Spark averages the changes.  Inside
-the rare class, Good-Turing mass goes to unseen tokens (counted as one
-outcome) and the rest follows the counts.
+P(token | context) = P(class | context) * P(token | class).  Every token has a
+class: the most frequent training tokens (a fixed number) are classes of their
+own, all others share classes by a hash of their last two bytes, so the
+context's n-gram and skip features (previous token, the one before, both, and
+the pair one and three back; a token stands for its class) say which kind of
+rare word is due.  The class softmax is factored into group and member.
+Weights are trained by distributed updates: in each round every task takes
+gradient steps over its part of the training texts and Spark averages the
+changes.  Inside a shared class, Good-Turing mass goes to unseen tokens
+(counted as one outcome) and the rest follows the counts of the whole training
+vocabulary.
 
 Token counts cover all training texts.  Only the list of tokens above a share
 of the training tokens is broadcast, which bounds its length; the other tokens
@@ -22,22 +24,23 @@ every token is unseen.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 END = b"\n"  # no word holds white space
 GROUPS, MEMBERS, BITS = 16, 16, 12
-HEAD = GROUPS * MEMBERS - 1  # the last slot stands for every rarer token
-RARE = HEAD
+HEAD = 127  # tokens that are a class of their own
+SHARED = GROUPS * MEMBERS - HEAD  # classes of the others
 BATCH = 4_096
+#: shared class by the number that a word's last two bytes make
+_CLASS = ((np.arange(1 << 16, dtype=np.int64) * 40_503) >> 4) % SHARED
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -108,15 +111,33 @@ class Model:
                     w[at[order][cut]] -= rate * np.add.reduceat(d[order], cut, axis=0) / np.sqrt(size + 1.0)
 
 
+def shared_class(words: list[bytes]) -> np.ndarray:
+    """The shared class of each word (none is empty)."""
+    if not words:
+        return np.zeros(0, np.int64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    raw, end = np.frombuffer(b"".join(words), np.uint8), np.cumsum(size)
+    return _CLASS[raw[end - 1] * np.int64(256) + np.where(size > 1, raw[end - 2], 0)]
+
+
+def shared_class_of(word: str) -> Column:
+    """:func:`shared_class` of a binary column."""
+    def byte(k: int) -> Column:
+        return F.conv(F.hex(F.expr(f"substring({word}, -{k}, 1)")), 16, 10).cast("long")
+    tail = byte(1) * 256 + F.when(F.octet_length(word) > 1, byte(2)).otherwise(0)
+    return F.pmod(F.shiftright(tail * 40_503, 4), F.lit(SHARED)).cast("int")
+
+
 def encoded(texts: list, index: dict[bytes, int]):
     """The texts' tokens one after the other: positions in ``index`` (-1: not there), class ids, starts, sizes, words."""
     words = [tokens(t) for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
     flat = list(chain.from_iterable(words))
     at = np.fromiter(map(index.get, flat, repeat(-1)), np.int64, len(flat))
+    ids = np.where((at < 0) | (at >= HEAD), HEAD + shared_class(flat), at)
     first = np.zeros(len(flat), bool)
     first[np.cumsum(sizes) - sizes] = True
-    return at, np.where((at < 0) | (at >= HEAD), RARE, at), first, sizes, flat
+    return at, ids, first, sizes, flat
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -152,7 +173,7 @@ def log_probability(docs: DataFrame, held: int = 2, folds: int = 7, rounds: int
     text = F.col("text").cast("string").cast("binary").alias("t")
     train = docs.where(fold != held)
     counts = common.cut(word_counts(train.select(text)))
-    total, distinct, n1, n2 = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     top = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()  # at most HEAD rows
     head = {bytes(r["word"]): i for i, r in enumerate(top)}
     often = counts.where((F.col("c") >= F.lit(common_share) * F.lit(total)) & (F.octet_length("word") <= common_bytes)).collect()  # at most 1 / common_share rows
@@ -160,9 +181,12 @@ def log_probability(docs: DataFrame, held: int = 2, folds: int = 7, rounds: int
     index = head | {w: HEAD + i for i, (w, _) in enumerate(often)}
     known = np.zeros(GROUPS * MEMBERS)
     known[:len(top)] = [r["c"] for r in top]
-    rare_total, rare_distinct = total - known.sum(), distinct - len(top)
-    unseen = max(n1, 1) / (max(n1, 1) + max(rare_total, 0)) if rare_total else 1.0
-    known[RARE] = rare_total
+    rest = counts.where(~F.col("word").isin(*[F.lit(w) for w in head])) if head else counts
+    once = np.zeros(SHARED)  # words of each shared class that were met once
+    for r in rest.groupBy(shared_class_of("word").alias("k")).agg(F.sum("c").alias("c"), F.count_if(F.col("c") == 1).alias("n1")).collect():  # at most SHARED rows
+        known[HEAD + r["k"]], once[r["k"]] = r["c"], r["n1"]
+    mass = known[HEAD:]
+    unseen = np.where(mass > 0, np.maximum(once, 1) / (np.maximum(once, 1) + mass), 1.0)
     model = Model(known)
 
     for r in range(rounds):  # each round learns from its own share of the training texts
@@ -193,11 +217,12 @@ def log_probability(docs: DataFrame, held: int = 2, folds: int = 7, rounds: int
         model = new
 
     denominator = float(total + distinct + 1)
-    inside = math.log10(max(1 - unseen, 1e-12)) - math.log10(max(rare_total, 1))  # plus log10(c): a known rare token
+    # log10 of the share of a shared class's known token, less log10(c); of its unseen tokens
+    inside, outside = np.log10(np.maximum(1 - unseen, 1e-12)) - np.log10(np.maximum(mass, 1)), np.log10(unseen)
     # by position in the index; the last entry stands for tokens outside it, which the join adds
     c_of = np.concatenate([known[:HEAD], [c for _, c in often], [0.0]])
     base_of, rare_of = np.log10((c_of + 1) / denominator), np.zeros(len(c_of))
-    rare_of[HEAD:-1] = inside + np.log10(c_of[HEAD:-1])
+    rare_of[HEAD:-1] = inside[shared_class([w for w, _ in often])] + np.log10(c_of[HEAD:-1])
     base_of[-1] = 0.0
     held_model = sc.broadcast((model, index, base_of, rare_of))
 
@@ -227,7 +252,8 @@ def log_probability(docs: DataFrame, held: int = 2, folds: int = 7, rounds: int
     keyed = scored.withColumn("key", F.coalesce("word", F.concat(F.lit("\n").cast("binary"), F.col("row").cast("string").cast("binary"))))
     joined = keyed.join(counts.withColumnRenamed("word", "key"), "key", "left")
     rare = F.col("word").isNotNull()
-    chance = F.when(F.col("c").isNull(), F.lit(math.log10(unseen))).otherwise(F.lit(inside) + F.log10("c"))
+    by_class = lambda v: F.get(F.array(*[F.lit(float(x)) for x in v]), shared_class_of("word"))
+    chance = F.when(F.col("c").isNull(), by_class(outside)).otherwise(by_class(inside) + F.log10("c"))
     sums = joined.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.col("n_known") + F.when(rare & F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("n_known"),

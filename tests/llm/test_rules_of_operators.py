@@ -2,6 +2,7 @@
 
 import math
 import time
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -262,3 +263,26 @@ def test_topk_clustered_hot_and_mixed(spark):
     for shard_rows, block_rows in ((10_000, 10), (100, 200_000), (60, 9)):
         got = topk.top_k(df, k=7, shard_rows=shard_rows, block_rows=block_rows).collect()
         assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in got} == want and len(got) == len(want)
+
+
+def test_rare_words_follow_their_context(spark):
+    from shopwright.llm import maxent
+    rng = np.random.default_rng(6)
+    stems = ["".join(rng.choice(list("bdfgklmnprst"), 2)) + "".join(rng.choice(list("aeiou"), 2)) + str(k) for k in range(3000)]
+
+    def text(first, second):
+        out = []
+        for _ in range(30):
+            out += [first, stems[int(rng.integers(0, 3000))] + "ung", second, stems[int(rng.integers(0, 3000))] + "ity"]
+        return " ".join(out)
+    rows = [(i, text("der", "the")) for i in range(1400)]
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 == 2]
+    swapped = [(10_000 + k, rows[i][1].replace("der ", "@ ").replace("the ", "der ").replace("@ ", "the ")) for k, i in enumerate(held)]
+    others = [(i, t) for i, t in swapped if zlib.crc32(str(i).encode()) % 7 == 2]  # held out as well
+    got = {r["doc_id"]: r for r in maxent.log_probability(spark.createDataFrame(rows + others, "doc_id long, text string").repartition(4).checkpoint()).collect()}
+    pairs = [(got[held[i - 10_000]], got[i]) for i, _ in others]
+    assert len(pairs) > 10 and all(abs(a["base_score"] - b["base_score"]) < 1e-6 * abs(a["base_score"]) for a, b in pairs)
+    # rare words that the model has hardly met alone, but whose kind the context tells
+    assert all(a["score"] - b["score"] > 0.1 * a["n_tokens"] for a, b in pairs)
+    assert maxent.shared_class([b"a", b"ung", "é".encode()]).tolist() == [r[0] for r in spark.createDataFrame(
+        [(bytearray(w),) for w in (b"a", b"ung", "é".encode())], "w binary").select(maxent.shared_class_of("w")).collect()]
