@@ -38,7 +38,7 @@ END = b"\n"  # no word holds white space
 GROUPS, MEMBERS, BITS = 16, 16, 12
 HEAD = 127  # tokens that are a class of their own
 SHARED = GROUPS * MEMBERS - HEAD  # classes of the others
-BATCH = 4_096
+BATCH = 16_384
 #: shared class by the number that a word's last two bytes make
 _CLASS = ((np.arange(1 << 16, dtype=np.int64) * 40_503) >> 4) % SHARED
 
@@ -60,10 +60,15 @@ def context(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
-    """In place: z belongs to the caller no more."""
-    z -= z.max(1, keepdims=True)
+    """In place, over a power of two of columns: z belongs to the caller no more."""
+    def fold(f, part: np.ndarray) -> np.ndarray:
+        while part.shape[1] > 1:  # halves against each other: short rows reduce slowly
+            half = part.shape[1] // 2
+            part = f(part[:, :half], part[:, half:])
+        return part
+    z -= fold(np.maximum, z)
     np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+    z /= fold(np.add, z)
     return z
 
 
@@ -88,11 +93,11 @@ class Model:
 
     def log10(self, feats: np.ndarray, ids: np.ndarray) -> np.ndarray:
         out = np.empty(len(ids))
-        for s in range(0, len(ids), 65_536):
-            i = ids[s:s + 65_536]
-            g, m, _, p1, p2 = self.parts(feats[s:s + 65_536], i)
+        for s in range(0, len(ids), BATCH):
+            i = ids[s:s + BATCH]
+            g, m, _, p1, p2 = self.parts(feats[s:s + BATCH], i)
             n = np.arange(len(i))
-            out[s:s + 65_536] = np.log10(np.maximum(p1[n, g].astype(np.float64) * p2[n, m], 1e-12))
+            out[s:s + BATCH] = np.log10(np.maximum(p1[n, g].astype(np.float64) * p2[n, m], 1e-12))
         return out
 
     def learn(self, feats: np.ndarray, ids: np.ndarray, rate: float) -> None:
@@ -103,12 +108,13 @@ class Model:
             p1[n, g] -= 1
             p2[n, m] -= 1
             for k in range(f.shape[1]):
-                for w, at, d in ((self.w1, f[:, k], p1), (self.w2, rows[:, k], p2)):
-                    at = at.astype(np.uint16)  # rows of either table; 16 bits sort by radix
-                    order = np.argsort(at, kind="stable")
-                    cut = np.flatnonzero(np.diff(at[order].astype(np.int64), prepend=-1))
+                # 16 bits sort by radix; the order by (feature, group) is one by feature too
+                order = np.argsort(rows[:, k].astype(np.uint16), kind="stable")
+                at = rows[order, k]
+                for w, part, d in ((self.w1, at // GROUPS, p1), (self.w2, at, p2)):
+                    cut = np.flatnonzero(np.diff(part, prepend=-1))
                     size = np.diff(cut, append=len(order))[:, None]
-                    w[at[order][cut]] -= rate * np.add.reduceat(d[order], cut, axis=0) / np.sqrt(size + 1.0)
+                    w[part[cut]] -= rate * np.add.reduceat(d[order], cut, axis=0) / np.sqrt(size + 1.0)
 
 
 def shared_class(words: list[bytes]) -> np.ndarray:
@@ -158,8 +164,8 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def log_probability(docs: DataFrame, held: int = 2, folds: int = 7, rounds: int = 2, rate: float = 0.05,
-                    common_share: float = 1e-6, common_bytes: int = 64) -> DataFrame:
+def log_probability(docs: DataFrame, held: int = 2, folds: int = 7, rounds: int = 2, rate: float = 0.08,
+                    common_share: float = 4e-7, common_bytes: int = 64) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Words of at most ``common_bytes`` bytes that make up at least

@@ -74,7 +74,7 @@ def test_kneser_ney_by_the_formulas(spark):
 
 
 def test_texts_scored_together_or_alone(spark):
-    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(TEXTS * 300)] + [(9, None, None, None, None), (10, "", "xx", None, 0)], DOC)
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(TEXTS * 300)] + [(9, None, None, None, None), (10, "", "xx", None, 0), (11, TEXTS[0] * 20_000, "en", "s", 0)], DOC)
     models = quality.train(df.select("lang", "text"), min_chars=10)
     held = spark.sparkContext.broadcast(models)
     by_text = defaultdict(set)
@@ -83,6 +83,19 @@ def test_texts_scored_together_or_alone(spark):
     assert all(len(v) <= 2 and max(v) - min(v) < 1e-9 for t, v in by_text.items() if t) and by_text[None] == by_text[""] == {None}
 
 
+def test_a_long_text_is_scored_in_slices():
+    text = "the cat sat on the mat. " * 40_000
+    parts = list(quality.blocks([quality.points(t) for t in ("a", "", text, "b c", text[:300_000])]))
+    assert all(sum(len(t) for _, t in p) <= quality.BLOCK + 3 for p in parts) and len(parts) >= 4
+    sizes = Counter()
+    for p in parts:
+        for i, t in p:
+            sizes[i] += len(t) - 3
+    assert sizes == {0: 1, 2: len(text), 3: 3, 4: 300_000}
+    joined = np.concatenate([t[3:] for p in parts for i, t in p if i == 2])
+    assert (joined == quality.points(text)[3:]).all()
+
+
 def test_quality_separates_another_script(spark):
     rng = np.random.default_rng(4)
     words = ["".join(rng.choice(list("аеиоу"), 1)[0] + rng.choice(list("бвгдклмнпрст"), 1)[0] for _ in range(int(rng.integers(1, 4)))) for _ in range(60)]
