@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import pct
 
@@ -94,35 +95,41 @@ class Unique(NamedTuple):
 
 
 def key_groups(tables: dict[str, DataFrame], uniques: list[Unique], refs: list[Reference]) -> DataFrame:
-    """(space, key, null_key, owners, c0, c1, ...): one row per key value of a key space.
+    """(space, k1, k2, null_key, owners, c0, c1, ...): one row per key value of a key space.
 
     A key space is a (table, columns) that is unique or referenced.  Each
     table is scanned once and emits a row per key space it owns and per
-    reference it holds; all of them meet in one aggregate on (space, key),
-    combined map-side, so a hot key or a widely referenced parent is never
-    gathered.  ``owners`` counts the owner's rows, ``cJ`` the rows of the
-    J-th reference into that space (references with a NULL part hold).
+    reference it holds; key values travel as 128-bit hashes.  All rows meet in
+    one aggregate on (space, key), combined map-side, so a hot key or a widely
+    referenced parent is never gathered.  ``owners`` counts the owner's rows,
+    ``cJ`` the rows of the J-th reference into that space (references with a
+    NULL part hold).
     """
     spaces: dict[tuple, int] = {}
     for t, cols in [(u.table, u.columns) for u in uniques] + [(r.parent, r.parent_columns) for r in refs]:
         spaces.setdefault((t, tuple(cols)), len(spaces))
     slots = reference_slots(refs)
 
-    def cell(space: int, cols: tuple[str, ...], slot: int) -> Column:
-        # -1 in slot: the owner of the key space
-        return F.struct(F.lit(space).alias("space"), F.array(*[F.col(c).cast("string") for c in cols]).alias("key"), F.lit(slot).alias("slot"))
+    def cell(t: str, space: int, cols: tuple[str, ...], slot: int) -> Column:
+        # -1 in slot: the owner of the key space; whole numbers of any width hash alike
+        values = []
+        for c in cols:
+            whole = isinstance(tables[t].schema[c].dataType, T.IntegralType)
+            values += [F.col(c).cast("long" if whole else "string"), F.col(c).isNull()]
+        null_key = reduce(lambda x, y: x | y, values[1::2])
+        return F.struct(F.lit(space).alias("space"), F.xxhash64(*values).alias("k1"), F.xxhash64(F.lit("second"), *values).alias("k2"),
+                        null_key.alias("null_key"), F.lit(slot).alias("slot"))
     emitted: dict[str, list[Column]] = {}
     for (t, cols), space in spaces.items():
-        emitted.setdefault(t, []).append(cell(space, cols, -1))
+        emitted.setdefault(t, []).append(cell(t, space, cols, -1))
     for r, slot in zip(refs, slots):
-        emitted.setdefault(r.table, []).append(cell(spaces[r.parent, tuple(r.parent_columns)], r.columns, slot))
+        emitted.setdefault(r.table, []).append(cell(r.table, spaces[r.parent, tuple(r.parent_columns)], r.columns, slot))
     parts = [tables[t].select(F.explode(F.array(*cells)).alias("x")).select("x.*") for t, cells in emitted.items()]
     rows = reduce(DataFrame.unionByName, parts)
-    null_key = F.exists("key", lambda k: k.isNull())
-    used = rows.where((F.col("slot") < 0) | ~null_key)
-    return used.groupBy("space", "key").agg(
+    used = rows.where((F.col("slot") < 0) | ~F.col("null_key"))
+    return used.groupBy("space", "k1", "k2", "null_key").agg(
         F.count_if(F.col("slot") < 0).alias("owners"),
-        *[F.count_if(F.col("slot") == j).alias(f"c{j}") for j in range(max(slots, default=-1) + 1)]).withColumn("null_key", null_key)
+        *[F.count_if(F.col("slot") == j).alias(f"c{j}") for j in range(max(slots, default=-1) + 1)])
 
 
 def reference_slots(refs: list[Reference]) -> list[int]:
