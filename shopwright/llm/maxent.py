@@ -85,10 +85,10 @@ class Model:
     def parts(self, feats: np.ndarray, ids: np.ndarray):
         g, m = ids // MEMBERS, ids % MEMBERS
         rows = feats * GROUPS + g[:, None]
-        z1, z2 = self.b1 + self.w1[feats[:, 0]], self.b2[g] + self.w2[rows[:, 0]]
-        for k in range(1, feats.shape[1]):
-            z1 += self.w1[feats[:, k]]
-            z2 += self.w2[rows[:, k]]
+        z1, z2 = np.tile(self.b1, (len(g), 1)), self.b2.take(g, 0)
+        for k in range(feats.shape[1]):
+            z1 += self.w1.take(feats[:, k], 0)
+            z2 += self.w2.take(rows[:, k], 0)
         return g, m, rows, softmax(z1), softmax(z2)
 
     def log10(self, feats: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -114,7 +114,7 @@ class Model:
                 for w, part, d in ((self.w1, at // GROUPS, p1), (self.w2, at, p2)):
                     cut = np.flatnonzero(np.diff(part, prepend=-1))
                     size = np.diff(cut, append=len(order))[:, None]
-                    w[part[cut]] -= rate * np.add.reduceat(d[order], cut, axis=0) / np.sqrt(size + 1.0)
+                    w[part[cut]] -= np.add.reduceat(d.take(order, 0), cut, axis=0) * (rate / np.sqrt(size + 1.0)).astype(np.float32)
 
 
 def shared_class(words: list[bytes]) -> np.ndarray:
@@ -134,13 +134,15 @@ def shared_class_of(word: str) -> Column:
     return F.pmod(F.shiftright(tail * 40_503, 4), F.lit(SHARED)).cast("int")
 
 
-def encoded(texts: list, index: dict[bytes, int]):
-    """The texts' tokens one after the other: positions in ``index`` (-1: not there), class ids, starts, sizes, words."""
+def encoded(texts: list, index: dict[bytes, int], classes: np.ndarray):
+    """The texts' tokens one after the other: positions in ``index`` (-1: not there), class ids
+    (``classes``: by position), starts, sizes, words."""
     words = [tokens(t) for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
     flat = list(chain.from_iterable(words))
     at = np.fromiter(map(index.get, flat, repeat(-1)), np.int64, len(flat))
-    ids = np.where((at < 0) | (at >= HEAD), HEAD + shared_class(flat), at)
+    ids, other = classes[at], np.flatnonzero(at < 0)
+    ids[other] = HEAD + shared_class([flat[j] for j in other.tolist()])
     first = np.zeros(len(flat), bool)
     first[np.cumsum(sizes) - sizes] = True
     return at, ids, first, sizes, flat
@@ -203,7 +205,7 @@ def log_probability(docs: DataFrame, held: int = 2, folds: int = 7, rounds: int
             own = Model(known)
             own.w1, own.w2 = base.w1.copy(), base.w2.copy()
             for b in batches:
-                _, ids, first, _, _ = encoded(b.column(0).to_pylist(), ids_of)
+                _, ids, first, _, _ = encoded(b.column(0).to_pylist(), ids_of, np.arange(HEAD))
                 own.learn(context(ids, first), ids, rate)
             for kind, a, z in ((1, own.w1, base.w1), (2, own.w2, base.w2)):
                 d = a - z
@@ -228,17 +230,19 @@ def log_probability(docs: DataFrame, held: int = 2, folds: int = 7, rounds: int
     # by position in the index; the last entry stands for tokens outside it, which the join adds
     c_of = np.concatenate([known[:HEAD], [c for _, c in often], [0.0]])
     base_of, rare_of = np.log10((c_of + 1) / denominator), np.zeros(len(c_of))
-    rare_of[HEAD:-1] = inside[shared_class([w for w, _ in often])] + np.log10(c_of[HEAD:-1])
+    shared = shared_class([w for w, _ in often])
+    classes = np.concatenate([np.arange(HEAD), HEAD + shared])
+    rare_of[HEAD:-1] = inside[shared] + np.log10(c_of[HEAD:-1])
     base_of[-1] = 0.0
-    held_model = sc.broadcast((model, index, base_of, rare_of))
+    held_model = sc.broadcast((model, index, classes, base_of, rare_of))
 
     def score(batches):
-        m, index_of, base, rare = held_model.value
+        m, index_of, class_of, base, rare = held_model.value
         names = ["row", "doc_id", "word", "n", "n_tokens", "n_known", "base", "model"]
         for b in batches:
             for start in range(0, b.num_rows, 100):
                 part = b.slice(start, 100)
-                at, ids, first, sizes, flat = encoded(part.column(0).to_pylist(), index_of)
+                at, ids, first, sizes, flat = encoded(part.column(0).to_pylist(), index_of, class_of)
                 cuts, row = np.cumsum(sizes) - sizes, part.column(1).to_numpy(zero_copy_only=False)
                 none = pa.nulls(len(row), pa.binary())
                 yield pa.RecordBatch.from_arrays(
