@@ -5,11 +5,12 @@ they stand (but for the ASCII digits, which count as one).  Spark holds every co
 continuation counts of the lower orders, totals and counts-of-counts of each
 context.  Joins of those tables on the context and on the suffix give the
 interpolated probability of every seen n-gram and the back-off weight of every
-seen context.  The trusted sample is bounded (``max_trusted`` ids and
-``max_chars`` characters), so the finished tables have at most four entries a
-character and are a bounded broadcast: a document's n-grams meet them where the
-text is, and no text is shuffled.  Every second trusted id estimates the model,
-the others the thresholds: the ``quantile`` of their perplexities per language.
+seen context.  All trusted text is used: every second trusted id, in hash
+order, estimates the model, the others the thresholds: the ``quantile`` of their
+perplexities per language.  Finished tables of at most ``MOST`` entries are a
+bounded broadcast: a document's n-grams meet them where the text is, and no text
+is shuffled.  Larger ones stay sharded and are joined with the n-grams of the
+documents.
 
 Nulls and edge cases: a null or empty text has a null perplexity and is
 rejected; a null language, or one with less than ``min_chars`` characters to
@@ -22,17 +23,24 @@ named like a result are replaced; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
+from ..functions.keys import with_dense_key
 
 ORDER, POOL, PAD = 4, "*", "\n\n\n"
 #: characters counted or scored at a time
 BLOCK = 250_000
+#: entries of the finished tables that are broadcast, at most
+MOST = 2_000_000
+#: trusted ids that are broadcast, at most
+FEW = 1_000_000
 
 
 def points(text: str) -> np.ndarray:
@@ -68,6 +76,19 @@ def _codes(ids: np.ndarray, order: int) -> np.ndarray:
 
 # ---------------------------------------------------------------------- estimation
 
+def grams_of(part: list[np.ndarray]) -> tuple[list[str], np.ndarray]:
+    """The different 4-grams of some texts' points and how often each occurs."""
+    alphabet, ids = np.unique(np.concatenate(part), return_inverse=True)
+    rows = np.lib.stride_tricks.sliding_window_view(ids, ORDER)
+    inside = np.ones(len(rows), bool)  # no window reaches from one text into the next
+    for k in range(1, ORDER):
+        inside[np.cumsum([len(t) for t in part])[:-1] - k] = False
+    rows = rows[inside]
+    seen, n = np.unique(rows, axis=0, return_counts=True) if len(alphabet) > 0xFFFF else _unique(rows)
+    grams = np.ascontiguousarray(alphabet[seen].astype("<u4")).tobytes().decode("utf-32-le", "surrogatepass")
+    return [grams[k:k + ORDER].encode("utf-8", "replace").decode() for k in range(0, len(grams), ORDER)], n
+
+
 def count_grams(trusted: DataFrame) -> DataFrame:
     """(lang, gram, n): 4-gram counts per language and for all together."""
     def count(batches):
@@ -78,16 +99,7 @@ def count_grams(trusted: DataFrame) -> DataFrame:
                     by_lang.setdefault(lang, []).append(points(text))
             for lang, texts in by_lang.items():
                 for block in blocks(texts):
-                    part = [t for _, t in block]
-                    alphabet, ids = np.unique(np.concatenate(part), return_inverse=True)
-                    rows = np.lib.stride_tricks.sliding_window_view(ids, ORDER)
-                    inside = np.ones(len(rows), bool)  # no window reaches from one text into the next
-                    for k in range(1, ORDER):
-                        inside[np.cumsum([len(t) for t in part])[:-1] - k] = False
-                    rows = rows[inside]
-                    seen, n = np.unique(rows, axis=0, return_counts=True) if len(alphabet) > 0xFFFF else _unique(rows)
-                    grams = np.ascontiguousarray(alphabet[seen].astype("<u4")).tobytes().decode("utf-32-le", "surrogatepass")
-                    grams = [grams[k:k + ORDER].encode("utf-8", "replace").decode() for k in range(0, len(grams), ORDER)]
+                    grams, n = grams_of([t for _, t in block])
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(grams, pa.string()), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
     rows = (trusted.where("text is not null").select(F.coalesce("lang", F.lit(POOL)).alias("lang"), "text")
             .mapInArrow(count, "lang string, gram string, n long"))
@@ -202,9 +214,14 @@ class Model:
 
 
 def train(trusted: DataFrame, min_chars: int = 20_000) -> dict[str, Model]:
-    """language -> model; ``*`` holds all languages together.  Bounded by the trusted text (see above)."""
+    """language -> model; ``*`` holds all languages together."""
+    return load(estimate(common.cut(count_grams(trusted)), min_chars))
+
+
+def load(tables: list[DataFrame]) -> dict[str, Model]:
+    """The models of :func:`estimate`'s frames, on the driver (at most MOST entries: see :func:`scorer`)."""
     orders: dict[str, list] = {}
-    for frame in estimate(common.cut(count_grams(trusted)), min_chars):
+    for frame in tables:
         table = frame.toArrow()
         for lang in table["lang"].unique().to_pylist():
             part = table.filter(pc.equal(table["lang"], lang))
@@ -248,8 +265,54 @@ def score(docs: DataFrame, held) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def score_sharded(docs: DataFrame, tables: list[DataFrame], names: list[str]) -> DataFrame:
+    """:func:`score` by joins with the tables of :func:`estimate`, of any size:
+    the different n-grams of the documents meet each order once, then the
+    documents that hold them.  Equal texts are scored once."""
+    name = F.when(F.col("lang").isin(names), F.col("lang")).when(F.lit(POOL in names), F.lit(POOL))
+    marked = docs.withColumn("_model", name).withColumn("_text", F.md5("text"))
+
+    def count(batches):
+        for b in batches:
+            for model, key, text in zip(*[b.column(i).to_pylist() for i in range(3)]):
+                for block in blocks([points(text)]):
+                    grams, n = grams_of([t for _, t in block])
+                    yield pa.RecordBatch.from_arrays([pa.array([model] * len(n), pa.string()), pa.array([key] * len(n), pa.string()),
+                                                      pa.array(grams, pa.string()), pa.array(n.astype(np.int64))], ["_model", "_text", "gram", "n"])
+    texts = marked.where("_model is not null and text <> ''").select("_model", "_text", "text").dropDuplicates(["_model", "_text"])
+    held = common.cut(texts.mapInArrow(count, "_model string, _text string, gram string, n long"))
+    logs = held.select("_model", "gram").distinct()
+    for k in range(1, ORDER + 1):  # p of the last k characters, weight of the k - 1 before the last one
+        t = tables[k].select(F.col("lang").alias("_model"), F.col("gram").alias(f"_g{k}"), F.log10("p").alias(f"_p{k}"))
+        logs = logs.withColumn(f"_g{k}", F.expr(f"substring(gram, {ORDER + 1 - k}, {k})")).join(t, ["_model", f"_g{k}"], "left")
+        if k > 1:
+            w = tables[k - 1].select(F.col("lang").alias("_model"), F.col("gram").alias(f"_c{k}"), F.when(F.col("back") > 0, F.log10("back")).alias(f"_b{k}"))
+            logs = logs.withColumn(f"_c{k}", F.expr(f"substring(gram, {ORDER + 1 - k}, {k - 1})")).join(w, ["_model", f"_c{k}"], "left")
+    unseen = tables[0].select(F.col("lang").alias("_model"), F.log10("p").alias("_log"))  # one row a language
+    logs = logs.join(F.broadcast(unseen), "_model")
+    value = F.coalesce("_p1", "_log")
+    for k in range(2, ORDER + 1):
+        value = F.coalesce(F.col(f"_p{k}"), F.coalesce(f"_b{k}", F.lit(0.0)) + value)
+    sums = (held.join(logs.select("_model", "gram", value.alias("_v")), ["_model", "gram"]).groupBy("_model", "_text")
+            .agg(F.sum(F.col("n") * F.col("_v")).alias("_sum"), F.sum("n").alias("_n")))
+    found = sums.select("_model", "_text", F.pow(F.lit(10.0), -F.col("_sum") / F.col("_n")).alias("perplexity"))
+    return marked.join(found, ["_model", "_text"], "left").select(*docs.columns, "perplexity")
+
+
+def scorer(spark: SparkSession, tables: list[DataFrame]) -> tuple[Callable[[DataFrame], DataFrame], list[str]]:
+    """(documents -> documents with perplexity, the models' names) for the frames of :func:`estimate`."""
+    tables = [common.cut(t) for t in tables]
+    sizes = [t.count() for t in tables]
+    names = [r[0] for r in tables[0].select("lang").collect()] if tables else []  # one row a language
+    if sum(sizes) <= MOST and (not tables or tables[1].select("gram").distinct().count() < 0xFFFF):
+        held = spark.sparkContext.broadcast(load(tables))
+        return lambda docs: score(docs, held), names
+    return lambda docs: score_sharded(docs, tables, names), names
+
+
 def sample(docs: DataFrame, labels: DataFrame, max_trusted: int, max_chars: int) -> list[int]:
-    """The trusted ids, in hash order: at most max_trusted and, beyond the first, max_chars characters."""
+    """Trusted ids, in hash order, to look at: at most max_trusted and, beyond
+    the first, max_chars characters (:func:`classify` uses all: :func:`trusted_ids`)."""
     good = (labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_good")).distinct()
             .orderBy(F.xxhash64("_good"), "_good").limit(max_trusted))
     texts = docs.select(F.col("doc_id").alias("_id"), "text")
@@ -265,29 +328,40 @@ def sample(docs: DataFrame, labels: DataFrame, max_trusted: int, max_chars: int)
     return out
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, max_trusted: int = 20_000, max_chars: int = 20_000_000) -> DataFrame:
+def trusted_ids(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(_good, _learn): all ids of documents that ``labels`` gives quality 1; in
+    hash order every second one, from the first on, is to be learned from."""
+    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_good")).distinct()
+    held = good.join(docs.select(F.col("doc_id").alias("_good")), "_good", "left_semi").withColumn("_h", F.xxhash64("_good"))
+    return with_dense_key(held, ["_h", "_good"], "_place").select("_good", (F.col("_place") % 2 == 1).alias("_learn"))
+
+
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995) -> DataFrame:
     """The documents with perplexity, threshold and ``keep``.
 
-    Trusted text: documents that ``labels`` gives quality 1, within the bounds
-    of :func:`sample`.
+    Trusted text: all documents that ``labels`` gives quality 1.
     """
     spark = docs.sparkSession
     common.prepare(spark)
     docs = docs.drop("perplexity", "threshold", "keep")
-    ids = sample(docs, labels, max_trusted, max_chars)
-
-    def trusted(which: list[int]) -> DataFrame:
-        wanted = F.broadcast(spark.createDataFrame([(i,) for i in which], "_good long"))  # bounded: see sample()
-        return docs.select(F.col("doc_id").alias("_id"), "lang", "text").join(wanted, F.col("_id") == F.col("_good"), "left_semi").select("lang", "text")
-    learn, judge = ids[::2], ids[1::2] or ids
-    models = train(trusted(learn)) if learn else {}
-    held = spark.sparkContext.broadcast(models)
+    ids = common.cut(trusted_ids(docs, labels))
+    n = ids.count()
+    few = n <= FEW
+    texts = docs.select(F.col("doc_id").alias("_id"), "lang", "text")
+
+    def trusted(rows: DataFrame, which: DataFrame) -> DataFrame:
+        wanted = which.select("_good")
+        return rows.join(F.broadcast(wanted) if few else wanted, F.col("_id") == F.col("_good"), "left_semi").drop("_id")
+    learn, judge = ids.where("_learn"), ids.where("not _learn") if n > 1 else ids
+    scored, names = scorer(spark, estimate(common.cut(count_grams(trusted(texts, learn)))) if n else [])
     q = F.percentile_approx("perplexity", quantile, 10_000)
-    known = common.cut(score(trusted(judge), held).select("lang", "perplexity"))
-    by_lang = {r[0]: r[1] for r in known.where("lang is not null").groupBy("lang").agg(q.alias("q")).collect() if r[0] in models}  # one row a language
+    # many ids are joined with the scores, not with the texts
+    known = scored(trusted(texts, judge)) if few else trusted(scored(texts).select("_id", "lang", "perplexity"), judge)
+    known = common.cut(known.select("lang", "perplexity"))
+    by_lang = {r[0]: r[1] for r in known.where("lang is not null").groupBy("lang").agg(q.alias("q")).collect() if r[0] in names}  # one row a language
     limit = F.lit(known.agg(q.alias("q")).first()[0]).cast("double")
     for lang, v in by_lang.items():
         limit = F.when(F.col("lang") == lang, F.lit(v)).otherwise(limit)
-    return (score(docs, held).withColumn("threshold", limit)
+    return (scored(docs).withColumn("threshold", limit)
             .withColumn("keep", F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, False)
                         .otherwise(F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))))

@@ -299,3 +299,31 @@ def test_rare_words_follow_their_context(spark):
     assert all(a["score"] - b["score"] > 0.1 * a["n_tokens"] for a, b in pairs)
     assert maxent.shared_class([b"a", b"ung", "é".encode()]).tolist() == [r[0] for r in spark.createDataFrame(
         [(bytearray(w),) for w in (b"a", b"ung", "é".encode())], "w binary").select(maxent.shared_class_of("w")).collect()]
+
+
+def test_quality_learns_from_all_trusted_text(spark):
+    from pyspark.sql import functions as F
+    # 20,001 trusted ids: more than the 20,000 that once were taken
+    docs = spark.range(20_001).select(F.col("id").alias("doc_id"), F.lit("ab cd").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(5).alias("n_chars"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    ids = quality.trusted_ids(docs, labels).collect()
+    assert len(ids) == 20_001 and sum(r["_learn"] for r in ids) == 10_001
+    want = quality.sample(docs, labels, 30_000, 10 ** 9)
+    assert sorted(want[::2]) == sorted(r["_good"] for r in ids if r["_learn"])
+
+
+def test_quality_of_tables_too_large_to_broadcast(spark, monkeypatch):
+    rows = [(i, t, ("en", "ru", None)[i % 3], "s", 0) for i, t in enumerate([*TEXTS, "zebra 99 ЖЖЖ the", "日本語", "", "the cat"] * 9)] + [(200 + i, f"the cat {i} sat on the mat. " * 1_500, "en", "s", 0) for i in range(4)] + [(None, None, "en", None, None)]
+    docs = spark.createDataFrame(rows, DOC)
+    labels = spark.createDataFrame([(i, 1) for i in [*range(40), 200, 201, 202, 203]], "doc_id long, quality int")
+
+    def found():
+        return sorted(((r["doc_id"] is None, r["doc_id"]), r["perplexity"], r["threshold"], r["keep"]) for r in quality.classify(docs, labels).collect())
+    whole = found()
+    monkeypatch.setattr(quality, "MOST", 0)
+    sharded = found()
+    monkeypatch.setattr(quality, "FEW", 0)
+    assert len(whole) == len(rows)
+    for other in (sharded, found()):
+        for a, b in zip(whole, other, strict=True):
+            assert a[0] == b[0] and a[3] == b[3] and (a[1] is b[1] is None or math.isclose(a[1], b[1], rel_tol=1e-9)) and math.isclose(a[2], b[2], rel_tol=1e-9)
