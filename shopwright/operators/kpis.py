@@ -12,7 +12,7 @@ Patterns used throughout:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import pct, ratio
@@ -538,14 +538,21 @@ def high_value_products(fim: DataFrame, products: DataFrame, n: int = 20) -> Dat
     return g.orderBy(F.desc("inventory_value"), "product_id").limit(n)
 
 
+def _stockouts(fim: DataFrame, key: str, *more: Column) -> DataFrame:
+    """Rows, rows with a stockout and stockout days per ``key``, summed before
+    the dimension is joined: the months of the inventory are not shuffled."""
+    return fim.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), count_if(F.col("had_stockout")).alias("_out"),
+                                F.sum("stockout_days").alias("_days"), *more)
+
+
 def stockout_products(fim: DataFrame, products: DataFrame, n: int = 20) -> DataFrame:
     """K-24: products with stockouts, most stockout days first."""
-    s = F.col("had_stockout")
-    g = (fim.join(products.select("product_key", "product_id", "product_category_name"), "product_key")
+    per = _stockouts(fim, "product_key", F.sum("sold_qty").alias("_sold"))
+    g = (per.join(products.select("product_key", "product_id", "product_category_name"), "product_key")
          .groupBy("product_id", "product_category_name")
-         .agg(F.count(F.lit(1)).alias("snapshot_rows"), count_if(s).alias("stockout_rows"),
-              F.sum("stockout_days").alias("stockout_days"),
-              pct(F.count_if(s), F.count(F.lit(1))).alias("stockout_row_rate_pct"), F.sum("sold_qty").alias("units_sold")))
+         .agg(F.sum("_rows").alias("snapshot_rows"), F.sum("_out").alias("stockout_rows"),
+              F.sum("_days").alias("stockout_days"),
+              pct(F.sum("_out"), F.sum("_rows")).alias("stockout_row_rate_pct"), F.sum("_sold").alias("units_sold")))
     return (g.filter(F.col("stockout_rows") > 0)
             .orderBy(F.desc("stockout_days"), F.desc("stockout_row_rate_pct"), "product_id").limit(n))
 
@@ -614,11 +621,10 @@ def supplier_concentration(foi: DataFrame, status: DataFrame, tops: tuple[int, .
 def supplier_stockouts(fim: DataFrame, suppliers: DataFrame, n: int = 20) -> DataFrame:
     """K-28."""
     attrs = ["supplier_id", "supplier_name", "supplier_rating", "standard_lead_time_days", "contractual_fill_rate_pct"]
-    s = F.col("had_stockout")
-    g = (fim.join(suppliers.select("supplier_key", *attrs), "supplier_key").groupBy(*attrs)
-         .agg(F.count(F.lit(1)).alias("inventory_snapshot_rows"), count_if(s).alias("stockout_rows"),
-              F.sum("stockout_days").alias("stockout_days"),
-              pct(F.count_if(s), F.count(F.lit(1))).alias("stockout_row_rate_pct")))
+    g = (_stockouts(fim, "supplier_key").join(suppliers.select("supplier_key", *attrs), "supplier_key").groupBy(*attrs)
+         .agg(F.sum("_rows").alias("inventory_snapshot_rows"), F.sum("_out").alias("stockout_rows"),
+              F.sum("_days").alias("stockout_days"),
+              pct(F.sum("_out"), F.sum("_rows")).alias("stockout_row_rate_pct")))
     return (g.filter(F.col("stockout_rows") > 0)
             .orderBy(F.desc("stockout_days"), F.desc("stockout_row_rate_pct"), "supplier_id").limit(n))
 
