@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import pct, ratio
-from ..functions.measures import MEASURES, count_if, mean, money_sum
+from ..functions.measures import MEASURES, count_if, mean, money_sum, month_rows
 
 
 def delivered(fact: DataFrame, status: DataFrame, value: str = "delivered") -> DataFrame:
@@ -313,14 +313,13 @@ def plan_attainment(fo: DataFrame, plan: DataFrame, dates: DataFrame, status: Da
 def inventory_kpis(fim: DataFrame, dates: DataFrame) -> DataFrame:
     """K-11: period metrics x latest snapshot (semi-additive: balances are
     summed over stores and products on the latest date only)."""
+    out, below = F.col("had_stockout"), F.col("is_below_reorder_point")
     period = fim.agg(
-        F.count(F.lit(1)).alias("inventory_snapshot_rows"), F.countDistinct("product_key").alias("inventory_products"),
+        month_rows(fim).alias("inventory_snapshot_rows"), F.countDistinct("product_key").alias("inventory_products"),
         F.countDistinct("store_key").alias("inventory_stores"), F.sum("sold_qty").alias("units_sold"),
         F.sum("received_qty").alias("units_received"), F.sum("stockout_days").alias("total_stockout_days"),
-        count_if(F.col("had_stockout")).alias("stockout_rows"),
-        pct(F.count_if(F.col("had_stockout")), F.count(F.lit(1))).alias("stockout_row_rate_pct"),
-        count_if(F.col("is_below_reorder_point")).alias("below_reorder_rows"),
-        pct(F.count_if(F.col("is_below_reorder_point")), F.count(F.lit(1))).alias("below_reorder_rate_pct"))
+        month_rows(fim, out).alias("stockout_rows"), pct(month_rows(fim, out), month_rows(fim)).alias("stockout_row_rate_pct"),
+        month_rows(fim, below).alias("below_reorder_rows"), pct(month_rows(fim, below), month_rows(fim)).alias("below_reorder_rate_pct"))
     cur = current_inventory(fim).join(
         F.broadcast(dates.select(F.col("date_key").alias("snapshot_date_key"),
                                  F.col("full_date").alias("current_inventory_date"))), "snapshot_date_key")
@@ -333,9 +332,15 @@ def inventory_kpis(fim: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def current_inventory(fim: DataFrame) -> DataFrame:
-    """Rows of the latest snapshot: a one-row max, broadcast into a semi join."""
-    latest = fim.agg(F.max("snapshot_date_key").alias("snapshot_date_key"))
-    return fim.join(F.broadcast(latest), "snapshot_date_key", "left_semi")
+    """Rows of the latest snapshot: those (of spans: that reach up to) a one-row max, broadcast into a semi join."""
+    last = _last_key(fim)
+    latest = fim.agg(F.max(last).alias("_latest"))
+    rows = fim.join(F.broadcast(latest), F.col(last) == F.col("_latest"), "left_semi")
+    return rows if last == "snapshot_date_key" else rows.withColumn("snapshot_date_key", F.col(last)).drop("months", last)
+
+
+def _last_key(fim: DataFrame) -> str:
+    return "last_date_key" if "last_date_key" in fim.columns else "snapshot_date_key"
 
 
 def supplier_performance(foi: DataFrame, suppliers: DataFrame, status: DataFrame, n: int = 15) -> DataFrame:
@@ -520,10 +525,10 @@ def stockout_by_store(fim: DataFrame, stores: DataFrame) -> DataFrame:
     s, b = F.col("had_stockout"), F.col("is_below_reorder_point")
     return (fim.join(F.broadcast(stores.select("store_key", "store_id", "store_name", "store_format")), "store_key")
             .groupBy("store_id", "store_name", "store_format")
-            .agg(F.count(F.lit(1)).alias("inventory_snapshot_rows"), F.sum("stockout_days").alias("stockout_days"),
-                 count_if(s).alias("stockout_rows"), pct(F.count_if(s), F.count(F.lit(1))).alias("stockout_row_rate_pct"),
-                 count_if(b).alias("below_reorder_rows"),
-                 pct(F.count_if(b), F.count(F.lit(1))).alias("below_reorder_rate_pct"))
+            .agg(month_rows(fim).alias("inventory_snapshot_rows"), F.sum("stockout_days").alias("stockout_days"),
+                 month_rows(fim, s).alias("stockout_rows"), pct(month_rows(fim, s), month_rows(fim)).alias("stockout_row_rate_pct"),
+                 month_rows(fim, b).alias("below_reorder_rows"),
+                 pct(month_rows(fim, b), month_rows(fim)).alias("below_reorder_rate_pct"))
             .orderBy(F.desc("stockout_row_rate_pct"), F.desc("stockout_days"), "store_id"))
 
 
@@ -541,7 +546,7 @@ def high_value_products(fim: DataFrame, products: DataFrame, n: int = 20) -> Dat
 def _stockouts(fim: DataFrame, key: str, *more: Column) -> DataFrame:
     """Rows, rows with a stockout and stockout days per ``key``, summed before
     the dimension is joined: the months of the inventory are not shuffled."""
-    return fim.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), count_if(F.col("had_stockout")).alias("_out"),
+    return fim.groupBy(key).agg(month_rows(fim).alias("_rows"), month_rows(fim, F.col("had_stockout")).alias("_out"),
                                 F.sum("stockout_days").alias("_days"), *more)
 
 
@@ -561,13 +566,13 @@ def slow_movers(fim: DataFrame, dates: DataFrame, stores: DataFrame, products: D
                 months: int = 3, n: int = 30) -> DataFrame:
     """K-25: stock on hand with no sales in the last ``months`` months."""
     d = F.broadcast(dates.select(F.col("date_key").alias("snapshot_date_key"), "full_date"))
-    f = fim.join(d, "snapshot_date_key")
-    latest = f.agg(F.max("full_date").alias("_latest"))
-    f = f.crossJoin(F.broadcast(latest))  # one-row relation
-    recent = (f.filter(F.col("full_date") >= F.add_months("_latest", -(months - 1)))
+    latest = (fim.agg(F.max(_last_key(fim)).alias("snapshot_date_key")).join(d, "snapshot_date_key")
+              .select(F.col("full_date").alias("_latest")))
+    # only rows that sold count: the quiet months of a span need no place in the calendar
+    recent = (fim.filter(F.col("sold_qty") != 0).join(d, "snapshot_date_key").crossJoin(F.broadcast(latest))  # one-row relation
+              .filter(F.col("full_date") >= F.add_months("_latest", -(months - 1)))
               .groupBy("store_key", "product_key").agg(F.sum("sold_qty").alias("_recent")))
-    cur = f.filter(F.col("full_date") == F.col("_latest")).select(
-        "store_key", "product_key", "closing_stock_qty", "estimated_closing_inventory_value")
+    cur = current_inventory(fim).select("store_key", "product_key", "closing_stock_qty", "estimated_closing_inventory_value")
     out = (cur.join(recent, ["store_key", "product_key"], "left")
            .withColumn(f"last_{months}_month_units_sold", F.coalesce("_recent", F.lit(0)).cast("long"))
            .filter((F.col("closing_stock_qty") > 0) & (F.col(f"last_{months}_month_units_sold") == 0))
