@@ -4,9 +4,10 @@ A bounded sample of the vectors serves as pivots; every vector joins the cell
 of its nearest pivot, and a cell beyond ``shard_rows`` is split by a hash of the
 id, so shards hold near vectors and none grows with a hot vector.  A task
 streams one shard: its vectors first, of which it builds a ball tree once, then
-the queries, one batch at a time.  Nodes are visited in falling order of the
-bound  <q, centre> + |q| * radius  and dropped once the bound is below the
-query's k-th score.  A first round searches each query in the shard that it
+the queries, one batch at a time.  A batch goes down the tree together, every
+query first to the leaf that its bounds  <q, centre> + |q| * radius  lead to,
+then all to the nodes whose bound reaches their k-th score; a leaf is scored by
+one matrix product.  A first round searches each query in the shard that it
 lies in; the k-th score found there is shared with the second round, which
 sends a query only to the cells whose ball (pivot, largest distance) can hold
 an equal or higher score.  Candidates are copied once for each ``block_rows``
@@ -21,7 +22,6 @@ id; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import heapq
 import math
 
 import numpy as np
@@ -31,15 +31,15 @@ from pyspark.sql import functions as F
 
 from . import common
 
-LEAF = 128
+LEAF, HITS = 512, 8192
 
 
 def build(x: np.ndarray, rows: np.ndarray) -> tuple:
-    """(centre, radius, rows or None, children)."""
+    """(centre, radius, rows in order or None, children)."""
     centre = x[rows].mean(0)
     radius = float(np.sqrt(((x[rows] - centre) ** 2).sum(1).max()))
     if len(rows) <= LEAF or radius == 0:
-        return centre, radius, rows, ()
+        return centre, radius, np.sort(rows), ()
     far = x[rows[((x[rows] - centre) ** 2).sum(1).argmax()]]
     other = x[rows[((x[rows] - far) ** 2).sum(1).argmax()]]
     side = x[rows] @ (other - far)
@@ -48,28 +48,82 @@ def build(x: np.ndarray, rows: np.ndarray) -> tuple:
     return centre, radius, None, (build(x, rows[cut[:half]]), build(x, rows[cut[half:]]))
 
 
-def search(tree: tuple, x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: int, k: int, floor: int) -> list[tuple[int, int]]:
-    """At most k (score, id) with score >= floor, best first."""
-    norm = float(np.sqrt(q @ q))
-    best: list[tuple[int, int]] = []  # heap of (score, -id)
-    bound = lambda n: float(q @ n[0]) + norm * n[1]
-    queue, tick = [(-bound(tree), 0, tree)], 0
-    while queue:
-        b, _, node = heapq.heappop(queue)
-        least = max(floor, best[0][0]) if len(best) == k else floor
-        if -b + 1e-6 * (1 + abs(b)) < least:
-            break
+class Search:
+    """The best ``k`` of a tree's vectors ``x``, in the order of their ``ids``,
+    for a batch of queries ``q``; only scores from a query's ``floor`` on.
+
+    The queries go down the tree together; at a node those stay whose bound
+    reaches their k-th score so far, and a leaf is one matrix product.
+    """
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray):
+        self.x, self.ids, self.q, self.own, self.k = x, ids, q, own, k
+        self.norm = np.sqrt((q * q).sum(1))
+        self.least = floor.astype(np.float64)
+        self.last = np.full(len(q), np.iinfo(np.int64).max)  # a score that equals ``least`` counts below this id
+        self.home: dict[int, np.ndarray] = {}
+        self.best = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))  # query, score, id
+        self.new, self.n_new = [], 0
+
+    def bound(self, node: tuple, at: np.ndarray) -> np.ndarray:
+        return self.q[at] @ node[0] + self.norm[at] * node[1]
+
+    def first(self, node: tuple, at: np.ndarray) -> None:
+        """Each query in the leaf that its bounds lead to."""
+        if not len(at):
+            return
         if node[2] is None:
-            for child in node[3]:
-                tick += 1
-                heapq.heappush(queue, (-bound(child), tick, child))
-            continue
-        scores = x[node[2]] @ q
-        for j in np.flatnonzero(scores >= least):
-            i, s = int(ids[node[2][j]]), int(scores[j])
-            if i != own:
-                (heapq.heappush if len(best) < k else heapq.heappushpop)(best, (s, -i))
-    return [(s, -i) for s, i in sorted(best, reverse=True)]
+            left = self.bound(node[3][0], at) >= self.bound(node[3][1], at)
+            self.first(node[3][0], at[left])
+            self.first(node[3][1], at[~left])
+            return
+        self.home[id(node)] = at
+        self.leaf(node, at)
+
+    def rest(self, node: tuple, at: np.ndarray) -> None:
+        b = self.bound(node, at)
+        at = at[b + 1e-6 * (1 + np.abs(b)) >= self.least[at]]
+        if not len(at):
+            return
+        if node[2] is None:
+            for child in sorted(node[3], key=lambda c: -float(self.bound(c, at).mean())):
+                self.rest(child, at)
+            return
+        self.leaf(node, np.setdiff1d(at, self.home.get(id(node), at[:0]), assume_unique=True))
+
+    def leaf(self, node: tuple, at: np.ndarray) -> None:
+        for k in range(0, len(node[2]), LEAF):
+            rows = node[2][k:k + LEAF]
+            scores, ids = self.q[at] @ self.x[rows].T, self.ids[rows]
+            least = self.least[at][:, None]
+            i, j = np.nonzero(scores >= least)
+            s, who, found = scores[i, j], at[i], ids[j]
+            good = (found != self.own[who]) & ((s > self.least[who]) | (found < self.last[who]))
+            if good.any():
+                self.new.append((who[good], s[good], found[good]))
+                self.n_new += int(good.sum())
+                if self.n_new >= HITS:
+                    self.keep()
+
+    def keep(self) -> None:
+        who, s, found = (np.concatenate(c) for c in zip(self.best, *self.new))
+        order = np.lexsort((found, -s, who))
+        who, s, found = who[order], s[order], found[order]
+        place = np.arange(len(who)) - np.searchsorted(who, who)
+        good = place < self.k
+        self.best = who[good], s[good], found[good]
+        full = place == self.k - 1
+        self.least[who[full]], self.last[who[full]] = s[full], found[full]
+        self.new, self.n_new = [], 0
+
+    def run(self, tree: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query's number, id, score)."""
+        every = np.arange(len(self.q))
+        self.first(tree, every)
+        self.keep()
+        self.rest(tree, every)
+        self.keep()
+        return self.best[0], self.best[2], self.best[1]
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
@@ -103,7 +157,7 @@ def streamed(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     def run(batches):
         at, ids, vectors, tree, x = None, [], [], None, None
         for df in batches:
-            out = []
+            out = [np.zeros((0, 3), np.int64)]
             for (shard, block, kind), part in df.groupby(["shard", "block", "kind"], sort=False):
                 if (shard, block) != at:
                     at, ids, vectors, tree = (shard, block), [], [], None
@@ -113,12 +167,15 @@ def streamed(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
                     vectors.append(rows)
                     continue
                 if tree is None and ids:
-                    x, own = np.concatenate(vectors), np.concatenate(ids)
-                    tree, ids, vectors = build(x, np.arange(len(x))), [own], []
+                    own = np.concatenate(ids)
+                    order = np.argsort(own, kind="stable")
+                    x = np.concatenate(vectors)[order]
+                    tree, ids, vectors = build(x, np.arange(len(x))), [own[order]], []
                 if tree is not None:
-                    for qid, q, floor in zip(part["vec_id"], rows, part["floor"]):
-                        out += [(qid, i, s) for s, i in search(tree, x, ids[0], q, qid, k, floor)]
-            yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+                    asked = part["vec_id"].to_numpy()
+                    who, found, scores = Search(x, ids[0], rows, asked, k, part["floor"].to_numpy()).run(tree)
+                    out.append(np.stack([asked[who], found, scores.astype(np.int64)], 1))
+            yield pd.DataFrame(np.concatenate(out), columns=["query_id", "vec_id", "score"])
     both = (candidates.select("shard", "block", F.lit(0).alias("kind"), "vec_id", "v", F.lit(0).cast("long").alias("floor"))
             .unionByName(queries.select("shard", "block", F.lit(1).alias("kind"), "vec_id", "v", "floor")))
     return (both.repartition("shard", "block").sortWithinPartitions("shard", "block", "kind")

@@ -123,6 +123,26 @@ def test_topk_edge_cases(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_topk_searches_a_batch_together():
+    # a batch's leaves are matrix products: few products for many queries, the same results as query by query
+    rng = np.random.default_rng(11)
+    x = np.floor(64 * np.concatenate([rng.normal(size=(5000, 8)), np.tile(rng.normal(size=8), (1500, 1))]))
+    ids = np.sort(rng.integers(0, 6000, len(x)))  # repeated ids
+    q, own = x[::20], ids[::20]
+    s = topk.Search(x, ids, q, own, 7, np.full(len(q), -(1 << 62)))
+    leaves = []
+    inner = s.leaf
+    s.leaf = lambda node, at: (leaves.append(len(at)), inner(node, at))
+    who, found, scores = s.run(topk.build(x, np.arange(len(x))))
+    got = {}
+    for w, i, v in sorted(zip(who.tolist(), found.tolist(), scores.tolist()), key=lambda t: (t[0], -t[2], t[1])):
+        got.setdefault(w, []).append((-int(v), i))
+    for n in range(len(q)):
+        each = x @ q[n]
+        assert got[n] == sorted((-int(v), int(i)) for v, i in zip(each, ids) if i != own[n])[:7]
+    assert len(leaves) < len(q)
+
+
 def test_topk_many_shards(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(400, 6))
