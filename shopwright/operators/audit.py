@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import pct
+from ..session import stored
 
 
 class ConstraintViolation(AssertionError):
@@ -94,7 +95,34 @@ class Unique(NamedTuple):
     columns: tuple[str, ...]
 
 
-def key_groups(tables: dict[str, DataFrame], uniques: list[Unique], refs: list[Reference]) -> DataFrame:
+def _key_spaces(uniques: list[Unique], refs: list[Reference]) -> dict[tuple, int]:
+    """(table, columns) that are unique or referenced -> number."""
+    spaces: dict[tuple, int] = {}
+    for t, cols in [(u.table, u.columns) for u in uniques] + [(r.parent, r.parent_columns) for r in refs]:
+        spaces.setdefault((t, tuple(cols)), len(spaces))
+    return spaces
+
+
+def _key_holders(uniques: list[Unique], refs: list[Reference]) -> list[tuple[str, tuple[str, ...], int, int]]:
+    """(table, columns, key space, slot) of every owner of a key space (slot -1) and every reference into one."""
+    spaces = _key_spaces(uniques, refs)
+    return ([(t, cols, space, -1) for (t, cols), space in spaces.items()]
+            + [(r.table, tuple(r.columns), spaces[r.parent, tuple(r.parent_columns)], slot) for r, slot in zip(refs, reference_slots(refs))])
+
+
+def _exploded(tables: dict[str, DataFrame], cells: list[tuple[str, Column]]) -> DataFrame:
+    """The cells of all tables as rows; each table is scanned once."""
+    emitted: dict[str, list[Column]] = {}
+    for t, c in cells:
+        emitted.setdefault(t, []).append(c)
+    return reduce(DataFrame.unionByName, [tables[t].select(F.explode(F.array(*cs)).alias("x")).select("x.*") for t, cs in emitted.items()])
+
+
+def _null_key(cols: tuple[str, ...]) -> Column:
+    return reduce(lambda x, y: x | y, [F.col(c).isNull() for c in cols])
+
+
+def key_groups(tables: dict[str, DataFrame], uniques: list[Unique], refs: list[Reference], suspects: DataFrame | None = None) -> DataFrame:
     """(space, k1, k2, null_key, owners, c0, c1, ...): one row per key value of a key space.
 
     A key space is a (table, columns) that is unique or referenced.  Each
@@ -103,33 +131,101 @@ def key_groups(tables: dict[str, DataFrame], uniques: list[Unique], refs: list[R
     one aggregate on (space, key), combined map-side, so a hot key or a widely
     referenced parent is never gathered.  ``owners`` counts the owner's rows,
     ``cJ`` the rows of the J-th reference into that space (references with a
-    NULL part hold).
+    NULL part hold).  With ``suspects``, only the keys of these buckets
+    (:func:`_buckets`).
     """
-    spaces: dict[tuple, int] = {}
-    for t, cols in [(u.table, u.columns) for u in uniques] + [(r.parent, r.parent_columns) for r in refs]:
-        spaces.setdefault((t, tuple(cols)), len(spaces))
-    slots = reference_slots(refs)
+    holders = _key_holders(uniques, refs)
+    if suspects is not None:
+        wanted = {r.space for r in suspects.select("space").distinct().collect()}  # one row a key space at most
+        holders = [h for h in holders if h[2] in wanted]
+    kinds = _space_kinds(tables, uniques, refs)
 
-    def cell(t: str, space: int, cols: tuple[str, ...], slot: int) -> Column:
+    def cell(t: str, cols: tuple[str, ...], space: int, slot: int) -> Column:
         # -1 in slot: the owner of the key space; whole numbers of any width hash alike
         values = []
-        for c in cols:
-            whole = isinstance(tables[t].schema[c].dataType, T.IntegralType)
-            values += [F.col(c).cast("long" if whole else "string"), F.col(c).isNull()]
-        null_key = reduce(lambda x, y: x | y, values[1::2])
+        for c, kind in zip(cols, kinds[space]):
+            values += [F.col(c).cast("long" if kind == "whole" else "string"), F.col(c).isNull()]
+        bucket = _bucket(cols, kinds[space])[:2] if suspects is not None else []
         return F.struct(F.lit(space).alias("space"), F.xxhash64(*values).alias("k1"), F.xxhash64(F.lit("second"), *values).alias("k2"),
-                        null_key.alias("null_key"), F.lit(slot).alias("slot"))
-    emitted: dict[str, list[Column]] = {}
-    for (t, cols), space in spaces.items():
-        emitted.setdefault(t, []).append(cell(t, space, cols, -1))
-    for r, slot in zip(refs, slots):
-        emitted.setdefault(r.table, []).append(cell(r.table, spaces[r.parent, tuple(r.parent_columns)], r.columns, slot))
-    parts = [tables[t].select(F.explode(F.array(*cells)).alias("x")).select("x.*") for t, cells in emitted.items()]
-    rows = reduce(DataFrame.unionByName, parts)
-    used = rows.where((F.col("slot") < 0) | ~F.col("null_key"))
+                        _null_key(cols).alias("null_key"), F.lit(slot).alias("slot"), *bucket)
+    used = _exploded(tables, [(h[0], cell(*h)) for h in holders]).where((F.col("slot") < 0) | ~F.col("null_key"))
+    if suspects is not None:
+        used = used.join(suspects, ["space", "null_key", "b1", "b2"], "left_semi")
     return used.groupBy("space", "k1", "k2", "null_key").agg(
         F.count_if(F.col("slot") < 0).alias("owners"),
-        *[F.count_if(F.col("slot") == j).alias(f"c{j}") for j in range(max(slots, default=-1) + 1)])
+        *[F.count_if(F.col("slot") == j).alias(f"c{j}") for j in range(max(reference_slots(refs), default=-1) + 1)])
+
+
+def _space_kinds(tables: dict[str, DataFrame], uniques: list[Unique], refs: list[Reference]) -> dict[int, list[str]]:
+    """Per key space and column ``whole``, ``date`` or ``text``: whole numbers and dates only where owner and references agree."""
+    kinds: dict[int, list[str]] = {}
+    for t, cols, space, _ in _key_holders(uniques, refs):
+        types = [tables[t].schema[c].dataType for c in cols]
+        mine = ["whole" if isinstance(x, T.IntegralType) else "date" if isinstance(x, T.DateType) else "text" for x in types]
+        kinds[space] = [a if a == b else "text" for a, b in zip(kinds.get(space, mine), mine)]
+    return kinds
+
+
+def _bucket(cols: tuple[str, ...], kinds: list[str]) -> list[Column]:
+    """(b1, b2, bits): a bucket of up to 64 keys and the bit of the row's key in it.
+
+    The bit is taken from a date's month, or else from the last whole number;
+    keys without either are a bucket each.  One or two whole numbers name
+    their bucket themselves, anything else does by a 128-bit hash."""
+    at = kinds.index("date") if "date" in kinds else max((i for i, k in enumerate(kinds) if k == "whole"), default=None)
+    names, bits = [], F.lit(1).cast("long")
+    for i, (c, kind) in enumerate(zip(cols, kinds)):
+        value = F.col(c).cast("string") if kind == "text" else F.unix_date(c).cast("long") if kind == "date" else F.col(c).cast("long")
+        if i == at:
+            place = value if kind == "whole" else (F.year(c) * 12 + F.month(c)).cast("long")
+            bits = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+            value = F.shiftright(place, 6) if kind == "whole" else F.shiftright(place, 6) * 32 + F.dayofmonth(c)
+        names.append(value)
+    if len(names) <= 2 and "text" not in kinds:
+        b1, b2 = [*names, F.lit(0).cast("long")][:2]
+    else:
+        nulls = [F.col(c).isNull() for c in cols]
+        b1, b2 = F.xxhash64(*names, *nulls), F.xxhash64(F.lit("second"), *names, *nulls)
+    zero = F.lit(0).cast("long")
+    return [F.coalesce(b1, zero).alias("b1"), F.coalesce(b2, zero).alias("b2"), F.coalesce(bits, zero).alias("bits")]
+
+
+def _buckets(tables: dict[str, DataFrame], uniques: list[Unique], refs: list[Reference]) -> DataFrame:
+    """(space, null_key, b1, b2, bad, c0, c1, ...): the buckets of the referenced key spaces, and of the others those that may break a rule.
+
+    Each table is scanned once; the rows of a bucket's holder become a count
+    and 64 bits, combined map-side, so what is shuffled is a small part of the
+    keys where these are dense, and one narrow row a key where they are not.
+    A bucket is ``bad`` if its owner's rows are not as many as its bits, if a
+    reference has a bit that the owner has not, or if a key has a NULL part:
+    the others hold no violation.
+    """
+    holders, kinds = _key_holders(uniques, refs), _space_kinds(tables, uniques, refs)
+    referenced = {h[2] for h in holders if h[3] >= 0}
+
+    def cell(i: int, t: str, cols: tuple[str, ...], space: int, slot: int) -> Column:
+        lost = F.lit(None).cast("int") if slot >= 0 else F.lit(2 * i + 1)  # a NULL part: an owner's fault, no reference
+        return F.struct(F.when(_null_key(cols), lost).otherwise(F.lit(2 * i)).alias("cell"), *_bucket(cols, kinds[space]))
+    rows = _exploded(tables, [(h[0], cell(i, *h)) for i, h in enumerate(holders)]).where("cell IS NOT NULL")
+    found = rows.groupBy("cell", "b1", "b2").agg(F.count(F.lit(1)).alias("rows"), F.bit_or("bits").alias("bits"))
+
+    def of_holder(values: list[int]) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.shiftright("cell", 1) + 1)
+    odd = (F.col("cell") % 2 == 1) | (F.col("rows") != F.bit_count("bits"))
+    alone = of_holder([0 if h[2] in referenced else 1 for h in holders]) == 1
+    found = (found.where(~alone | odd)
+             .select(of_holder([h[2] for h in holders]).alias("space"), (F.col("cell") % 2 == 1).alias("null_key"), "b1", "b2",
+                     of_holder([h[3] for h in holders]).alias("slot"), "rows", "bits", odd.alias("odd")))
+    slots = range(max((h[3] for h in holders), default=-1) + 1)
+    owner, none = F.col("slot") < 0, F.lit(0).cast("long")
+
+    def bits_of(which: Column) -> Column:
+        return F.coalesce(F.bit_or(F.when(which, F.col("bits"))), none)
+    per = found.groupBy("space", "null_key", "b1", "b2").agg(
+        F.max(owner & F.col("odd")).alias("_odd"), bits_of(owner).alias("_owned"), bits_of(~owner).alias("_referred"),
+        *[F.coalesce(F.sum(F.when(F.col("slot") == j, F.col("rows"))), none).alias(f"c{j}") for j in slots])
+    lost = F.col("_referred").bitwiseAND(F.bitwise_not("_owned")) != 0
+    return per.select("space", "null_key", "b1", "b2", (F.col("_odd") | lost).alias("bad"), *[f"c{j}" for j in slots])
 
 
 def reference_slots(refs: list[Reference]) -> list[int]:
@@ -144,26 +240,37 @@ def reference_slots(refs: list[Reference]) -> list[int]:
 
 
 def _space_totals(tables: dict[str, DataFrame], uniques: list[Unique], refs: list[Reference]) -> DataFrame:
-    """One row per key space: bad owner keys, and per slot the rows and those without an owner."""
+    """One row per key space: bad owner keys, and per slot the rows and those without an owner.
+
+    Buckets of keys are checked first; only the keys of bad buckets are counted one by one."""
     slots = range(max(reference_slots(refs), default=-1) + 1)
-    groups = key_groups(tables, uniques, refs)
-    lost = F.col("owners") == 0
+    buckets = stored(_buckets(tables, uniques, refs), "key_buckets")
 
     def total(c: Column) -> Column:
         return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+
+    def gathered(lost) -> Column:
+        return F.array(*[F.struct(total(F.col(f"c{j}")).alias("rows"), lost(j).alias("lost")) for j in slots]
+                       or [F.struct(F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("lost"))])
+    zero = F.lit(0).cast("long")
+    suspects = buckets.where("bad").select("space", "null_key", "b1", "b2")
+    all_good = buckets.groupBy("space").agg(zero.alias("bad"), gathered(lambda j: zero).alias("slots"))
+    if suspects.isEmpty():
+        return all_good
     bad = (F.col("owners") > 1) | (F.col("null_key") & (F.col("owners") > 0))
-    return groups.groupBy("space").agg(
-        F.count_if(bad).alias("bad"),
-        F.array(*[F.struct(total(F.col(f"c{j}")).alias("rows"), total(F.when(lost, F.col(f"c{j}"))).alias("lost")) for j in slots]
-                or [F.struct(F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("lost"))]).alias("slots"))
+    lost = key_groups(tables, uniques, refs, suspects).groupBy("space").agg(
+        F.count_if(bad).alias("bad"), *[total(F.when(F.col("owners") == 0, F.col(f"c{j}"))).alias(f"l{j}") for j in slots])
+    rows = buckets.groupBy("space").agg(*[total(F.col(f"c{j}")).alias(f"c{j}") for j in slots] or [zero.alias("_none")])
+    # one row a key space on both sides
+    return rows.join(F.broadcast(lost), "space", "left").select(
+        "space", F.coalesce("bad", zero).alias("bad"),
+        F.array(*[F.struct(F.col(f"c{j}").alias("rows"), F.coalesce(f"l{j}", zero).alias("lost")) for j in slots]
+                or [F.struct(zero.alias("rows"), zero.alias("lost"))]).alias("slots"))
 
 
 def _labelled(totals: DataFrame, uniques: list[Unique], refs: list[Reference]) -> DataFrame:
     """(name, table_name, kind, child_rows, found) per constraint from the totals per key space; a space without rows counts zero."""
-    spark = totals.sparkSession
-    spaces: dict[tuple, int] = {}
-    for t, cols in [(u.table, u.columns) for u in uniques] + [(r.parent, r.parent_columns) for r in refs]:
-        spaces.setdefault((t, tuple(cols)), len(spaces))
+    spark, spaces = totals.sparkSession, _key_spaces(uniques, refs)
     rows = [(u.name, u.table, "pk", spaces[u.table, tuple(u.columns)], 0) for u in uniques]
     rows += [(r.name, r.table, "fk", spaces[r.parent, tuple(r.parent_columns)], slot) for r, slot in zip(refs, reference_slots(refs))]
     wanted = spark.createDataFrame(rows, "name string, table_name string, kind string, space int, slot int")  # the registry
